@@ -250,6 +250,7 @@ def _with_origin(rows: DataFrame) -> DataFrame:
 # What an earlier load is taken to have stored already.
 STORED_SEGMENT = "HOUSEHOLD"
 STORED_BEFORE = "1996-01-01"
+STORED_REGION = "AFRICA"
 
 
 def stored_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,3 +260,42 @@ def stored_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
     return orders.select(F.expr("'CL' || CAST(o_orderkey AS STRING)").alias("carelogId"))
+
+
+def stored_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dimension rows of one region, taken to be stored already."""
+    nation, region = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    known = nation.join(region.where(F.col("r_name") == STORED_REGION), F.col("n_regionkey") == F.col("r_regionkey"))
+    keys = {
+        "franchisor": {"franchisorId": "'F' || CAST(r_regionkey AS STRING)"},
+        "agency": {
+            "agencyId": "'A' || CAST(n_nationkey AS STRING)",
+            "franchisorId": "'F' || CAST(n_regionkey AS STRING)",
+        },
+        "location": {"locationId": "'L' || CAST(n_nationkey AS STRING)"},
+    }
+    return {name: _columns(known, exprs).distinct() for name, exprs in keys.items()}
+
+
+# File rows of the wrong length: the last value missing, or one too many.
+SHORT_ROW, LONG_ROW = "row_id % 50 = 20", "row_id % 60 = 40"
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """Write the raw rows as CSV folders and return them by table name.
+
+    Caregiver rows are written as plain lines, some with the wrong number of
+    values. Visit rows are quoted where needed and hold line breaks.
+    """
+    paths = {kind: f"{folder}/{kind}" for kind in ("caregiver", "carelog")}
+    fields = schemas.RAW_CAREGIVER
+    values = [F.coalesce(F.col(c), F.lit("")) for c in fields]
+    line = F.when(F.expr(SHORT_ROW), F.concat_ws(",", *values[:-1])).when(
+        F.expr(LONG_ROW), F.concat_ws(",", *values, F.lit("surplus"))
+    ).otherwise(F.concat_ws(",", *values))
+    lines = raw_caregivers(spark, sf_dir).select(line.alias(",".join(fields)))
+    plain = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(**plain).csv(paths["caregiver"])
+    quoted = plain | {"sep": ",", "quote": '"', "escape": '"'}
+    raw_carelogs(spark, sf_dir).select(*schemas.RAW_CARELOG).write.options(**quoted).csv(paths["carelog"])
+    return paths
