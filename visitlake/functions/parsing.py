@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts besides ISO 8601. Anything else is NULL.
+from visitlake.functions.ladders import ladder
+
+# Accepted date layouts besides ISO 8601, with the shape of their
+# texts. Anything else is NULL. A layout is tried only on texts of its shape,
+# since a failed attempt costs far more than a look at the shape.
+_US, _YMD = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+_HM, _HMS = " [0-9]{1,2}:[0-9]{2}", " [0-9]{1,2}:[0-9]{2}:[0-9]{2}"
 DATE_LAYOUTS = [
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy h:mm a",
-    "M/d/yyyy",
-    "yyyy/M/d H:mm:ss",
-    "yyyy/M/d H:mm",
-    "yyyy/M/d",
-    "MMM d, yyyy H:mm:ss",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d MMM yyyy",
+    (_US, "M/d/yyyy"),
+    (_US + _HM, "M/d/yyyy H:mm"),
+    (_US + _HMS, "M/d/yyyy H:mm:ss"),
+    (_US + _HM + " [AP]M", "M/d/yyyy h:mm a"),
+    (_US + _HMS + " [AP]M", "M/d/yyyy h:mm:ss a"),
+    (_YMD, "yyyy/M/d"),
+    (_YMD + _HM, "yyyy/M/d H:mm"),
+    (_YMD + _HMS, "yyyy/M/d H:mm:ss"),
+    ("[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}", "MMM d, yyyy"),
+    ("[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}" + _HMS, "MMM d, yyyy H:mm:ss"),
+    ("[A-Z][a-z]{3,} [0-9]{1,2}, [0-9]{4}", "MMMM d, yyyy"),
+    ("[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}", "d MMM yyyy"),
 ]
 # Written numbers, and whole numbers in base 16, 8 and 2.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -45,9 +51,10 @@ def timestamp(c: Column) -> Column:
     """A time in milliseconds, read as UTC unless the text names an offset; NULL if unreadable."""
     trimmed = F.trim(c)
     iso = F.when(trimmed.rlike(r"^[0-9]{4}(-|$)"), F.try_to_timestamp(trimmed))
-    layouts = [F.try_to_timestamp(trimmed, F.lit(layout)) for layout in DATE_LAYOUTS]
-    # only texts with a slash or a letter can match a layout
-    other = F.when(trimmed.rlike("[/A-Za-z]"), F.coalesce(*layouts))
+    other = ladder(
+        [(trimmed.rlike(f"^{shape}$"), F.try_to_timestamp(trimmed, F.lit(layout))) for shape, layout in DATE_LAYOUTS],
+        None,
+    )
     return F.date_trunc("millisecond", F.coalesce(iso, other)).cast("timestamp_ntz")
 
 

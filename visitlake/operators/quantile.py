@@ -24,6 +24,10 @@ def _ranks(p: Fraction, total: Column) -> tuple[Column, Column, Column]:
     return lower, lower + (rest > 0).cast("bigint"), rest
 
 
+def _bucket(value: Column, width: int) -> Column:
+    return div(value - F.pmod(value, F.lit(width)), width)
+
+
 def exact_quantiles(
     rows: DataFrame,
     keys: list[str],
@@ -41,7 +45,7 @@ def exact_quantiles(
     and probability) may be broadcast.
     """
     values = rows.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("value"), F.floor(F.col(value) / F.lit(width)).alias("bucket")
+        *keys, F.col(value).alias("value"), _bucket(F.col(value), width).alias("bucket")
     )
     counts = values.groupBy(*keys, "bucket").agg(F.count("*").alias("rows"))
     # Windows over counts: bounded by the number of buckets per group.
@@ -59,8 +63,13 @@ def exact_quantiles(
         wanted = hit if wanted is None else wanted | hit
     targets = placed.where(wanted).select(*keys, "bucket", "before", "total")
 
-    per_value = values.join(F.broadcast(targets) if small else targets, [*keys, "bucket"])
-    per_value = per_value.groupBy(*keys, "bucket", "before", "total", "value").agg(F.count("*").alias("rows"))
+    place = [*keys, "bucket"]
+    if small:
+        hits = values.join(F.broadcast(targets), place)
+        per_value = hits.groupBy(*place, "before", "total", "value").agg(F.count("*").alias("rows"))
+    else:
+        # counted before the join, so that one very common value is one row in it
+        per_value = values.groupBy(*place, "value").agg(F.count("*").alias("rows")).join(targets, place)
     within = Window.partitionBy(*keys, "bucket").orderBy("value")
     last = F.col("before") + F.sum("rows").over(within.rowsBetween(Window.unboundedPreceding, 0)) - 1
     ranked = per_value.withColumn("last", last).withColumn("first", F.col("last") - F.col("rows") + 1)

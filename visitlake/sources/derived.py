@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas
-from visitlake.session import prepare
+from visitlake.session import fresh_path, prepare
 
 
 def spark_add_minutes(ts: str, n: str) -> str:
@@ -179,25 +179,11 @@ def _workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
 
 
-def _caregivers(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    return _columns(_workers(spark, sf_dir), caregiver_exprs(spark_add_minutes, "TIMESTAMP_NTZ"), *keep)
+def derive_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(_workers(spark, sf_dir), caregiver_exprs(spark_add_minutes, "TIMESTAMP_NTZ"), "w")
 
 
-def caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _caregivers(spark, sf_dir)
-
-
-def _visits(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").withColumns({"k": F.col("o_orderkey"), "w": F.col("o_custkey")})
-    return _columns(orders, CARELOG_PLAIN | visit_time_exprs(spark_add_minutes), "k", "w", "o_orderpriority", "o_orderstatus", *keep)
-
-
-def visit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits without agency and notes: all that the time reports read."""
-    return _visits(spark, sf_dir).select("carelogId", "caregiverId", *visit_time_exprs(spark_add_minutes))
-
-
-def _noted_visits(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     size = documents.agg(F.count("*").alias("documents"))
     workers = _workers(spark, sf_dir).select(
@@ -205,29 +191,53 @@ def _noted_visits(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
         F.expr("'F' || CAST(n_regionkey AS STRING)").alias("franchisorId"),
         F.expr("'A' || CAST(n_nationkey AS STRING)").alias("agencyId"),
     )
+    orders = read_table(spark, sf_dir, "orders").withColumns({"k": F.col("o_orderkey"), "w": F.col("o_custkey")})
     # One row, hence a safe broadcast; the documents themselves are joined by key.
-    visits = _visits(spark, sf_dir).join(workers, "w").crossJoin(F.broadcast(size))
+    visits = orders.join(workers, "w").crossJoin(F.broadcast(size))
     visits = visits.withColumn("doc_id", F.expr(f"CASE WHEN {NEEDS_DOCUMENT} THEN k % documents END"))
     noted = visits.join(documents, "doc_id", "left").withColumn("documentation", F.expr(NOTE))
-    return noted.withColumn("generalCommentCharCount", F.expr(NOTE_LENGTH).cast("int")).select(
-        *schemas.CARELOG.fieldNames(), *keep
+    exprs = CARELOG_PLAIN | visit_time_exprs(spark_add_minutes)
+    length = F.expr(NOTE_LENGTH).cast("int").alias("generalCommentCharCount")
+    return _columns(noted, exprs, "franchisorId", "agencyId", "documentation", length, "k").select(
+        *schemas.CARELOG.fieldNames(), "k"
     )
 
 
+# Derived tables written by this process: (application, source folder, table) -> folder.
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable) -> DataFrame:
+    """A derived table, written to the shared folder on first use.
+
+    The reports are meant for stored tables, which they may scan more than once;
+    deriving the rows anew for each scan would cost more than the reports do.
+    """
+    key = (prepare(spark).sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = fresh_path(spark, f"derived-{name}")
+        derive(spark, sf_dir).write.parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
+def caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "caregiver", derive_caregivers).drop("w")
+
+
 def carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits with every column, notes included."""
-    return _noted_visits(spark, sf_dir)
+    return _stored(spark, sf_dir, "carelog", derive_carelogs).drop("k")
 
 
 def raw_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Caregiver file rows as text; every twentieth id appears again under another name."""
-    rows = _columns(_caregivers(spark, sf_dir, "w"), RAW_CAREGIVER_EXPRS, _copies("w"))
+    rows = _columns(_stored(spark, sf_dir, "caregiver", derive_caregivers), RAW_CAREGIVER_EXPRS, _copies("w"))
     return _with_origin(_mark_second(rows, "first_name"))
 
 
 def raw_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visit file rows as text; some for unknown workers, every twentieth id twice."""
-    rows = _columns(_noted_visits(spark, sf_dir, "k"), RAW_CARELOG_EXPRS, _copies("k"))
+    rows = _columns(_stored(spark, sf_dir, "carelog", derive_carelogs), RAW_CARELOG_EXPRS, _copies("k"))
     return _with_origin(_mark_second(rows, "status"))
 
 
