@@ -229,16 +229,24 @@ def carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "carelog", derive_carelogs).drop("k")
 
 
+def derive_raw_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = _stored(spark, sf_dir, "caregiver", derive_caregivers)
+    return _with_origin(_mark_second(_columns(typed, RAW_CAREGIVER_EXPRS, _copies("w")), "first_name"))
+
+
+def derive_raw_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = _stored(spark, sf_dir, "carelog", derive_carelogs)
+    return _with_origin(_mark_second(_columns(typed, RAW_CARELOG_EXPRS, _copies("k")), "status"))
+
+
 def raw_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Caregiver file rows as text; every twentieth id appears again under another name."""
-    rows = _columns(_stored(spark, sf_dir, "caregiver", derive_caregivers), RAW_CAREGIVER_EXPRS, _copies("w"))
-    return _with_origin(_mark_second(rows, "first_name"))
+    return _stored(spark, sf_dir, "raw-caregiver", derive_raw_caregivers)
 
 
 def raw_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visit file rows as text; some for unknown workers, every twentieth id twice."""
-    rows = _columns(_stored(spark, sf_dir, "carelog", derive_carelogs), RAW_CARELOG_EXPRS, _copies("k"))
-    return _with_origin(_mark_second(rows, "status"))
+    return _stored(spark, sf_dir, "raw-carelog", derive_raw_carelogs)
 
 
 def _copies(key: str):
