@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
