@@ -134,17 +134,24 @@ def _read_split(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
     upto = Window.partitionBy(*block).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     start = F.when(F.col("starts"), F.struct("block_start", "line"))
     placed = opened.withColumn("start", F.last(start, ignorenulls=True).over(upto))
-    last_starts = opened.groupBy(*block).agg(F.max(start).alias("last_start"))
-    carried = last_starts.select(*block, F.last("last_start", ignorenulls=True).over(earlier).alias("carried"))
+    last_lines = opened.groupBy(*block).agg(F.max(F.when(F.col("starts"), F.col("line"))).alias("line"))
+    last_start = F.when(F.col("line").isNotNull(), F.struct("block_start", "line"))
+    carried = last_lines.select(*block, F.last(last_start, ignorenulls=True).over(earlier).alias("carried"))
     keyed = placed.join(carried, block).withColumn("start", F.coalesce("start", "carried"))
 
+    # most records are one line and need not meet any other
+    alone = F.col("starts") & (F.col("odd") == 0)
     pieces = F.sort_array(F.collect_list(F.struct("block_start", "line", "value")))
-    records = keyed.groupBy("source_file", "start").agg(F.array_join(pieces.getField("value"), "\n").alias("record"))
+    joined = keyed.where(~alone).groupBy("source_file", "start").agg(
+        F.array_join(pieces.getField("value"), "\n").alias("record")
+    )
+    records = keyed.where(alone).select("source_file", "start", F.col("value").alias("record")).unionByName(joined)
     records = records.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.length("record") > 0)
-    records = records.join(
-        # the header is the first record of its file
-        keyed.groupBy("source_file").agg(F.min("start").alias("header_start")), "source_file"
-    ).where(F.col("start") != F.col("header_start"))
+    # the header is the first line of its file
+    header = lines.where("block_start = 0").groupBy("source_file").agg(F.min("line").alias("header"))
+    records = records.join(header, "source_file").where(
+        (F.col("start.block_start") > 0) | (F.col("start.line") != F.col("header"))
+    )
     parsed = F.from_csv("record", ", ".join(f"{f.name} STRING" for f in _schema(files[0].header)), OPTIONS)
     return records.select(
         parsed.alias("row"), "source_file", F.col("start.block_start"), F.col("start.line").alias("row_id")
