@@ -26,11 +26,10 @@ _PLAIN = select_list(derived.CARELOG_PLAIN)
 CARELOG = f"""noted AS (
   SELECT o.*, p.c_name, p.c_mktsegment, p.n_name,
     'F' || CAST(p.n_regionkey AS STRING) AS franchisorId, 'A' || CAST(p.n_nationkey AS STRING) AS agencyId, d.text
-  FROM ({ORDERS}) o
+  FROM (SELECT t.*, n.documents FROM ({ORDERS}) t CROSS JOIN (SELECT count(*) AS documents FROM documents) n) o
   JOIN ({WORKERS}) p ON p.c_custkey = o.o_custkey
   LEFT JOIN documents d
-    ON d.doc_id = CASE WHEN o.w % 8 = 5 OR (o.w % 8 = 7 AND o.k % 2 = 0)
-                       THEN o.k % (SELECT count(*) FROM documents) END
+    ON d.doc_id = CASE WHEN o.k < o.documents OR o.w % 8 = 5 OR (o.w % 8 = 7 AND o.k % 2 = 0) THEN o.k % o.documents END
 ), lettered AS (
   SELECT *, {_PLAIN}, {select_list(TIMES)}, ({derived.NOTE}) AS documentation FROM noted
 ), carelog AS (

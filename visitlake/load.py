@@ -57,10 +57,12 @@ def load_carelogs(raw: DataFrame, warehouse: str, load_id: str | None = None) ->
     """Store new visits of known caregivers; returns counts per file."""
     spark, load_id = raw.sparkSession, load_id or uuid.uuid4().hex
     cleaned = staged(clean_carelogs(raw), "clean-carelog")
-    rows, known = readable(cleaned, "carelogId"), read_table(spark, warehouse, "caregiver")
-    new = staged(admit.admit_carelogs(rows, known, read_table(spark, warehouse, "carelog")), "new-carelog")
+    rows = readable(cleaned, "carelogId")
+    # written out, its size is known when the joins with the wide rows are planned
+    unknown = staged(admit.unknown_caregivers(rows, read_table(spark, warehouse, "caregiver")), "unknown-caregiver")
+    new = staged(admit.admit_carelogs(rows, unknown, read_table(spark, warehouse, "carelog")), "new-carelog")
     append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
-    orphaned = admit.orphans(rows, known)
+    orphaned = admit.orphans(rows, unknown)
     _keep_orphans(orphaned, warehouse)
     rejected = rejects(cleaned, "carelogId")
     _set_aside(rejected, warehouse, "rejected_carelog", load_id)
@@ -79,8 +81,8 @@ def retry_orphans(spark: SparkSession, warehouse: str) -> int:
         "*", "'' AS source_file", "0L AS block_start", "0L AS row_id"
     )
     waiting = read_table(spark, warehouse, ORPHANS, like=like)
-    known, stored = read_table(spark, warehouse, "caregiver"), read_table(spark, warehouse, "carelog")
-    new = staged(admit.admit_carelogs(waiting, known, stored), "retried-carelog")
+    unknown = admit.unknown_caregivers(waiting, read_table(spark, warehouse, "caregiver"))
+    new = staged(admit.admit_carelogs(waiting, unknown, read_table(spark, warehouse, "carelog")), "retried-carelog")
     append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
     return new.count()
 

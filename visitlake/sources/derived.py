@@ -39,12 +39,13 @@ WORKED = (
     f"ELSE greatest(20, ({SCHEDULED}) + (k * 71) % 241 - 120 + CASE w % 7 WHEN 0 THEN -130 WHEN 1 THEN 0 "
     f"WHEN 2 THEN 60 WHEN 3 THEN 120 WHEN 4 THEN 200 WHEN 5 THEN 300 ELSE -60 END) END"
 )
-NEEDS_DOCUMENT = "w % 8 = 5 OR (w % 8 = 7 AND k % 2 = 0)"
+# Every document is the note of at least one visit; ``documents`` is their number.
+NEEDS_DOCUMENT = "k < documents OR w % 8 = 5 OR (w % 8 = 7 AND k % 2 = 0)"
 
 _SHORT = "'shift ' || o_orderpriority || ' for ' || c_mktsegment"
 _MEDIUM = "'visit to ' || c_name || ' in ' || n_name || ' closed as ' || o_orderpriority"
 NOTE = (
-    f"CASE WHEN k % 41 = 0 THEN NULL WHEN k % 43 = 0 THEN '' WHEN k % 17 = 0 THEN 'Good' "
+    f"CASE WHEN k < documents THEN text WHEN k % 41 = 0 THEN NULL WHEN k % 43 = 0 THEN '' WHEN k % 17 = 0 THEN 'Good' "
     f"WHEN k % 37 = 0 THEN 'routine visit done' "
     f"WHEN {NEEDS_DOCUMENT} THEN text "
     f"WHEN w % 8 = 0 AND k % 2 = 0 THEN o_orderstatus WHEN w % 8 IN (0, 1) THEN o_orderpriority "
