@@ -56,6 +56,20 @@ def minutes(micros: Column) -> Column:
     return hundredths(micros, MINUTE_US)
 
 
+def h(value: float) -> int:
+    """A plain value with at most two decimals, as hundredths."""
+    return round(value * 100)
+
+
+def weighted(*terms: tuple[Column, float]) -> Column:
+    """Sum of two-decimal values (in hundredths) times one-decimal weights, in thousandths."""
+    total = None
+    for column, weight in terms:
+        term = column * round(weight * 10)
+        total = term if total is None else total + term
+    return total
+
+
 def thousandths_to_hundredths(x: Column) -> Column:
     """Round a non-negative score kept in thousandths to two decimals."""
     return div(x + 5, 10)

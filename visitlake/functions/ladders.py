@@ -17,6 +17,6 @@ def ladder(rungs: Iterable[tuple[Column, object]], default: object) -> Column:
     return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
-def at_least(x: Column, cuts: Iterable[tuple[int, object]], default: object) -> Column:
-    """Ladder on descending lower bounds of one column."""
-    return ladder([(x >= cut, value) for cut, value in cuts], default)
+def at_least(x: Column, cuts: Iterable[tuple[int, object]], default: object, scale: int = 100) -> Column:
+    """Ladder on descending lower bounds of a column kept in 1/scale units."""
+    return ladder([(x >= cut * scale, value) for cut, value in cuts], default)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.exact import (
-    above, exact_sum, hours, hundredths, percent, text0, text2, thousandths_to_hundredths, whole,
+    above, exact_sum, h, hours, hundredths, percent, text0, text2, thousandths_to_hundredths, weighted, whole,
 )
 from visitlake.functions.ladders import at_least, ladder
 from visitlake.operators.facts import added, by_caregiver, comment_categories, count, doc_anomalies, largest, smallest
@@ -76,26 +76,26 @@ def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None =
     share, average = F.col("detailed_comment_percentage_h"), F.col("avg_comment_length_h")
     score, steady = F.col("avg_comment_detail_score_h"), F.col("comment_consistency_score_h")
     mean = text0(average)
-    # Rungs, labels and texts of the documentation pattern.
+    # Rungs, labels and texts of the report.
     patterns = [
         (
-            (share >= 7000) & (average >= 10000), "HIGHLY_DETAILED_DOCUMENTER",
+            (share >= h(70)) & (average >= h(100)), "HIGHLY_DETAILED_DOCUMENTER",
             _text("Consistently provides detailed documentation in ", text2(share), "% of visits with average length of ", mean, " characters"),
         ),
         (
-            (share >= 5000) & (average >= 7500), "DETAILED_DOCUMENTER",
+            (share >= h(50)) & (average >= h(75)), "DETAILED_DOCUMENTER",
             _text("Frequently provides detailed documentation in ", text2(share), "% of visits with average length of ", mean, " characters"),
         ),
         (
-            (share >= 3000) & (average >= 5000), "REGULAR_DOCUMENTER",
+            (share >= h(30)) & (average >= h(50)), "REGULAR_DOCUMENTER",
             _text("Regularly provides documentation in ", text2(share), "% of visits with average length of ", mean, " characters"),
         ),
         (
-            average >= 10000, "LONG_COMMENT_SPECIALIST",
+            average >= h(100), "LONG_COMMENT_SPECIALIST",
             _text("Specializes in long comments with average length of ", mean, " characters"),
         ),
         (
-            share >= 5000, "FREQUENT_COMMENTER",
+            share >= h(50), "FREQUENT_COMMENTER",
             _text("Frequently comments but with moderate detail, average length of ", mean, " characters"),
         ),
     ]
@@ -108,16 +108,16 @@ def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None =
             ),
             "comment_quality_rating": ladder(
                 [
-                    ((score >= 400) & (steady >= 300), "EXCELLENT"),
-                    ((score >= 300) & (steady >= 200), "GOOD"),
-                    ((score >= 200) & (steady >= 100), "AVERAGE"),
-                    (score >= 100, "POOR"),
+                    ((score >= h(4)) & (steady >= h(3)), "EXCELLENT"),
+                    ((score >= h(3)) & (steady >= h(2)), "GOOD"),
+                    ((score >= h(2)) & (steady >= h(1)), "AVERAGE"),
+                    (score >= h(1), "POOR"),
                 ],
                 "VERY_POOR",
             ),
             "comment_efficiency_rating": at_least(
                 F.col("avg_chars_per_hour_h"),
-                [(5000, "VERY_EFFICIENT"), (3000, "EFFICIENT"), (1500, "MODERATE"), (500, "SLOW")],
+                [(50, "VERY_EFFICIENT"), (30, "EFFICIENT"), (15, "MODERATE"), (5, "SLOW")],
                 "VERY_SLOW",
             ),
         }
@@ -179,28 +179,27 @@ def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None =
     share, missing = F.col("suspicious_percentage_h"), F.col("missing_percentage_h")
     short, generic = F.col("short_percentage_h"), F.col("generic_percentage_h")
     copied, repeated = F.col("copy_paste_suspected") > 0, F.col("duplicate_suspected") > 0
-    # 0.4 * share + 5 * mean score + 2 per record above 5 + 10 for a maximum of 8 or more, in thousandths
-    risk = (
-        share * 4 + F.col("avg_suspicion_score_h") * 50 + above(suspicious, 5) * 2000
-        + F.when(F.col("max_score") >= 8, 10_000).otherwise(0)
+    # Weights, rungs, labels and texts of the report.
+    risk = weighted(
+        (share, 0.4), (F.col("avg_suspicion_score_h"), 5), (above(suspicious, 5) * 100, 2),
+        (F.when(F.col("max_score") >= 8, h(10)).otherwise(0), 1),
     )
-    # Labels and texts of the report.
     labelled = rated.withColumn("risk", risk).withColumns(
         {
             "suspicion_risk_score_h": thousandths_to_hundredths(F.col("risk")),
             "suspicion_level": at_least(
                 share,
                 [
-                    (8000, "HIGHLY_SUSPICIOUS"), (6000, "VERY_SUSPICIOUS"), (4000, "SUSPICIOUS"),
-                    (2000, "MODERATELY_SUSPICIOUS"), (1000, "SLIGHTLY_SUSPICIOUS"),
+                    (80, "HIGHLY_SUSPICIOUS"), (60, "VERY_SUSPICIOUS"), (40, "SUSPICIOUS"),
+                    (20, "MODERATELY_SUSPICIOUS"), (10, "SLIGHTLY_SUSPICIOUS"),
                 ],
                 "NORMAL",
             ),
             "primary_issue_type": ladder(
                 [
-                    (missing >= 5000, "FREQUENT_MISSING_DOCS"),
-                    (short >= 6000, "FREQUENT_SHORT_DOCS"),
-                    (generic >= 4000, "FREQUENT_GENERIC_COMMENTS"),
+                    (missing >= h(50), "FREQUENT_MISSING_DOCS"),
+                    (short >= h(60), "FREQUENT_SHORT_DOCS"),
+                    (generic >= h(40), "FREQUENT_GENERIC_COMMENTS"),
                     (copied, "COPY_PASTE_DETECTED"),
                     (repeated, "DUPLICATE_CONTENT_DETECTED"),
                     (F.col("length_mismatches") > 0, "LENGTH_MISMATCH_DETECTED"),
@@ -211,19 +210,20 @@ def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None =
             "recommended_action": at_least(
                 F.col("risk"),
                 [
-                    (80_000, "IMMEDIATE_INVESTIGATION_REQUIRED"), (60_000, "DETAILED_REVIEW_NEEDED"),
-                    (40_000, "MONITOR_CLOSELY"), (20_000, "PERIODIC_REVIEW"),
+                    (80, "IMMEDIATE_INVESTIGATION_REQUIRED"), (60, "DETAILED_REVIEW_NEEDED"),
+                    (40, "MONITOR_CLOSELY"), (20, "PERIODIC_REVIEW"),
                 ],
                 "NORMAL_MONITORING",
+                scale=1000,
             ),
             "insight_description": ladder(
                 [
-                    (share >= 8000, _text("Highly suspicious documentation patterns with ", text2(share), "% of records showing issues")),
-                    (share >= 6000, _text("Very suspicious documentation patterns with ", text2(share), "% of records showing issues")),
-                    (share >= 4000, _text("Suspicious documentation patterns with ", text2(share), "% of records showing issues")),
-                    (missing >= 5000, _text("Frequently missing documentation in ", text2(missing), "% of visits")),
-                    (short >= 6000, _text("Frequently provides very short documentation in ", text2(short), "% of visits")),
-                    (generic >= 4000, _text("Frequently uses generic comments in ", text2(generic), "% of visits")),
+                    (share >= h(80), _text("Highly suspicious documentation patterns with ", text2(share), "% of records showing issues")),
+                    (share >= h(60), _text("Very suspicious documentation patterns with ", text2(share), "% of records showing issues")),
+                    (share >= h(40), _text("Suspicious documentation patterns with ", text2(share), "% of records showing issues")),
+                    (missing >= h(50), _text("Frequently missing documentation in ", text2(missing), "% of visits")),
+                    (short >= h(60), _text("Frequently provides very short documentation in ", text2(short), "% of visits")),
+                    (generic >= h(40), _text("Frequently uses generic comments in ", text2(generic), "% of visits")),
                     (copied, "Suspected copy-paste behavior detected in documentation"),
                     (repeated, "Suspected duplicate content in documentation"),
                 ],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.exact import (
-    HOUR_US, above, exact_sum, hours, hundredths, percent, text1, text2, thousandths_to_hundredths, whole,
+    HOUR_US, above, exact_sum, h, hours, hundredths, percent, text1, text2, thousandths_to_hundredths, weighted, whole,
 )
 from visitlake.functions.ladders import at_least, ladder
 from visitlake.functions.timing import bit
@@ -67,31 +67,32 @@ def overtime(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREG
     )
     f, average = F.col("frequency_h"), F.col("avg_overtime_hours_h")
     severe, extreme = F.col("severe_overtime_frequency_h"), F.col("extreme_overtime_frequency_h")
+    longest = F.col("max_overtime_hours_h")
+    # Rungs, labels and weights of the report.
     scored = rated.withColumns(
         {
             "overtime_frequency_percentage_h": f,
             "overtime_severity": ladder(
                 [
-                    ((f >= 5000) & (average >= 200), "CRITICAL"),
-                    ((f >= 3000) & (average >= 150), "HIGH"),
-                    ((f >= 2000) & (average >= 100), "MEDIUM"),
-                    (f >= 1000, "LOW"),
+                    ((f >= h(50)) & (average >= h(2)), "CRITICAL"),
+                    ((f >= h(30)) & (average >= h(1.5)), "HIGH"),
+                    ((f >= h(20)) & (average >= h(1)), "MEDIUM"),
+                    (f >= h(10), "LOW"),
                 ],
                 "MINIMAL",
             ),
             "overtime_pattern": ladder(
                 [
-                    (f >= 5000, "FREQUENT_OVERTIME"),
-                    (severe >= 2000, "SEVERE_OVERTIME"),
-                    (extreme >= 1000, "EXTREME_OVERTIME"),
-                    (average >= 200, "LONG_OVERTIME"),
-                    (f >= 2000, "MODERATE_OVERTIME"),
+                    (f >= h(50), "FREQUENT_OVERTIME"),
+                    (severe >= h(20), "SEVERE_OVERTIME"),
+                    (extreme >= h(10), "EXTREME_OVERTIME"),
+                    (average >= h(2), "LONG_OVERTIME"),
+                    (f >= h(20), "MODERATE_OVERTIME"),
                 ],
                 "OCCASIONAL_OVERTIME",
             ),
-            # weights 0.4, 20, 0.3 and 2 on two-decimal values, in thousandths
             "overtime_risk_score_h": thousandths_to_hundredths(
-                f * 4 + above(average, 100) * 200 + severe * 3 + above(F.col("max_overtime_hours_h"), 400) * 20
+                weighted((f, 0.4), (above(average, h(1)), 20), (severe, 0.3), (above(longest, h(4)), 2))
             ),
         }
     )
@@ -143,11 +144,11 @@ def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None
     f, average, weekend_rate = F.col("frequency_h"), F.col("avg_overtime_hours_h"), F.col("weekend_overtime_rate_h")
     severe, extended = F.col("severe_overtime_frequency_h"), F.col("extended_shifts")
     evening, night = F.col("evening_overtime"), F.col("night_overtime")
-    # weights 0.3, 15, 0.4, 0.2 and 3 on two-decimal values, in thousandths;
-    # unknown without weekend visits, like the rate it contains
-    risk = (
-        f * 3 + above(average, 100) * 150 + severe * 4 + weekend_rate * 2
-        + above(F.col("max_overtime_hours_h"), 400) * 30
+    longest = F.col("max_overtime_hours_h")
+    # Weights, rungs, labels and texts of the report. The score is
+    # unknown without weekend visits, like the rate it contains.
+    risk = weighted(
+        (f, 0.3), (above(average, h(1)), 15), (severe, 0.4), (weekend_rate, 0.2), (above(longest, h(4)), 3)
     )
     patterned = rated.withColumns(
         {
@@ -155,14 +156,14 @@ def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None
             "risk": risk,
             "overtime_pattern_type": ladder(
                 [
-                    ((f >= 6000) & (average >= 200), "CHRONIC_OVERTIME_WORKER"),
-                    ((f >= 4000) & (average >= 150), "FREQUENT_OVERTIME_WORKER"),
-                    (severe >= 3000, "SEVERE_OVERTIME_PATTERN"),
-                    (weekend_rate >= 5000, "WEEKEND_OVERTIME_SPECIALIST"),
+                    ((f >= h(60)) & (average >= h(2)), "CHRONIC_OVERTIME_WORKER"),
+                    ((f >= h(40)) & (average >= h(1.5)), "FREQUENT_OVERTIME_WORKER"),
+                    (severe >= h(30), "SEVERE_OVERTIME_PATTERN"),
+                    (weekend_rate >= h(50), "WEEKEND_OVERTIME_SPECIALIST"),
                     ((extended > 0) & (extended * 5 >= n), "EXTENDED_SHIFT_WORKER"),
                     ((evening > 0) & (evening * 2 >= over), "EVENING_OVERTIME_PATTERN"),
                     ((night > 0) & (night * 10 >= over * 3), "NIGHT_OVERTIME_PATTERN"),
-                    (f >= 2000, "MODERATE_OVERTIME_WORKER"),
+                    (f >= h(20), "MODERATE_OVERTIME_WORKER"),
                 ],
                 "OCCASIONAL_OVERTIME_WORKER",
             ),
@@ -178,20 +179,21 @@ def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None
             "overtime_risk_score_h": thousandths_to_hundredths(score),
             "risk_level": at_least(
                 score,
-                [(80_000, "CRITICAL_RISK"), (60_000, "HIGH_RISK"), (40_000, "MODERATE_RISK"), (20_000, "LOW_RISK")],
+                [(80, "CRITICAL_RISK"), (60, "HIGH_RISK"), (40, "MODERATE_RISK"), (20, "LOW_RISK")],
                 "MINIMAL_RISK",
+                scale=1000,
             ),
             "recommended_action": at_least(
                 score,
                 [
-                    (80_000, "IMMEDIATE_INTERVENTION_REQUIRED"),
-                    (60_000, "SCHEDULE_ADJUSTMENT_NEEDED"),
-                    (40_000, "MONITOR_CLOSELY"),
-                    (20_000, "PERIODIC_REVIEW"),
+                    (80, "IMMEDIATE_INTERVENTION_REQUIRED"),
+                    (60, "SCHEDULE_ADJUSTMENT_NEEDED"),
+                    (40, "MONITOR_CLOSELY"),
+                    (20, "PERIODIC_REVIEW"),
                 ],
                 "NORMAL_MONITORING",
+                scale=1000,
             ),
-            # The texts of the report.
             "pattern_insight": ladder(
                 [
                     says(
@@ -225,12 +227,12 @@ def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None
             ),
             "key_insight": ladder(
                 [
-                    (weekend_rate > 5000, "High weekend overtime rate suggests potential scheduling issues or weekend staffing shortages"),
-                    (severe > 3000, "High severe overtime frequency indicates potential workload management issues"),
+                    (weekend_rate > h(50), "High weekend overtime rate suggests potential scheduling issues or weekend staffing shortages"),
+                    (severe > h(30), "High severe overtime frequency indicates potential workload management issues"),
                     (evening * 10 > over * 6, "Evening overtime pattern suggests potential shift handover or evening workload issues"),
                     (night * 10 > over * 4, "Night overtime pattern suggests potential overnight care requirements"),
                     (extended * 10 > n * 3, "High number of extended shifts suggests potential staffing shortages or complex care needs"),
-                    (average > 300, "High average overtime hours suggests potential workload or scheduling inefficiencies"),
+                    (average > h(3), "High average overtime hours suggests potential workload or scheduling inefficiencies"),
                 ],
                 "Standard overtime patterns observed",
             ),

@@ -38,6 +38,7 @@ def reliability(caregivers: DataFrame, visits: DataFrame, limit: int | None = CA
         (n >= 5)
         & (exceeds(missed, n, 5) | exceeds(late, arrivals, 20) | exceeds(early, departures, 20) | low_completion)
     )
+    # Minimum visits, weights, rungs and labels of the report.
     # 0.5 * absence + 0.3 * lateness + 0.2 * earliness over one common denominator
     a, b, c = whole(n), whole(arrivals), whole(departures)
     score = hundredths(
