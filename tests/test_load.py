@@ -1,6 +1,8 @@
 """Cleaning, admission, the load job and its incremental form."""
 
 import datetime as dt
+import itertools
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,10 @@ from visitlake.operators import metrics
 from visitlake.operators.clean import CAREGIVER_RULES, MissingColumns, Rule, apply_rules
 from visitlake.schemas import CORRUPT, ORIGIN, RAW_CAREGIVER, RAW_CARELOG
 from visitlake.sources.tables import read_table
-from visitlake.streaming.ingest import ingest
+from visitlake.streaming.ingest import ingest, process_in_batches, raw_stream
+
+
+CLOCK = itertools.count(1_700_000_000)
 
 
 def parsed(spark, texts, rule):
@@ -80,6 +85,9 @@ def carelog_line(number, who, **more):
 def write(folder, name, header, lines):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join([",".join(header), *lines]) + "\n")
+    # the incremental load takes files in the order they were written
+    moment = next(CLOCK)
+    os.utime(folder / name, (moment, moment))
 
 
 @pytest.fixture
@@ -176,5 +184,13 @@ def test_stream_refuses_another_header(spark, tmp_path):
         ingest(spark, str(folder), str(folder), str(tmp_path / "w"), str(tmp_path / "p"), "caregiver*.csv", "carelog*.csv")
 
 
+def test_callback_per_batch(spark, inbox, tmp_path):
+    rows = raw_stream(spark, str(inbox), RAW_CAREGIVER, "caregiver*.csv", files_per_batch=1)
+    seen = {}
+    for _ in range(2):
+        process_in_batches(rows, lambda batch, number: seen.update({number: batch.count()}), str(tmp_path / "progress"))
+    assert sorted(seen.values()) == [2, 6] and sorted(seen) == [0, 1]
+
+
 def test_rule_list_covers_the_table():
     assert len(CAREGIVER_RULES) == 16 and ORIGIN == ["source_file", "block_start", "row_id"]

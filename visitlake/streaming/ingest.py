@@ -2,7 +2,8 @@
 
 The same steps as the batch load run on every micro-batch. Duplicates are found
 against the stored tables, so the stream itself keeps no state beyond the list
-of files already seen.
+of files already seen. Files are taken in the order of their modification times;
+of two copies of an id the one in the earlier batch wins.
 """
 
 from __future__ import annotations
@@ -45,13 +46,15 @@ def raw_stream(
     )
 
 
-def _run(rows: DataFrame, load: Callable, warehouse: str, checkpoint: str) -> StreamingQuery:
-    def batch(raw: DataFrame, number: int) -> None:
-        # a repeated batch has the same number and replaces its own reports
-        load(raw.withColumn("row_id", F.monotonically_increasing_id()), warehouse, f"batch-{number}")
+def process_in_batches(
+    rows: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    """Hand what has arrived to ``on_batch`` in micro-batches, each with its number, and return when done.
 
+    A batch interrupted by a failure comes again with the same rows and number.
+    """
     query = (
-        rows.writeStream.foreachBatch(batch)
+        rows.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -60,6 +63,14 @@ def _run(rows: DataFrame, load: Callable, warehouse: str, checkpoint: str) -> St
     return query
 
 
+def _load_batches(rows: DataFrame, load: Callable, warehouse: str, checkpoint: str) -> None:
+    def on_batch(raw: DataFrame, number: int) -> None:
+        # a repeated batch has the same number and replaces its own reports
+        load(raw.withColumn("row_id", F.monotonically_increasing_id()), warehouse, f"batch-{number}")
+
+    process_in_batches(rows, on_batch, checkpoint)
+
+
 def ingest(
     spark: SparkSession,
     caregiver_folder: str,
@@ -72,7 +83,7 @@ def ingest(
 ) -> None:
     """Process what has arrived since the last call: all caregivers, then all visits, then waiting visits."""
     caregivers = raw_stream(spark, caregiver_folder, RAW_CAREGIVER, caregiver_names, files_per_batch)
-    _run(caregivers, load_caregivers, warehouse, f"{checkpoint}/caregiver")
+    _load_batches(caregivers, load_caregivers, warehouse, f"{checkpoint}/caregiver")
     carelogs = raw_stream(spark, carelog_folder, RAW_CARELOG, carelog_names, files_per_batch)
-    _run(carelogs, load_carelogs, warehouse, f"{checkpoint}/carelog")
+    _load_batches(carelogs, load_carelogs, warehouse, f"{checkpoint}/carelog")
     retry_orphans(spark, warehouse)
