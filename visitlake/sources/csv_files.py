@@ -232,7 +232,8 @@ def profile(spark: SparkSession, folder: str) -> DataFrame:
     """Per file: size, exact row count, headers, shortest and longest row in characters."""
     files = discover(spark, folder)
     rows = read_files(spark, files)
-    width = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in rows.columns if c not in (*ORIGIN, CORRUPT)]))
+    fields = [F.col(f"`{c}`") for c in rows.columns if c not in (*ORIGIN, CORRUPT)]
+    width = F.length(F.concat_ws("", *fields)).cast("bigint")
     counted = rows.groupBy("source_file").agg(
         F.count("*").alias("row_count"), F.min(width).alias("shortest_row"), F.max(width).alias("longest_row")
     )
