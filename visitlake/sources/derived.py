@@ -184,6 +184,12 @@ def derive_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(_workers(spark, sf_dir), caregiver_exprs(spark_add_minutes, "TIMESTAMP_NTZ"), "w")
 
 
+def _spread(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """Use all cores if the source is too small to be read by as many tasks; large ones stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if source.rdd.getNumPartitions() < cores else rows
+
+
 def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     size = documents.agg(F.count("*").alias("documents"))
@@ -192,16 +198,17 @@ def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("'F' || CAST(n_regionkey AS STRING)").alias("franchisorId"),
         F.expr("'A' || CAST(n_nationkey AS STRING)").alias("agencyId"),
     )
-    orders = read_table(spark, sf_dir, "orders").withColumns({"k": F.col("o_orderkey"), "w": F.col("o_custkey")})
+    source = read_table(spark, sf_dir, "orders")
+    orders = source.withColumns({"k": F.col("o_orderkey"), "w": F.col("o_custkey")})
     # One row, hence a safe broadcast; the documents themselves are joined by key.
     visits = orders.join(workers, "w").crossJoin(F.broadcast(size))
-    visits = visits.withColumn("doc_id", F.expr(f"CASE WHEN {NEEDS_DOCUMENT} THEN k % documents END"))
+    # Visits without a document get keys of their own, lest they all meet in one partition.
+    visits = visits.withColumn("doc_id", F.expr(f"CASE WHEN {NEEDS_DOCUMENT} THEN k % documents ELSE -1 - k END"))
     noted = visits.join(documents, "doc_id", "left").withColumn("documentation", F.expr(NOTE))
     exprs = CARELOG_PLAIN | visit_time_exprs(spark_add_minutes)
     length = F.expr(NOTE_LENGTH).cast("int").alias("generalCommentCharCount")
-    return _columns(noted, exprs, "franchisorId", "agencyId", "documentation", length, "k").select(
-        *schemas.CARELOG.fieldNames(), "k"
-    )
+    rows = _columns(noted, exprs, "franchisorId", "agencyId", "documentation", length, "k")
+    return _spread(rows.select(*schemas.CARELOG.fieldNames(), "k"), source)
 
 
 # Derived tables written by this process: (application, source folder, table) -> folder.
