@@ -41,16 +41,9 @@ def byte_characters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
-def unassigned() -> str:
-    """A character class of what Python's character tables do not know."""
-    ranges: list[list[int]] = []
-    for c in range(0x110000):
-        if unicodedata.category(chr(c)) == "Cn":
-            if ranges and ranges[-1][1] == c - 1:
-                ranges[-1][1] = c
-            else:
-                ranges.append([c, c])
-    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]"
+def unassigned() -> np.ndarray:
+    """Marks the code points that Python's character tables do not know."""
+    return np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
 
 
 class TokenCounter:
@@ -83,7 +76,7 @@ class TokenCounter:
         np.minimum.at(earliest, right, np.arange(len(left)))
         self.one_by_one = earliest[made] < np.arange(len(made))
         self.known: dict[str, int] = {}
-        self.newer = regex.compile(unassigned())
+        self.newer = unassigned()
         self.library = Tokenizer.from_file(path)
         self.byte_of = {c: b for b, c in enumerate(byte_characters())}
 
@@ -99,7 +92,7 @@ class TokenCounter:
         Python's tables, as the two may disagree on which of them are letters.
         """
         if not text.isascii():
-            if self.newer.search(text):
+            if self.newer[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
                 pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
                 return [bytes(map(self.byte_of.__getitem__, p)).decode("utf-8") for p, _ in pieces]
             if not unicodedata.is_normalized("NFC", text):
