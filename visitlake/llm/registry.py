@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import packing, pieces, token_counts
+from visitlake.llm import packing, pieces, shingle_join, token_counts
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op6_sentencepiece": _over("documents", lambda d: pieces.digests(d, vocabulary("piece_bpe_32k.model"))),
+        "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
         "op9_packing": _over("documents", lambda d: packing.placed(d, vocabulary("byte_bpe_50k.json"))),
         "op10_token_counts": _over("documents", lambda d: token_counts.count_tokens(d, vocabulary("word_bpe_49k.json"))),
     }
