@@ -7,18 +7,23 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import packing, pieces, shingle_join, token_counts
+from visitlake.llm import packing, pieces, quality, shingle_join, token_counts
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet"))
+    return lambda spark, sf_dir: operator(_table(spark, sf_dir, table))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_quality": lambda s, d: quality.scored(_table(s, d, "documents"), _table(s, d, "labels")),
         "op6_sentencepiece": _over("documents", lambda d: pieces.digests(d, vocabulary("piece_bpe_32k.model"))),
         "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
         "op9_packing": _over("documents", lambda d: packing.placed(d, vocabulary("byte_bpe_50k.json"))),
