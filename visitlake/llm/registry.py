@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import packing, pieces, quality, shingle_join, token_counts
+from visitlake.llm import packing, pieces, quality, shingle_join, token_counts, warc
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_warc": _over("pages", warc.archived),
         "op3_quality": lambda s, d: quality.scored(_table(s, d, "documents"), _table(s, d, "labels")),
         "op6_sentencepiece": _over("documents", lambda d: pieces.digests(d, vocabulary("piece_bpe_32k.model"))),
         "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
@@ -31,5 +32,20 @@ def queries() -> dict[str, Query]:
     }
 
 
+WARC = """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_page
+    FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
+FROM firsts
+"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_warc": WARC}
