@@ -10,23 +10,24 @@ which need no padding.
 
 from __future__ import annotations
 
-import os
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlake.llm.token_counts import byte_characters
+
 #: Padding and end-of-document id of the vocabulary used.
 END_ID = 1
 WINDOW = 2048
 #: Partly filled windows a task holds before it cuts documents to fill them.
 OPEN_WINDOWS = 4096
-REMEMBERED = 400_000
-LONGEST_REMEMBERED = 48
 ROWS_PER_BATCH = 2000
 
 Piece = tuple[object, int, int, bytes]  # document, start, tokens of the document, ids
@@ -136,61 +137,35 @@ def cut(piece: Piece, size: int) -> tuple[Piece, Piece | None]:
     return (document, start, total, ids[: 4 * size]), (document, start + size, total, ids[4 * size :])
 
 
+#: The pre-tokens of byte-level vocabularies that use the default pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Encoder:
-    """Ids as the tokenizer library gives them, with words met before remembered.
+    """Ids of a byte-level vocabulary file of the ``tokenizers`` library.
 
-    In byte-level vocabularies a blank between two other characters always begins
-    a word, so that texts fall apart there.
+    In such a file ids stand in the order of merges, so that they serve as ranks of
+    ``tiktoken``, which gives the same ids in a third of the time. The tests hold
+    both against each other.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}  # by word, for the word with a blank before it
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        if told["pre_tokenizer"]["type"] != "ByteLevel" or told["pre_tokenizer"]["add_prefix_space"] or told["normalizer"]:
+            raise ValueError("not a byte-level vocabulary")
+        vocab, byte_of = told["model"]["vocab"], {c: b for b, c in enumerate(byte_characters())}
+        special = {t["content"]: t["id"] for t in told["added_tokens"]}
+        ranks = {bytes(map(byte_of.__getitem__, w)): i for w, i in vocab.items() if w not in special}
+        if any(vocab[a + b] != 256 + k for k, (a, b) in enumerate(told["model"]["merges"])):
+            raise ValueError("ids do not stand in the order of merges")
+        self.coder = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.special = set(special)
         self.end = np.array([END_ID], "<u4").tobytes()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """Parts of a text that are encoded alone; all but the first follow a blank."""
-        parts = text.split(" ")
-        if not any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-            return parts
-        words = [parts[0]]
-        for part in parts[1:]:
-            before = words[-1]
-            if part and before and not part[0].isspace() and not before[-1].isspace():
-                words.append(part)
-            else:
-                words[-1] = f"{before} {part}"
-        return words
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and its end, 32 bits each."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        whole = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
-        split = [[""] if k in set(whole) else self.words(t) for k, t in enumerate(texts)] if whole else [self.words(t) for t in texts]
-        new = list({w for words in split for w in words[1:] if w not in known})
-        found = dict(zip(new, self.ids([f" {w}" for w in new]), strict=True)) if new else {}
-        known.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_REMEMBERED)
-        firsts = self.ids([words[0] for words in split])
-        for k in whole:
-            firsts[k] = self.ids([texts[k]])[0]
-        out = []
-        for first, words in zip(firsts, split, strict=True):
-            try:
-                rest = b"".join(map(known.__getitem__, words[1:]))
-            except KeyError:
-                rest = b"".join([known[w] if w in known else found[w] for w in words[1:]])
-            out.append(b"".join((first, rest, self.end)))
-        return out
+        return [self.coder.encode_to_numpy(t, allowed_special=self.special).astype("<u4").tobytes() + self.end for t in texts]
 
 
 @lru_cache(maxsize=2)
