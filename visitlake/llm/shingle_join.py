@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from visitlake.llm.blocks import deal, gathered
 from visitlake.llm.components import components, stored
 
 WORDS = 5
@@ -213,13 +214,9 @@ def tree_pairs(one: SignatureTree, two: SignatureTree | None, percent: int) -> t
 
 
 def _searched(dealt: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of every block pair of a bucket, of classes in different components.
-
-    ``dealt`` has bucket, low, high, side, class_id, root, n, excess and bits. A pair of
-    blocks has 2 * BLOCK rows at most on average, which one task holds at a time.
-    """
-    kind = dealt.schema["class_id"].dataType.simpleString()
-    place = ["bucket", "low", "high"]
+    """Candidate pairs of every block pair of a bucket, of classes in different components."""
+    kind = dealt.schema["class_id"].dataType
+    id_type = to_arrow_type(kind)
 
     def pairs(rows: list[tuple]) -> Iterator[tuple]:
         if len({r[5] for r in rows}) < 2:
@@ -241,29 +238,20 @@ def _searched(dealt: DataFrame, percent: int) -> DataFrame:
                 yield min(one[i][4], two[j][4]), max(one[i][4], two[j][4])
 
     def shown(found: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*found, strict=True)) or [(), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, type=id_type) for c in columns], ["a", "b"])
-
-    id_type = to_arrow_type(dealt.schema["class_id"].dataType)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=id_type) for c in zip(*found, strict=True)], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+    def work(groups: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    found.extend(pairs(held))
-                    held = []
-                    if len(found) > 5000:
-                        yield shown(found)
-                        found = []
-                held.append(row)
-        found.extend(pairs(held) if held else ())
+        for rows in groups:
+            found.extend(pairs(rows))
+            if len(found) > 5000:
+                yield shown(found)
+                found = []
         if found:
             yield shown(found)
 
-    rows = dealt.select(*place, "side", "class_id", "root", "n", "excess", "bits")
-    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, f"a {kind}, b {kind}")
+    columns = ["class_id", "root", "n", "excess", "bits"]
+    return gathered(dealt, columns, work, f"a {kind.simpleString()}, b {kind.simpleString()}")
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -371,12 +359,7 @@ def _links(docs: DataFrame, filled: DataFrame, classes: DataFrame, words: int, p
     placed = stored(_with_roots(shared, components(links)), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest <> highest")
     searched = placed.join(mixed.select("bucket"), "bucket", "left_semi")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
-        F.least(k, F.col("block")).alias("low"), F.greatest(k, F.col("block")).alias("high"), (k < F.col("block")).cast("int").alias("side")
-    ))
-    dealt = searched.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("bucket", "class_id", "root", F.explode(met).alias("met")).select("bucket", "met.*", "class_id", "root")
+    dealt = deal(searched.select("bucket", "class_id", "root", "size"), "class_id", BLOCK)
     dealt = dealt.join(signed.select("class_id", "n", "excess", "bits"), "class_id")
     tried = stars.unionByName(more)
     found = stored(_searched(dealt, percent).distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
