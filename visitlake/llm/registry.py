@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import packing, pieces, quality, shingle_join, token_counts, vectors, warc
+from visitlake.llm import fingerprints, packing, pieces, quality, shingle_join, token_counts, vectors, warc
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_warc": _over("pages", warc.archived),
         "op3_quality": lambda s, d: quality.scored(_table(s, d, "documents"), _table(s, d, "labels")),
+        "op4_fingerprints": _over("documents", fingerprints.edited),
         "op5_embedding_dedup": _over("embeddings", vectors.near_duplicates),
         "op6_sentencepiece": _over("documents", lambda d: pieces.digests(d, vocabulary("piece_bpe_32k.model"))),
         "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
