@@ -82,12 +82,14 @@ def signature(text: Column) -> Column:
         """Hash of the chosen members of the pool, in the order of the text."""
         return F.xxhash64(F.transform(F.sort_array(F.transform(picked, lambda p: F.struct((p % top).alias("at"), kmer(p).alias("h")))), lambda p: p["h"]), n)
 
+    def next_after(ranks: Column, last: Column) -> Column:
+        return let(last, lambda known: F.array_min(F.filter(ranks, lambda r: r > known)))
+
     def place(pool: Column, n: Column) -> Column:
         def chosen(ranks: Column) -> Column:
             picked = [F.array_min(ranks)]
             for _ in range(PICKED - 1):
-                last = picked[-1]
-                picked.append(F.array_min(F.filter(ranks, lambda r, last=last: r > last)))
+                picked.append(next_after(ranks, picked[-1]))
             return F.filter(F.array(*picked), lambda r: r.isNotNull())
 
         ranks = F.transform(pool, lambda p, i: packed(F.xxhash64(kmer(p), n), i))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import fingerprints, packing, pieces, quality, shingle_join, token_counts, vectors, warc
+from visitlake.llm import fingerprints, packing, pieces, pii, quality, shingle_join, token_counts, vectors, warc
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op4_fingerprints": _over("documents", fingerprints.edited),
         "op5_embedding_dedup": _over("embeddings", vectors.near_duplicates),
         "op6_sentencepiece": _over("documents", lambda d: pieces.digests(d, vocabulary("piece_bpe_32k.model"))),
+        "op7_pii": _over("documents", pii.digests),
         "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
         "op9_packing": _over("documents", lambda d: packing.placed(d, vocabulary("byte_bpe_50k.json"))),
         "op10_token_counts": _over("documents", lambda d: token_counts.count_tokens(d, vocabulary("word_bpe_49k.json"))),
