@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words a worker remembers; it starts anew beyond. Changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
 NEVER = float("inf")
 
@@ -46,8 +46,13 @@ class PieceModel:
             if not piece.startswith(MARK * 2):
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
+        self.lengths = [len(p) for p in self.pieces]
+        self.shown = [p.replace(MARK, " ").encode() for p in self.pieces]
+        for b, i in enumerate(self.bytes):
+            self.shown[i] = bytes([b])
+        self.breaks = "\n" not in self.ids  # nothing is merged across a line break
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by both tokens as one number
         if any(MARK in p.lstrip(MARK) for p in self.ids) or not {c for p in self.ids for c in p} <= self.ids.keys():
             raise ValueError("a piece holds an inner word mark or a character that is no piece")
 
@@ -93,9 +98,6 @@ class PieceModel:
         Both are taken apart again, the later made first. At each step the symbols
         that touch may have been joined before either became part of something larger.
         """
-        known = self.pairs.get((left, right))
-        if known is not None:
-            return known
         one, two, one_gone, two_gone = left, right, NEVER, NEVER
         apart = True
         while True:
@@ -109,18 +111,22 @@ class PieceModel:
                 one_gone, one = self.rank[one], self.split(one)[1]
             else:
                 two_gone, two = self.rank[two], self.split(two)[0]
-        self.pairs[left, right] = apart
+        self.pairs[left * len(self.pieces) + right] = apart
         return apart
 
     def word(self, text: str) -> list[int]:
         """Ids of a text that has a word mark at its beginning at most."""
-        last: list[int] = [-1] * len(text)  # -1: a character that is no piece
+        last = [-1] * len(text)  # -1: a character that is no piece
+        pairs, width, halves = self.pairs, len(self.pieces), self.halves
         for end, (token, length) in self.automaton.iter(text):
-            if last[end] >= 0 or self.split(token) is None:
+            if last[end] >= 0 or (halves[token] if token in halves else self.split(token)) is None:
                 continue
             start = end - length
-            if start < 0 or last[start] < 0 or self.compatible(last[start], token):
-                last[end] = token
+            if start >= 0 and (before := last[start]) >= 0:
+                apart = pairs.get(before * width + token)
+                if not (self.compatible(before, token) if apart is None else apart):
+                    continue
+            last[end] = token
         ids, end = [], len(text) - 1
         while end >= 0:
             if last[end] < 0:
@@ -128,14 +134,14 @@ class PieceModel:
                 end -= 1
             else:
                 ids.append(last[end])
-                end -= len(self.pieces[last[end]])
+                end -= self.lengths[last[end]]
         return ids[::-1]
 
     def keyed(self, key: str) -> list[int]:
         """Ids of a word and the blanks before it, the one blank that always stands there left out.
 
-        All runs of marks have the same, lowest score: they are joined last, after
-        the word has taken its own mark or not.
+        All runs of marks have the same, lowest score: they are joined last, after the
+        word has taken its own mark or not.
         """
         word = key.lstrip(" ")
         ids, blanks = (self.word(MARK + word), len(key) - len(word)) if word else ([], len(key) + 1)
@@ -143,27 +149,27 @@ class PieceModel:
             ids, blanks = ids[1:], blanks + 1
         return [self.ids[x] for x in self.merged(MARK * blanks)[0]] + ids if blanks else ids
 
-    def text(self, ids: list[int]) -> str:
-        """Text of the ids of a word, with its blanks."""
-        shown = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.pieces[i].replace(MARK, " ").encode() for i in ids)
-        return shown.decode("utf-8", "replace")
-
-    @property
-    def byte_of(self) -> dict[int, int]:
-        if not hasattr(self, "_byte_of"):
-            self._byte_of = {i: b for b, i in enumerate(self.bytes)}
-        return self._byte_of
+    def decode(self, ids: list[int]) -> str:
+        """Text of the ids of a whole text, whose first piece begins with a mark that is not part of it."""
+        return b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 class PieceCoder:
-    """Whole texts, word by word, with words met before remembered."""
+    """Whole texts, word by word, with words met before remembered.
+
+    Words are kept in two generations: when the younger one is full it becomes the
+    older, and the older one is forgotten.
+    """
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, str] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
+        self.line_break = np.array([self.model.bytes[10]], "<i4").tobytes()
 
-    def keys(self, text: str) -> list[str]:
+    @staticmethod
+    def keys(text: str) -> list[str]:
         parts = text.replace(MARK, " ").split(" ")
         if "" not in parts:
             return parts
@@ -176,34 +182,40 @@ class PieceCoder:
                 blanks += 1
         return keys
 
-    def learn(self, key: str) -> tuple[bytes, str]:
-        ids = self.model.keyed(key)
-        return np.array(ids, "<i4").tobytes(), self.model.text(ids)
-
-    def code(self, text: str) -> tuple[bytes, str]:
-        """Little-endian 32-bit ids, and the text they stand for."""
+    def learn(self, key: str) -> bytes:
+        """Ids of a key; one with line breaks is put together from the words between them."""
+        known = self.known.get(key)
+        if known is None and (known := self.older.get(key)) is None:
+            if self.model.breaks and "\n" in key:
+                first, *lines = key.split("\n")
+                return self.learn(first) + b"".join([self.line_break + self.line_start(x) for x in lines])
+            known = np.array(self.model.keyed(key), "<i4").tobytes()
+        if len(key) <= LONGEST_REMEMBERED:
+            self.known[key] = known
+        return known
+
+    def line_start(self, word: str) -> bytes:
+        """Ids of a word without a mark before it."""
+        known = self.starts.get(word)
+        if known is None:
+            known = np.array(self.model.word(word), "<i4").tobytes()
+            if len(word) <= LONGEST_REMEMBERED:
+                self.starts[word] = known
+        return known
+
+    def code(self, text: str) -> bytes:
+        """Little-endian 32-bit ids of a text."""
         if not text:
-            return b"", ""
+            return b""
         keys = self.keys(text)
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        if len(self.starts) > REMEMBERED // 2:
+            self.starts.clear()
         try:
-            return b"".join(map(self.ids.__getitem__, keys)), "".join(map(self.shown.__getitem__, keys))[1:]
+            return b"".join(map(self.known.__getitem__, keys))
         except KeyError:
-            pass
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.shown.clear()
-        ids, shown = [], []
-        for key in keys:
-            known = self.ids.get(key)
-            if known is None:
-                known, seen = self.learn(key)
-                if len(key) <= LONGEST_REMEMBERED:
-                    self.ids[key], self.shown[key] = known, seen
-            else:
-                seen = self.shown[key]
-            ids.append(known)
-            shown.append(seen)
-        return b"".join(ids), "".join(shown)[1:]
+            return b"".join([known if (known := self.known.get(k)) is not None else self.learn(k) for k in keys])
 
 
 @lru_cache(maxsize=2)
@@ -225,10 +237,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(model_path)
         for batch in batches:
-            coded = [own.code(x) for x in batch.column(len(kept)).to_pylist()]
-            ends = np.array([0, *accumulate(len(ids) // 4 for ids, _ in coded)], "i4")
-            ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(x for x, _ in coded), "<i4")))
-            columns = [*batch.columns[: len(kept)], ids, pa.array([x for _, x in coded], pa.string())]
+            coded = [np.frombuffer(own.code(x), "<i4") for x in batch.column(len(kept)).to_pylist()]
+            ends = np.array([0, *accumulate(map(len, coded))], "i4")
+            ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(coded) if coded else np.zeros(0, "<i4")))
+            columns = [*batch.columns[: len(kept)], ids, pa.array([own.model.decode(x.tolist()) for x in coded], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*kept.names, "piece_ids", "decoded"])
 
     return rows.mapInArrow(run, schema)
