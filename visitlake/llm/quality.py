@@ -211,6 +211,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return rows.mapInArrow(run, f"`{key}` {kind}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def kept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns unchanged, whose text is predicted to be of class 1."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.gains, model.offset))
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Scorer(Model(*sent.value))
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(t) >= 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document with its score, and whether its label was held out."""
     return score(docs, fit(docs, labels)).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import fingerprints, packing, pieces, pii, quality, shingle_join, token_counts, vectors, warc
+from visitlake.llm import fingerprints, licenses, packing, pieces, pii, quality, shingle_join, token_counts, vectors, warc
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_licenses": _over("documents", licenses.scan),
         "op2_warc": _over("pages", warc.archived),
         "op3_quality": lambda s, d: quality.scored(_table(s, d, "documents"), _table(s, d, "labels")),
         "op4_fingerprints": _over("documents", fingerprints.edited),
@@ -51,4 +52,4 @@ FROM firsts
 
 
 def statements() -> dict[str, str]:
-    return {"op2_warc": WARC}
+    return {"op1_licenses": licenses.statement(), "op2_warc": WARC}

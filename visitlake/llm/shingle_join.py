@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -320,6 +320,18 @@ def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     )
 
 
+def first_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose key is the smallest of its component.
+
+    Of several rows with that key the first by text stays. Rows without a key all stay.
+    """
+    classes = similar_classes(docs, words, percent, key, text)
+    stay = classes.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    placed = docs.join(stay, key, "left_semi")
+    numbered = placed.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(text, *[c for c in docs.columns if c not in (key, text)])))
+    return numbered.where("__n = 1").select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+
+
 def _same_key(filled: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of rows that share a key but not a set: they are one document."""
     several = filled.groupBy("doc_id").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other")).where("one <> other")
