@@ -28,7 +28,8 @@ SAMPLE_PER_CLASS = 2500
 BUCKETS = 1 << 17
 WIDTH = 12
 SHORTEST, LONGEST = 3, 5
-EPOCHS = 8
+#: Passes over the sample, and steps there are at least: a small sample is gone through more often.
+EPOCHS, STEPS = 6, 3000
 RATE = 0.5
 BATCH = 8
 SEED = 11
@@ -98,8 +99,10 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
     table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     layer = rng.normal(0, 0.1, (WIDTH, 2)).astype(np.float32)
     offset = np.zeros(2, np.float32)
-    steps, step = EPOCHS * math.ceil(len(samples) / BATCH), 0
-    for _ in range(EPOCHS):
+    round_steps = math.ceil(len(samples) / BATCH)
+    rounds = max(EPOCHS, math.ceil(STEPS / round_steps))
+    steps, step = rounds * round_steps, 0
+    for _ in range(rounds):
         order = rng.permutation(len(samples))
         for start in range(0, len(order), BATCH):
             rate = RATE * (1 - step / steps)
