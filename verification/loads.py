@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from verification.base import RAW_CAREGIVER, RAW_CARELOG, WORKERS
-from visitlake import schemas
-from visitlake.operators.clean import CAREGIVER_RULES, CARELOG_RULES
-from visitlake.sources.derived import LONG_ROW, SHORT_ROW, STORED_BEFORE, STORED_REGION, STORED_SEGMENT
+from visitlake.sources.derived import (
+    LONG_ROW, MISSING_PARENTS, NO_VALUE, SHORT_ROW, STORED_BEFORE, STORED_REGION, STORED_SEGMENT,
+)
 
 BOTH_RAW = f"{RAW_CAREGIVER}, {RAW_CARELOG}"
 
@@ -14,8 +14,20 @@ def txt(c: str) -> str:
     return f"coalesce({c}, '')"
 
 
+FORMATS = [
+    "%m/%d/%Y, %I:%M:%S %p", "%m/%d/%Y %I:%M %p", "%b %d %Y %H:%M", "%d %B %Y %H:%M", "%a, %d %b %Y %H:%M:%S GMT",
+    "%a %b %d %Y %H:%M:%S", "%m-%d-%Y %H:%M", "%B %d, %Y %H:%M", "%Y/%m/%d %H:%M:%S",
+]
+
+
 def ts(c: str) -> str:
-    return f"TRY_CAST(trim({c}) AS TIMESTAMP)"
+    formats = ", ".join(f"'{f}'" for f in FORMATS)
+    return f"CASE WHEN trim({c}) LIKE '____-%' THEN TRY_CAST(trim({c}) AS TIMESTAMP) ELSE try_strptime(trim({c}), [{formats}]) END"
+
+
+def lost(*columns: str) -> str:
+    """How many of the times are neither empty nor readable."""
+    return " + ".join(f"CASE WHEN lower(trim({txt(c)})) NOT IN ('', 'none', 'null') AND {ts(c)} IS NULL THEN 1 ELSE 0 END" for c in columns)
 
 
 def yes(c: str) -> str:
@@ -30,6 +42,8 @@ CAREGIVER_CLEAN = f"""SELECT {txt('caregiver_id')} AS caregiverId, {txt('externa
   {txt('phone_number')} AS phoneNumber, {txt('gender')} AS gender, {yes('applicant')} AS applicant,
   {ts('birthday_date')} AS birthdayDate, {ts('onboarding_date')} AS onboardingDate,
   {txt('applicant_status')} AS applicantStatus, {txt('status')} AS status, source_file, row_id FROM raw_caregiver"""
+CAREGIVER_LOST = lost("birthday_date", "onboarding_date")
+CARELOG_LOST = lost("start_datetime", "end_datetime", "clock_in_actual_datetime", "clock_out_actual_datetime")
 CARELOG_CLEAN = f"""SELECT {txt('carelog_id')} AS carelogId, {txt('caregiver_id')} AS caregiverId,
   {txt('franchisor_id')} AS franchisorId, {txt('agency_id')} AS agencyId, {txt('parent_id')} AS parentId,
   {ts('start_datetime')} AS startDatetime, {ts('end_datetime')} AS endDatetime,
@@ -87,26 +101,40 @@ LOCATION = _dim(
 )
 
 _PER_FILE = """SELECT source_file, count(*) AS total_rows, count(*) FILTER (WHERE new) AS processed_rows,
-    count(*) FILTER (WHERE bad) AS failed_rows, count(*) FILTER (WHERE lost) AS orphan_rows,
+    count(*) FILTER (WHERE bad) AS failed_rows, CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS orphan_rows,
+    CAST(sum(unreadable) AS BIGINT) AS unreadable_times,
     count(*) FILTER (WHERE NOT new AND NOT bad AND NOT lost) AS duplicate_rows FROM ({rows}) GROUP BY source_file"""
 METRICS = (
     _PER_FILE.format(
-        rows="SELECT c.source_file, n.row_id IS NOT NULL AS new, c.caregiverId = '' AS bad, FALSE AS lost "
-        "FROM cleaned_caregiver c LEFT JOIN new_caregiver n ON n.row_id = c.row_id"
+        rows=f"SELECT r.source_file, n.row_id IS NOT NULL AS new, coalesce(r.caregiver_id, '') = '' AS bad, FALSE AS lost, "
+        f"{CAREGIVER_LOST} AS unreadable FROM raw_caregiver r LEFT JOIN new_caregiver n ON n.row_id = r.row_id"
     )
     + " UNION ALL "
     + _PER_FILE.format(
-        rows="SELECT c.source_file, n.row_id IS NOT NULL AS new, c.carelogId = '' AS bad, o.row_id IS NOT NULL AS lost "
-        "FROM cleaned_carelog c LEFT JOIN new_carelog n ON n.row_id = c.row_id LEFT JOIN orphan o ON o.row_id = c.row_id"
+        rows=f"SELECT r.source_file, n.row_id IS NOT NULL AS new, coalesce(r.carelog_id, '') = '' AS bad, o.row_id IS NOT NULL AS lost, "
+        f"{CARELOG_LOST} AS unreadable "
+        "FROM raw_carelog r LEFT JOIN new_carelog n ON n.row_id = r.row_id LEFT JOIN orphan o ON o.row_id = r.row_id"
     )
 )
 _SUMS = ", ".join(
     f"CAST(sum({c}) AS BIGINT) AS {c}" for c in
-    ["total_rows", "processed_rows", "failed_rows", "orphan_rows", "duplicate_rows"]
+    ["total_rows", "processed_rows", "failed_rows", "orphan_rows", "unreadable_times", "duplicate_rows"]
 )
-TOTALS = f"""SELECT {_SUMS}, count(*) AS files, 0.0::DOUBLE AS average_speed,
+TOTALS = f"""SELECT {_SUMS}, count(*) AS files, 500.0::DOUBLE AS elapsed_ms,
+  CAST(sum(processed_rows) AS DOUBLE) / 500 * 1000 AS average_speed,
   CAST(sum(processed_rows) AS DOUBLE) / sum(total_rows) * 100 AS success_rate FROM ({METRICS})"""
 
+CAREGIVER_FIELDS = [
+    "franchisor_id", "franchisor_name", "agency_id", "agency_name", "subdomain", "profile_id", "caregiver_id",
+    "external_id", "first_name", "last_name", "email", "phone_number", "gender", "applicant", "birthday_date",
+    "onboarding_date", "locations_id", "location_name", "applicant_status", "status",
+]
+CARELOG_FIELDS = [
+    "franchisor_id", "agency_id", "carelog_id", "caregiver_id", "parent_id", "start_datetime", "end_datetime",
+    "clock_in_actual_datetime", "clock_out_actual_datetime", "clock_in_method", "clock_out_method", "status",
+    "split", "documentation", "general_comment_char_count",
+]
+
 
 def _row_length(fields: list[str], short: str | None = None) -> str:
     total = " + ".join(f"length({txt(c)})" for c in fields)
@@ -116,25 +144,47 @@ def _row_length(fields: list[str], short: str | None = None) -> str:
 def _profile(table: str, fields: list[str], short: str | None = None) -> str:
     length = _row_length(fields, short)
     return (
-        f"SELECT '{table}' AS table_name, count(*) AS row_count, {len(fields)} AS column_count, "
-        f"'{','.join(fields)}' AS headers, min({length}) AS shortest_row, max({length}) AS longest_row FROM raw_{table}"
+        f"SELECT source_file, CAST({len(fields)} AS INTEGER) AS column_count, '{','.join(fields)}' AS headers, count(*) AS row_count, "
+        f"min({length}) AS shortest_row, max({length}) AS longest_row FROM raw_{table} GROUP BY source_file"
     )
 
 
-PROFILE = f"""WITH {BOTH_RAW} {_profile('caregiver', schemas.RAW_CAREGIVER, SHORT_ROW)}
-UNION ALL {_profile('carelog', schemas.RAW_CARELOG)}"""
+PROFILE = f"""WITH {BOTH_RAW} {_profile('caregiver', CAREGIVER_FIELDS, SHORT_ROW)}
+UNION ALL {_profile('carelog', CARELOG_FIELDS)}
+UNION ALL SELECT 'extra_empty.csv', 0, '', 0, NULL, NULL UNION ALL SELECT 'extra_twice.csv', 3, 'a,b,a', 1, 2, 2"""
 _RAGGED = f"count(*) FILTER (WHERE {SHORT_ROW} OR {LONG_ROW})"
 VALIDATE = f"""WITH {BOTH_RAW}
-SELECT 'caregiver' AS table_name, count(*) AS row_count, {_RAGGED} AS inconsistent_rows, '' AS duplicate_columns,
-  {_RAGGED} = 0 AS is_valid FROM raw_caregiver
-UNION ALL SELECT 'carelog', count(*), 0, '', TRUE FROM raw_carelog"""
+SELECT source_file, '{','.join(CAREGIVER_FIELDS)}' AS headers, '' AS duplicate_columns, count(*) AS row_count,
+  {_RAGGED} AS inconsistent_rows, {_RAGGED} = 0 AS is_valid FROM raw_caregiver GROUP BY source_file
+UNION ALL SELECT source_file, '{','.join(CARELOG_FIELDS)}', '', count(*), 0, TRUE FROM raw_carelog GROUP BY source_file
+UNION ALL SELECT 'extra_empty.csv', '', '', 0, 0, FALSE UNION ALL SELECT 'extra_twice.csv', 'a,b,a', 'a', 1, 0, FALSE"""
+BAD_ROWS = f"""WITH {RAW_CAREGIVER}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY row_id) AS row_number FROM raw_caregiver)
+SELECT source_file, row_number, CASE WHEN {SHORT_ROW} THEN 'fewer values than columns' ELSE 'more values than columns' END AS problem
+FROM placed WHERE {SHORT_ROW} OR {LONG_ROW}"""
+PREVIEW = f"""WITH {RAW_CAREGIVER}
+SELECT NULLIF(caregiver_id, '') AS caregiver_id, profile_id, NULLIF(franchisor_id, '') AS franchisor_id FROM raw_caregiver
+WHERE source_file = 'caregiver_0_0.csv' ORDER BY row_id LIMIT 20"""
+
+
+def _with_stored(new: str, columns: str, stored: str) -> str:
+    return f"SELECT {columns} FROM ({new}) UNION SELECT {stored} FROM ({_KNOWN_NATION})"
 
-_CHECKED = f"""WITH {BOTH_RAW}, franchisor AS ({FRANCHISOR}), agency AS ({AGENCY}), location AS ({LOCATION}),
-worker AS ({CAREGIVER_CLEAN}), visit AS ({CARELOG_CLEAN})"""
+
+def _emptied(cleaned: str, table: str) -> str:
+    column, condition = NO_VALUE[table]
+    return f"SELECT * REPLACE (CASE WHEN {condition} THEN NULL ELSE {column} END AS {column}) FROM ({cleaned})"
+
+
+_CHECKED = f"""WITH {BOTH_RAW},
+franchisor AS (SELECT * FROM ({_with_stored(FRANCHISOR, 'franchisorId', _F)}) WHERE NOT ({MISSING_PARENTS['franchisor']})),
+agency AS (SELECT * FROM ({_with_stored(AGENCY, 'agencyId, franchisorId', f'{_A}, {_F}')}) WHERE NOT ({MISSING_PARENTS['agency']})),
+location AS (SELECT * FROM ({_with_stored(LOCATION, 'locationId, locationName', f'{_L}, NULL')}) WHERE NOT ({MISSING_PARENTS['location']})),
+worker AS ({_emptied(CAREGIVER_CLEAN, 'caregiver')}), visit AS ({_emptied(CARELOG_CLEAN, 'carelog')})"""
 _NAMES = {"caregiver": "worker", "carelog": "visit"}
 
 
-def _unique(table: str, key: tuple[str, ...]) -> str:
+def _unique(table: str, *key: str) -> str:
     return (
         f"SELECT '{table}({','.join(key)})' AS constraint_name, count(*) AS repeated_keys, "
         f"CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus_rows FROM "
@@ -145,32 +195,47 @@ def _unique(table: str, key: tuple[str, ...]) -> str:
 def _foreign(child: str, key: tuple[str, ...], parent: str) -> str:
     match = " AND ".join(f"p.{c} = x.{c}" for c in key)
     blank = " OR ".join(f"x.{c} = ''" for c in key)
+    given = " AND ".join(f"x.{c} IS NOT NULL" for c in key)
     return (
         f"SELECT '{child}({','.join(key)})->{parent}' AS constraint_name, "
         f"count(*) FILTER (WHERE NOT ({blank})) AS violating_rows, count(*) FILTER (WHERE {blank}) AS blank_rows "
         f"FROM {_NAMES.get(child, child)} x "
-        f"WHERE NOT EXISTS (SELECT 1 FROM {_NAMES.get(parent, parent)} p WHERE {match})"
+        f"WHERE {given} AND NOT EXISTS (SELECT 1 FROM {_NAMES.get(parent, parent)} p WHERE {match})"
     )
 
 
-def _nulls(table: str, fields: list[str]) -> list[str]:
-    return [
-        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM raw_{table}"
-        for c in fields
-    ]
-
-
-_ALL_NULLS = _nulls("caregiver", [r.field for r in CAREGIVER_RULES if r.required]) + _nulls(
-    "carelog", [r.field for r in CARELOG_RULES if r.required]
+UNIQUE = [
+    _unique("franchisor", "franchisorId"), _unique("agency", "agencyId", "franchisorId"), _unique("location", "locationId"),
+    _unique("caregiver", "caregiverId"), _unique("caregiver", "caregiverId", "franchisorId", "agencyId"), _unique("carelog", "carelogId"),
+]
+FOREIGN = [
+    _foreign("agency", ("franchisorId",), "franchisor"), _foreign("caregiver", ("franchisorId",), "franchisor"),
+    _foreign("caregiver", ("agencyId", "franchisorId"), "agency"), _foreign("caregiver", ("locationId",), "location"),
+    _foreign("carelog", ("caregiverId",), "caregiver"), _foreign("carelog", ("franchisorId",), "franchisor"),
+    _foreign("carelog", ("agencyId", "franchisorId"), "agency"),
+]
+NEEDED = {
+    "franchisor": ["franchisorId"], "agency": ["agencyId", "franchisorId"], "location": ["locationId", "locationName"],
+    "caregiver": [
+        "caregiverId", "profileId", "franchisorId", "agencyId", "firstName", "lastName", "applicant", "applicantStatus", "status",
+    ],
+    "carelog": ["carelogId", "caregiverId", "franchisorId", "agencyId", "status", "split"],
+}
+NULLS = [
+    f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {_NAMES.get(table, table)}"
+    for table, columns in NEEDED.items() for c in columns
+]
+
+CARELOG_COLUMNS = (
+    "carelogId, caregiverId, franchisorId, agencyId, parentId, startDatetime, endDatetime, clockInActualDatetime, "
+    "clockOutActualDatetime, clockInMethod, clockOutMethod, status, split, documentation, generalCommentCharCount"
 )
-
-STREAM = f"""WITH {BOTH_RAW}, kept AS (SELECT * FROM raw_caregiver WHERE NOT ({SHORT_ROW}) AND {txt('caregiver_id')} <> '')
-SELECT 'franchisor' AS table_name, count(DISTINCT franchisor_id) AS rows FROM raw_caregiver WHERE franchisor_id <> ''
-UNION ALL SELECT 'agency', count(DISTINCT (agency_id, franchisor_id)) FROM raw_caregiver WHERE agency_id <> '' AND franchisor_id <> ''
-UNION ALL SELECT 'location', count(DISTINCT locations_id) FROM raw_caregiver WHERE locations_id <> '' AND location_name <> ''
-UNION ALL SELECT 'caregiver', count(DISTINCT caregiver_id) FROM kept
-UNION ALL SELECT 'carelog', count(DISTINCT carelog_id) FROM raw_carelog
-  WHERE carelog_id <> '' AND caregiver_id IN (SELECT caregiver_id FROM kept)"""
+BATCH = f"""WITH {BOTH_RAW}, kept AS (
+  SELECT DISTINCT caregiver_id FROM raw_caregiver WHERE NOT ({SHORT_ROW}) AND {txt('caregiver_id')} <> ''
+), placed AS (
+  SELECT *, {_FIRST.format(key='carelogId')} AS place FROM ({CARELOG_CLEAN})
+  WHERE carelogId <> '' AND caregiverId IN (SELECT caregiver_id FROM kept)
+) SELECT {CARELOG_COLUMNS} FROM placed WHERE place = 1"""
 
 STATEMENTS = {
     "caregiver_clean": f"WITH {RAW_CAREGIVER} {CAREGIVER_CLEAN}",
@@ -192,8 +257,11 @@ STATEMENTS = {
     "ingest_totals": f"{LOAD} {TOTALS}",
     "source_profile": PROFILE,
     "source_validate": VALIDATE,
-    "check_unique_keys": f"{_CHECKED} " + " UNION ALL ".join(_unique(t, k) for t, k in schemas.UNIQUE_KEYS),
-    "check_foreign_keys": f"{_CHECKED} " + " UNION ALL ".join(_foreign(*f) for f in schemas.FOREIGN_KEYS),
-    "check_not_null": f"WITH {BOTH_RAW} " + " UNION ALL ".join(_ALL_NULLS),
-    "ingest_stream": STREAM,
+    "check_unique_keys": f"{_CHECKED} " + " UNION ALL ".join(UNIQUE),
+    "check_foreign_keys": f"{_CHECKED} " + " UNION ALL ".join(FOREIGN),
+    "check_not_null": f"{_CHECKED} " + " UNION ALL ".join(NULLS),
+    "source_bad_rows": BAD_ROWS,
+    "source_preview": PREVIEW,
+    "load_batch": BATCH,
+    "ingest_stream": BATCH,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from verification.base import (
     CAREGIVER, CARELOG, CARELOG_TIMES, HOUR, E, I, O, S, cents, dbl, guarded, hrs, rate, two, us,
 )
@@ -401,3 +403,5 @@ STATEMENTS = {
     "report_overtime_insight": OVERTIME_INSIGHT,
     "report_overtime": OVERTIME,
 }
+# the same reports without their limit
+STATEMENTS |= {f"{name}_all": re.sub(r"\s+LIMIT \d+\s*$", "", text) for name, text in STATEMENTS.items() if name.startswith("report_")}

@@ -7,25 +7,26 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.ladders import ladder
 
-# Accepted date layouts besides ISO 8601, with the shape of their
-# texts. Anything else is NULL. A layout is tried only on texts of its shape,
-# since a failed attempt costs far more than a look at the shape.
-_US, _YMD = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
-_HM, _HMS = " [0-9]{1,2}:[0-9]{2}", " [0-9]{1,2}:[0-9]{2}:[0-9]{2}"
+# Accepted layouts of dates and of times behind them, besides ISO 8601,
+# with the shape of their texts. A layout is tried only on texts of its shape, since a
+# failed attempt costs far more than a look at the shape. Texts are tidied first, see
+# ``tidied``, so that weekdays, commas, long month names and lower case need no layouts.
 DATE_LAYOUTS = [
-    (_US, "M/d/yyyy"),
-    (_US + _HM, "M/d/yyyy H:mm"),
-    (_US + _HMS, "M/d/yyyy H:mm:ss"),
-    (_US + _HM + " [AP]M", "M/d/yyyy h:mm a"),
-    (_US + _HMS + " [AP]M", "M/d/yyyy h:mm:ss a"),
-    (_YMD, "yyyy/M/d"),
-    (_YMD + _HM, "yyyy/M/d H:mm"),
-    (_YMD + _HMS, "yyyy/M/d H:mm:ss"),
-    ("[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}", "MMM d, yyyy"),
-    ("[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}" + _HMS, "MMM d, yyyy H:mm:ss"),
-    ("[A-Z][a-z]{3,} [0-9]{1,2}, [0-9]{4}", "MMMM d, yyyy"),
+    ("[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy"),
+    ("[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", "M-d-yyyy"),
+    ("[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d"),
+    ("[A-Z][a-z]{2} [0-9]{1,2} [0-9]{4}", "MMM d yyyy"),
     ("[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}", "d MMM yyyy"),
 ]
+TIME_LAYOUTS = [
+    ("", ""),
+    (" [0-9]{1,2}:[0-9]{2}", " H:mm"),
+    (" [0-9]{1,2}:[0-9]{2}:[0-9]{2}", " H:mm:ss"),
+    (" [0-9]{1,2}:[0-9]{2} [AP]M", " h:mm a"),
+    (" [0-9]{1,2}:[0-9]{2}:[0-9]{2} [AP]M", " h:mm:ss a"),
+]
+WEEKDAYS = "Mon|Tue|Wed|Thu|Fri|Sat|Sun"
+MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
 # Written numbers, and whole numbers in base 16, 8 and 2.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BASES = [(16, "^0[xX][0-9a-fA-F]+$"), (8, "^0[oO][0-7]+$"), (2, "^0[bB][01]+$")]
@@ -47,17 +48,37 @@ def email(c: Column, owner: Column) -> Column:
     return F.when(c.isNull() | c.rlike(r"\A\s*\z"), made_up).otherwise(c)
 
 
+def tidied(c: Column) -> Column:
+    """A written date in one manner: no weekday, comma or zone name, short month names, AM and PM in capitals."""
+    words = F.initcap(F.regexp_replace(F.regexp_replace(F.trim(c), ",", " "), r"\s+", " "))
+    words = F.regexp_replace(words, f"^({WEEKDAYS})[a-z]* ", "")
+    words = F.regexp_replace(words, " (Gmt|Utc|Z)([+]0+)?( [(].*[)])?$", "")
+    words = F.regexp_replace(words, f"(^| )({MONTHS})[a-z]*[.]? ", "$1$2 ")
+    for half in ("AM", "PM"):
+        words = F.regexp_replace(words, f" ?(?i){half}$", f" {half}")
+    return words
+
+
 def timestamp(c: Column) -> Column:
     """A time in milliseconds, read as UTC unless the text names an offset; NULL if unreadable."""
     trimmed = F.trim(c)
     iso = F.when(trimmed.rlike(r"^[0-9]{4}(-|$)"), F.try_to_timestamp(trimmed))
-    other = ladder(
-        [(trimmed.rlike(f"^{shape}$"), F.try_to_timestamp(trimmed, F.lit(layout))) for shape, layout in DATE_LAYOUTS],
-        None,
-    )
+    tidy = F.when(trimmed.rlike("[0-9]") & ~trimmed.rlike(r"^[0-9]{4}(-|$)"), tidied(c))
+    layouts = [(day + time, day_layout + layout) for day, day_layout in DATE_LAYOUTS for time, layout in TIME_LAYOUTS]
+
+    def by_shape(t: Column) -> Column:
+        return ladder([(t.rlike(f"^{shape}$"), F.try_to_timestamp(t, F.lit(layout))) for shape, layout in layouts], None)
+
+    # a one-element array binds the tidied text, which would else be written out once per layout
+    other = F.get(F.transform(F.array(tidy), by_shape), 0)
     return F.date_trunc("millisecond", F.coalesce(iso, other)).cast("timestamp_ntz")
 
 
+def unreadable_time(c: Column, value: Column) -> Column:
+    """Whether a text means a time but none could be read from it."""
+    return F.coalesce(~F.lower(F.trim(c)).isin("", "none", "null"), F.lit(False)) & value.isNull()
+
+
 def whole_number(c: Column) -> Column:
     """An INT, truncated; 0 when the text is not a number."""
     trimmed = F.trim(c)

@@ -6,10 +6,13 @@ is simply run again.
 
 from __future__ import annotations
 
+import time
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitlake.operators import admit, dims, metrics
 from visitlake.operators.clean import (
@@ -20,6 +23,8 @@ from visitlake.sources import csv_files
 from visitlake.sources.tables import append, read_table, staged, table_path
 
 ORPHANS = "orphan_carelog"
+#: Rows of a file that the load appends, at most; ids of a batch touch few files anyway.
+ROWS_PER_FILE = 2_000_000
 
 
 def _set_aside(rows: DataFrame, warehouse: str, name: str, load_id: str) -> None:
@@ -27,77 +32,126 @@ def _set_aside(rows: DataFrame, warehouse: str, name: str, load_id: str) -> None
 
 
 def _report(counts: DataFrame, warehouse: str, kind: str, load_id: str) -> DataFrame:
+    """Store the counts of a load once.
+
+    They are stored before its rows, as a load that is repeated after a failure finds
+    some rows stored already, and would count them as duplicates.
+    """
+    spark = counts.sparkSession
     path = f"{table_path(warehouse, 'load_metrics')}/kind={kind}/load_id={load_id}"
-    counts.write.mode("overwrite").parquet(path)
-    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+    try:
+        return spark.read.schema(counts.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def _append(rows: DataFrame, warehouse: str, name: str) -> None:
+    """Append in few files: as many partitions as the rows are worth."""
+    count = rows.count()
+    if count:
+        append(rows.coalesce(max(1, -(-count // ROWS_PER_FILE) * 4)), warehouse, name)
+
+
+def _timed(counts: DataFrame, load_id: str, began: float) -> DataFrame:
+    return counts.withColumns({"load_id": F.lit(load_id), "elapsed_ms": F.lit((time.monotonic() - began) * 1000)})
 
 
 def load_caregivers(raw: DataFrame, warehouse: str, load_id: str | None = None) -> DataFrame:
-    """Store new franchisors, agencies, locations and caregivers; returns counts per file."""
-    spark, load_id = raw.sparkSession, load_id or uuid.uuid4().hex
+    """Store new franchisors, agencies, locations and caregivers; returns counts per file, with the load's id and time."""
+    spark, load_id, began = raw.sparkSession, load_id or uuid.uuid4().hex, time.monotonic()
     raw = staged(raw, "raw-caregiver")
     for name, extract, table in [
         ("franchisor", dims.franchisors, FRANCHISOR),
         ("agency", dims.agencies, AGENCY),
         ("location", dims.locations, LOCATION),
     ]:
-        append(extract(raw, read_table(spark, warehouse, name)).select(*table.fieldNames()), warehouse, name)
+        _append(staged(extract(raw, read_table(spark, warehouse, name)).select(*table.fieldNames()), f"new-{name}"), warehouse, name)
     cleaned = clean_caregivers(raw)
-    new = staged(
-        admit.admit_caregivers(readable(cleaned, "caregiverId"), read_table(spark, warehouse, "caregiver")),
-        "new-caregiver",
-    )
-    append(new.select(*CAREGIVER.fieldNames()), warehouse, "caregiver")
-    rejected = rejects(cleaned, "caregiverId")
-    _set_aside(rejected, warehouse, "rejected_caregiver", load_id)
-    return _report(metrics.per_file(raw, new, rejected), warehouse, "caregiver", load_id)
+    stored = read_table(spark, warehouse, "caregiver")
+    new = staged(admit.admit_caregivers(readable(cleaned, "caregiverId"), stored), "new-caregiver")
+    _set_aside(rejects(cleaned, "caregiverId"), warehouse, "rejected_caregiver", load_id)
+    counts = _report(metrics.per_file(cleaned, "caregiverId", stored), warehouse, "caregiver", load_id)
+    _append(new.select(*CAREGIVER.fieldNames()), warehouse, "caregiver")
+    return _timed(counts, load_id, began)
 
 
 def load_carelogs(raw: DataFrame, warehouse: str, load_id: str | None = None) -> DataFrame:
-    """Store new visits of known caregivers; returns counts per file."""
-    spark, load_id = raw.sparkSession, load_id or uuid.uuid4().hex
+    """Store new visits of known caregivers; returns counts per file, with the load's id and time."""
+    spark, load_id, began = raw.sparkSession, load_id or uuid.uuid4().hex, time.monotonic()
     cleaned = staged(clean_carelogs(raw), "clean-carelog")
-    rows = readable(cleaned, "carelogId")
+    rows, stored = readable(cleaned, "carelogId"), read_table(spark, warehouse, "carelog")
     # written out, its size is known when the joins with the wide rows are planned
     unknown = staged(admit.unknown_caregivers(rows, read_table(spark, warehouse, "caregiver")), "unknown-caregiver")
-    new = staged(admit.admit_carelogs(rows, unknown, read_table(spark, warehouse, "carelog")), "new-carelog")
-    append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
-    orphaned = admit.orphans(rows, unknown)
-    _keep_orphans(orphaned, warehouse)
-    rejected = rejects(cleaned, "carelogId")
-    _set_aside(rejected, warehouse, "rejected_carelog", load_id)
-    return _report(metrics.per_file(cleaned, new, rejected, orphaned), warehouse, "carelog", load_id)
+    new = staged(admit.admit_carelogs(rows, unknown, stored), "new-carelog")
+    _keep_orphans(admit.orphans(rows, unknown), warehouse)
+    _set_aside(rejects(cleaned, "carelogId"), warehouse, "rejected_carelog", load_id)
+    counts = _report(metrics.per_file(cleaned, "carelogId", stored, unknown), warehouse, "carelog", load_id)
+    _append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
+    return _timed(counts, load_id, began)
 
 
 def _keep_orphans(orphaned: DataFrame, warehouse: str) -> None:
+    """Add waiting visits to the newest generation, those that wait already left out."""
     key = ["carelogId", "caregiverId"]
-    waiting = read_table(orphaned.sparkSession, warehouse, ORPHANS, like=orphaned)
-    append(admit.not_stored(admit.first_rows(orphaned, key), waiting, key).select(*orphaned.columns), warehouse, ORPHANS)
+    waiting, folder = _waiting(orphaned.sparkSession, warehouse)
+    new = staged(admit.not_stored(admit.first_rows(orphaned, key), waiting, key).select(*waiting.columns), "new-orphan")
+    _append(new, f"{warehouse}/{ORPHANS}", folder)
 
 
-def retry_orphans(spark: SparkSession, warehouse: str) -> int:
-    """Admit waiting visits whose caregiver has arrived since; returns how many."""
-    like = spark.createDataFrame([], CARELOG).selectExpr(
-        "*", "'' AS source_file", "0L AS block_start", "0L AS row_id"
+def _waiting(spark: SparkSession, warehouse: str) -> tuple[DataFrame, str]:
+    """Visits that still wait for their caregiver, and the folder of the newest generation of them.
+
+    A generation holds all that waits. An earlier one stays until the owner removes it.
+    """
+    like = spark.createDataFrame([], CARELOG).select(
+        "*", F.lit(None).cast("timestamp").alias("modified"), F.lit("").alias("source_file"),
+        F.lit(0).cast("bigint").alias("block_start"), F.lit(0).cast("bigint").alias("row_id"),
     )
-    waiting = read_table(spark, warehouse, ORPHANS, like=like)
-    unknown = admit.unknown_caregivers(waiting, read_table(spark, warehouse, "caregiver"))
+    marks = read_table(spark, warehouse, f"{ORPHANS}_generation", like=spark.createDataFrame([], "generation bigint"))
+    folder = f"generation-{marks.agg(F.coalesce(F.max('generation'), F.lit(0))).first()[0]}"
+    return read_table(spark, f"{warehouse}/{ORPHANS}", folder, like=like), folder
+
+
+def retry_orphans(spark: SparkSession, warehouse: str) -> int:
+    """Admit waiting visits whose caregiver has arrived since; returns how many.
+
+    What still waits is written as a new generation, so that a visit is looked at no
+    more once it is stored.
+    """
+    waiting, folder = _waiting(spark, warehouse)
+    unknown = staged(admit.unknown_caregivers(waiting, read_table(spark, warehouse, "caregiver")), "unknown-caregiver")
     new = staged(admit.admit_carelogs(waiting, unknown, read_table(spark, warehouse, "carelog")), "retried-carelog")
-    append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
-    return new.count()
+    count = new.count()
+    if count:
+        _append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")
+        _report(
+            new.groupBy("source_file").agg(F.count("*").alias("admitted_later")), warehouse, "orphan", uuid.uuid4().hex
+        )
+    still = admit.orphans(waiting, unknown)
+    number = int(folder.rsplit("-", 1)[1]) + 1
+    if count or not waiting.isEmpty() and still.isEmpty():
+        still.write.parquet(table_path(f"{warehouse}/{ORPHANS}", f"generation-{number}"))
+        append(spark.createDataFrame([(number,)], "generation bigint").coalesce(1), warehouse, f"{ORPHANS}_generation")
+    return count
+
+
+def missing_columns(file: csv_files.CsvFile, rules: list[Rule]) -> list[str]:
+    return sorted({rule.field for rule in rules if rule.required} - set(file.header))
 
 
 def check_headers(files: list[csv_files.CsvFile], rules: list[Rule]) -> None:
     """Stop before any job if a file lacks required columns."""
-    required = {rule.field for rule in rules if rule.required}
     for file in files:
-        missing = sorted(required - set(file.header))
+        missing = missing_columns(file, rules)
         if missing:
             raise MissingColumns(f"{file.name}: required columns not found: {', '.join(missing)}")
 
 
-def run_load(spark: SparkSession, folder: str, warehouse: str) -> DataFrame:
-    """Load every CSV file of a folder: caregivers first, then visits.
+def run_load(spark: SparkSession, folder: str, warehouse: str, multi_line: bool = True) -> DataFrame:
+    """Load every CSV file of a folder: caregivers first, then visits, then visits that waited.
 
     Files are told apart by name; others are left alone. Returns counts per file.
     """
@@ -110,7 +164,8 @@ def run_load(spark: SparkSession, folder: str, warehouse: str) -> DataFrame:
         mine = [f for f in files if csv_files.kind_of(f.name) == kind and f.header]
         if mine:
             check_headers(mine, rules)
-            results.append(load(csv_files.read_files(spark, mine), warehouse))
+            results.append(load(csv_files.read_files(spark, mine, multi_line=multi_line), warehouse))
     if not results:
         raise FileNotFoundError(f"no caregiver or carelog CSV files in {folder}")
+    retry_orphans(spark, warehouse)
     return reduce(DataFrame.unionByName, results)

@@ -19,8 +19,19 @@ def first_rows(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.withColumn("copy", place).where(F.col("copy") == 1).drop("copy")
 
 
+def stored_among(stored: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """Stored keys that a load brings again.
+
+    The stored side is reduced by the keys of the load before it is compared with wide
+    rows. A load has few keys beside the table, so that Spark may broadcast them by
+    their measured size and need not shuffle the table's.
+    """
+    wanted = rows.select(*key).distinct()
+    return stored.select(*key).join(wanted, key, "left_semi").distinct()
+
+
 def not_stored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
-    return rows.join(stored.select(*key), key, "left_anti")
+    return rows.join(stored_among(stored, rows, key), key, "left_anti")
 
 
 def admit_caregivers(rows: DataFrame, stored: DataFrame) -> DataFrame:

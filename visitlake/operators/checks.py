@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.schemas import FOREIGN_KEYS, UNIQUE_KEYS
+from visitlake.schemas import FOREIGN_KEYS, TABLES, UNIQUE_KEYS
 
 
 def _zero(c: Column) -> Column:
@@ -53,10 +53,11 @@ def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
-def not_null(tables: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
-    """Rows without a value, per required column; one pass over each table."""
+def not_null(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows without a value, per column that must have one; one pass over each table."""
     checks = []
-    for table, columns in required.items():
+    for table, layout in TABLES.items():
+        columns = [f.name for f in layout if not f.nullable]
         counted = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
         pairs = F.explode(
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_rows")) for c in columns])

@@ -12,6 +12,8 @@ from visitlake.functions import parsing
 from visitlake.functions.ladders import ladder
 from visitlake.schemas import CORRUPT, ORIGIN
 
+UNREADABLE = "unreadable_times"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -74,7 +76,8 @@ def apply_rules(raw: DataFrame, rules: list[Rule]) -> DataFrame:
     """Clean and rename in one projection.
 
     A field the input does not have stays NULL, unless it is required. The
-    columns telling where a row came from are kept.
+    columns telling where a row came from are kept, and ``unreadable_times`` tells how
+    many of a row's times are neither empty nor readable.
     """
     present = set(raw.columns)
     missing = [rule.field for rule in rules if rule.required and rule.field not in present]
@@ -84,7 +87,10 @@ def apply_rules(raw: DataFrame, rules: list[Rule]) -> DataFrame:
         (rule.transform(F.col(rule.field)) if rule.field in present else F.lit(None).cast(rule.kind)).alias(rule.column)
         for rule in rules
     ]
-    return raw.select(*cleaned, *ORIGIN, CORRUPT)
+    times = {f"__{rule.field}": rule for rule in rules if rule.transform is parsing.timestamp and rule.field in present}
+    told = raw.select(*cleaned, *ORIGIN, CORRUPT, *[F.col(rule.field).alias(name) for name, rule in times.items()])
+    unreadable = sum((parsing.unreadable_time(F.col(n), F.col(rule.column)).cast("int") for n, rule in times.items()), F.lit(0))
+    return told.withColumn(UNREADABLE, unreadable).drop(*times)
 
 
 def clean_caregivers(raw: DataFrame) -> DataFrame:

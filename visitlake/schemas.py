@@ -68,8 +68,9 @@ RAW_CARELOG = [
     "split", "documentation", "general_comment_char_count",
 ]
 
-# Where a raw row came from; ordering by these three restores file order.
-ORIGIN = ["source_file", "block_start", "row_id"]
+# Where a raw row came from. Ordering by these takes older files first, files of one
+# moment by name, and the rows of a file in their order.
+ORIGIN = ["modified", "source_file", "block_start", "row_id"]
 CORRUPT = "_corrupt_record"
 
 

@@ -8,11 +8,11 @@ contain line breaks.
 from __future__ import annotations
 
 import csv
-import re
+import datetime as dt
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +30,6 @@ OPTIONS = {
     # rows of the wrong length are recognised even if few columns are selected
     "columnPruning": "false",
 }
-PEEKS = 16
 
 
 @dataclass(frozen=True)
@@ -38,6 +37,7 @@ class CsvFile:
     path: str
     size: int
     header: tuple[str, ...]
+    modified: dt.datetime | None = None
 
     @property
     def name(self) -> str:
@@ -57,43 +57,34 @@ def kind_of(name: str) -> str | None:
 def discover(spark: SparkSession, folder: str) -> list[CsvFile]:
     """The CSV files directly in a folder, by name, with sizes and headers.
 
-    Only names and lengths are listed and one line per file is read, each by a
-    tiny job of its own; files without a byte in them do not show up.
+    One job lists names and lengths, and one reads the folder as lines and keeps the
+    first of each file. Spark's reader holds the list of files on the driver anyway.
     """
-    listing = (
-        prepare(spark).read.format("binaryFile").option("pathGlobFilter", CSV_NAMES).load(folder)
-        .select("path", "length").orderBy("path")
-    )
-
-    def peek(row) -> CsvFile:
-        first = spark.read.text(row["path"]).head()
-        line = first[0].lstrip("﻿") if first else ""
-        return CsvFile(row["path"], row["length"], tuple(next(csv.reader([line]), [])))
+    return described(prepare(spark), folder)
 
-    with ThreadPoolExecutor(PEEKS) as pool:
-        return list(pool.map(peek, listing.toLocalIterator()))
 
-
-def _quotes(value: Column) -> Column:
-    return F.length(value) - F.length(F.replace(value, F.lit('"')))
+def described(spark: SparkSession, paths: str | list[str]) -> list[CsvFile]:
+    """The CSV files of a folder, or those named one by one."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", CSV_NAMES).load(paths).select("path", "length", "modificationTime")
+    lines = spark.read.option("pathGlobFilter", CSV_NAMES).option("lineSep", "\n").text(paths)
+    first = (
+        lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+        .where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    )
+    headers = {_name(r["file"]): r["header"] for r in first.toLocalIterator()}
+    known = {_name(r["path"]): (r["path"], r["length"], r["modificationTime"]) for r in listing.toLocalIterator()}
+    # a file without a byte is listed, but gives no row to any reader
+    for path in lines.inputFiles():
+        known.setdefault(_name(path), (unquote(path), 0, None))
+    return [CsvFile(known[n][0], known[n][1], _header(headers.get(n)), known[n][2]) for n in sorted(known)]
 
 
-def _lines(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
-    """Physical lines in file order: source_file, block_start, line, value, and whether quotes are left open."""
-    lines = spark.read.option("lineSep", "\n").text([f.path for f in files])
-    return lines.select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        (_quotes(F.col("value")) % 2).alias("odd"),
-    )
+def _name(path: str) -> str:
+    return unquote(path).rsplit("/", 1)[-1]
 
 
-def _with_line_breaks(spark: SparkSession, files: list[CsvFile]) -> set[str]:
-    """Names of files with a record over several lines: some line then has an odd number of quotes."""
-    found = _lines(spark, files).groupBy("source_file").agg(F.max("odd").alias("odd")).where("odd = 1")
-    return {row["source_file"] for row in found.select("source_file").toLocalIterator()}
+def _header(line: str | None) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.rstrip("\r").lstrip("﻿")]), [])) if line else ()
 
 
 def _schema(header: tuple[str, ...]) -> T.StructType:
@@ -106,96 +97,36 @@ def _read_plain(spark: SparkSession, files: list[CsvFile], multi_line: bool) ->
     rows = reader.option("header", True).option("multiLine", multi_line).csv([f.path for f in files])
     return rows.select(
         "*",
+        F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
     )
 
 
-def _read_split(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
-    """Records over several lines in files too large for one task.
-
-    A line starts a record if the quotes before it are balanced. The balance at
-    the start of a block is the sum over the blocks before it, one number each;
-    inside a block it is a running sum. Lines of one record then meet by the
-    position of its first line.
-    """
-    lines = _lines(spark, files)
-    block, file = ["source_file", "block_start"], Window.partitionBy("source_file").orderBy("block_start")
-    earlier = file.rowsBetween(Window.unboundedPreceding, -1)
-    balance = lines.groupBy(*block).agg(F.sum("odd").alias("odd")).select(
-        *block, F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("open_before")
-    )
-    inside = Window.partitionBy(*block).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    opened = lines.join(balance, block).withColumn(
-        "starts", (F.col("open_before") + F.coalesce(F.sum("odd").over(inside), F.lit(0))) % 2 == 0
-    )
-    # last record start up to each line, and for leading lines of a block the one in an earlier block
-    upto = Window.partitionBy(*block).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.when(F.col("starts"), F.struct("block_start", "line"))
-    placed = opened.withColumn("start", F.last(start, ignorenulls=True).over(upto))
-    last_lines = opened.groupBy(*block).agg(F.max(F.when(F.col("starts"), F.col("line"))).alias("line"))
-    last_start = F.when(F.col("line").isNotNull(), F.struct("block_start", "line"))
-    carried = last_lines.select(*block, F.last(last_start, ignorenulls=True).over(earlier).alias("carried"))
-    keyed = placed.join(carried, block).withColumn("start", F.coalesce("start", "carried"))
-
-    # most records are one line and need not meet any other
-    alone = F.col("starts") & (F.col("odd") == 0)
-    pieces = F.sort_array(F.collect_list(F.struct("block_start", "line", "value")))
-    joined = keyed.where(~alone).groupBy("source_file", "start").agg(
-        F.array_join(pieces.getField("value"), "\n").alias("record")
-    )
-    records = keyed.where(alone).select("source_file", "start", F.col("value").alias("record")).unionByName(joined)
-    records = records.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.length("record") > 0)
-    # the header is the first line of its file
-    header = lines.where("block_start = 0").groupBy("source_file").agg(F.min("line").alias("header"))
-    records = records.join(header, "source_file").where(
-        (F.col("start.block_start") > 0) | (F.col("start.line") != F.col("header"))
-    )
-    parsed = F.from_csv("record", ", ".join(f"{f.name} STRING" for f in _schema(files[0].header)), OPTIONS)
-    return records.select(
-        parsed.alias("row"), "source_file", F.col("start.block_start"), F.col("start.line").alias("row_id")
-    ).select("row.*", *ORIGIN)
-
-
-def too_long(corrupt: Column, width: int) -> Column:
+def too_long(corrupt: Column, width: int | Column) -> Column:
     """Whether a row of the wrong length has more values than the header."""
     bare = F.regexp_replace(corrupt, '"[^"]*"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","))) >= width
 
 
-_UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
-
-
-def split_size(spark: SparkSession) -> int:
-    """Bytes one task reads; only larger files are worth splitting."""
-    number, unit = re.fullmatch(r"(\d+)([a-z]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
-    return int(number) * _UNITS[unit]
-
-
-def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = False) -> DataFrame:
+def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = False, multi_line: bool = True) -> DataFrame:
     """Rows of the files as text, with the place each came from.
 
-    A row with too many values is kept and the surplus ignored; one with too few
-    has ``_corrupt_record`` set. ``keep_ragged`` marks both, for validation.
-    Columns absent from a file are NULL in its rows.
+    Quoted values may hold line breaks, so that each file is read by one task. A
+    caller who knows that none does may say ``multi_line=False``, and large files are
+    split; the rows are the same then. A row with too many values is kept and the
+    surplus ignored; one with too few has ``_corrupt_record`` set. ``keep_ragged``
+    marks both, for validation. Columns absent from a file are NULL in its rows.
     """
-    limit = split_size(prepare(spark))
-    large = [f for f in files if f.size > limit]
-    broken = _with_line_breaks(spark, large) if large else set()
-
-    def way(f: CsvFile) -> str:
-        if f.size <= limit:
-            return "whole"
-        return "records" if f.name in broken else "lines"
-
+    prepare(spark)
     groups: dict[tuple, list[CsvFile]] = defaultdict(list)
     for f in files:
         if f.header:
-            groups[(f.header, way(f))].append(f)
+            groups[f.header].append(f)
     parts = []
-    for (header, how), members in groups.items():
-        rows = _read_split(spark, members) if how == "records" else _read_plain(spark, members, how == "whole")
+    for header, members in groups.items():
+        rows = _read_plain(spark, members, multi_line)
         # of two columns with one name the last counts
         place = {name: F.col(f"c{i}") for i, name in enumerate(header)}
         bad = F.col(CORRUPT) if keep_ragged else F.when(~too_long(F.col(CORRUPT), len(header)), F.col(CORRUPT))
@@ -208,9 +139,8 @@ def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = Fa
 
 
 def preview(spark: SparkSession, path: str, rows: int = 5) -> DataFrame:
-    """The first rows of a file."""
-    file = discover(spark, path)
-    return read_files(spark, file).orderBy(*ORIGIN).drop(*ORIGIN, CORRUPT).limit(rows)
+    """The first rows of a file, which the reader hands out in file order."""
+    return read_files(spark, discover(spark, path)).limit(rows).drop(*ORIGIN, CORRUPT)
 
 
 def headers(spark: SparkSession, path: str) -> list[str]:
@@ -218,6 +148,29 @@ def headers(spark: SparkSession, path: str) -> list[str]:
     return list(discover(spark, path)[0].header)
 
 
+def numbered(rows: DataFrame, chosen: Column) -> DataFrame:
+    """The ``chosen`` rows with ``row_number``, their place among the rows of their file, from 1.
+
+    Row ids count up inside a block. So a row's place is its distance to the first id of
+    its block, and the rows of earlier blocks, counted once per block.
+    """
+    block = ["source_file", "block_start"]
+    blocks = rows.groupBy(*block).agg(F.min("row_id").alias("first_id"), F.count("*").alias("block_rows"))
+    before = Window.partitionBy("source_file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("rows_before", F.coalesce(F.sum("block_rows").over(before), F.lit(0)))
+    place = F.col("row_id") - F.col("first_id") + F.col("rows_before") + 1
+    return rows.where(chosen).join(blocks, block).withColumn("row_number", place).drop("first_id", "block_rows", "rows_before")
+
+
+def bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose length differs from the header: file, place in the file, what is wrong."""
+    files = discover(spark, folder)
+    rows = numbered(read_files(spark, files, keep_ragged=True), F.col(CORRUPT).isNotNull())
+    rows = rows.join(_described(spark, files).select("source_file", "column_count"), "source_file")
+    longer = too_long(F.col(CORRUPT), F.col("column_count"))
+    return rows.select("source_file", "row_number", F.when(longer, "more values than columns").otherwise("fewer values than columns").alias("problem"))
+
+
 def _described(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
     """What is known of the files without reading their rows."""
     facts = [
@@ -237,8 +190,8 @@ def profile(spark: SparkSession, folder: str) -> DataFrame:
     counted = rows.groupBy("source_file").agg(
         F.count("*").alias("row_count"), F.min(width).alias("shortest_row"), F.max(width).alias("longest_row")
     )
-    described = _described(spark, files).drop("duplicate_columns").join(counted, "source_file", "left")
-    return described.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+    told = _described(spark, files).drop("duplicate_columns").join(counted, "source_file", "left")
+    return told.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
 def validate(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,4 +202,4 @@ def validate(spark: SparkSession, folder: str) -> DataFrame:
     )
     checked = _described(spark, files).drop("file_size", "column_count").join(counted, "source_file", "left")
     checked = checked.fillna(0, ["row_count", "inconsistent_rows"])
-    return checked.withColumn("is_valid", (F.col("inconsistent_rows") == 0) & (F.col("duplicate_columns") == ""))
+    return checked.withColumn("is_valid", (F.col("inconsistent_rows") == 0) & (F.col("duplicate_columns") == "") & (F.col("headers") != ""))

@@ -108,10 +108,34 @@ CARELOG_PLAIN = {
 DUPLICATED = "{key} % 20 = 3"
 
 
+def written_time(column: str, key: str) -> str:
+    """A time to the minute in one of many layouts, by key; SQL that both engines read."""
+    year, month, day, hour, minute = (f"CAST({part}({column}) AS STRING)" for part in ("year", "month", "day", "hour", "minute"))
+    two = {x: f"lpad({x}, 2, '0')" for x in (month, day, hour, minute)}
+    names = "January February March April May June July August September October November December".split()
+    name = f"CASE month({column}) " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(names, 1)) + " END"
+    short = f"substr({name}, 1, 3)"
+    twelve = f"lpad(CAST((hour({column}) + 11) % 12 + 1 AS STRING), 2, '0')"
+    half = f"CASE WHEN hour({column}) < 12 THEN '{{}}' ELSE '{{}}' END"
+    clock, clock12 = f"{two[hour]} || ':' || {two[minute]}", f"{twelve} || ':' || {two[minute]}"
+    layouts = [
+        f"{month} || '/' || {day} || '/' || {year} || ', ' || {clock12} || ':00 ' || {half.format('AM', 'PM')}",
+        f"{month} || '/' || {day} || '/' || {year} || ' ' || {clock12} || ' ' || {half.format('am', 'pm')}",
+        f"{short} || ' ' || {day} || ' ' || {year} || ' ' || {clock}",
+        f"{day} || ' ' || {name} || ' ' || {year} || ' ' || {clock}",
+        f"'Tue, ' || {two[day]} || ' ' || {short} || ' ' || {year} || ' ' || {clock} || ':00 GMT'",
+        f"'Mon ' || {short} || ' ' || {two[day]} || ' ' || {year} || ' ' || {clock} || ':00'",
+        f"{two[month]} || '-' || {two[day]} || '-' || {year} || ' ' || {clock}",
+        f"{name} || ' ' || {day} || ', ' || {year} || ' ' || {clock}",
+        f"{year} || '/' || {two[month]} || '/' || {two[day]} || ' ' || {clock} || ':00'",
+    ]
+    return f"CASE {key} % 20 " + " ".join(f"WHEN {k} THEN {layout}" for k, layout in enumerate(layouts)) + f" ELSE CAST({column} AS STRING) END"
+
+
 def spoiled_time(column: str) -> str:
     return (
         f"CASE WHEN k % 7 = 0 THEN 'None' WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN 'not-a-date' "
-        f"ELSE CAST({column} AS STRING) END"
+        f"ELSE {written_time(column, 'k')} END"
     )
 
 
@@ -137,12 +161,12 @@ RAW_CAREGIVER_EXPRS = {
     "gender": "gender",
     "applicant": FLAG_TEXT.format(key="w"),
     "birthday_date": "CASE WHEN w % 7 = 0 THEN 'None' ELSE CAST(CAST(birthdayDate AS DATE) AS STRING) END",
-    "onboarding_date": "CASE WHEN w % 13 = 0 THEN 'not-a-date' ELSE CAST(onboardingDate AS STRING) END",
+    "onboarding_date": "CASE WHEN w % 13 = 0 THEN 'not-a-date' ELSE " + written_time("onboardingDate", "w") + " END",
     "locations_id": "CASE WHEN w % 19 = 0 THEN NULL ELSE locationId END",
     "location_name": "CASE WHEN w % 23 = 0 THEN '' ELSE 'Site ' || CAST(w % 50 AS STRING) || ' v' || CAST(w % 3 AS STRING) END",
     "applicant_status": "applicantStatus",
     "status": "status",
-    "source_file": "'caregiver_' || CAST(w % 4 AS STRING) || '.csv'",
+    "source_file": "'caregiver_' || CAST(w % 4 AS STRING) || '_' || CAST(CAST((w - w % 100000) / 100000 AS BIGINT) AS STRING) || '.csv'",
     "row_id": "w * 2",
 }
 RAW_CARELOG_EXPRS = {
@@ -161,7 +185,7 @@ RAW_CARELOG_EXPRS = {
     "split": FLAG_TEXT.format(key="k"),
     "documentation": "documentation",
     "general_comment_char_count": COUNT_TEXT,
-    "source_file": "'carelog_' || CAST(k % 3 AS STRING) || '.csv'",
+    "source_file": "'carelog_' || CAST(k % 3 AS STRING) || '_' || CAST(CAST((k - k % 500000) / 500000 AS BIGINT) AS STRING) || '.csv'",
     "row_id": "k * 2",
 }
 
@@ -184,12 +208,6 @@ def derive_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(_workers(spark, sf_dir), caregiver_exprs(spark_add_minutes, "TIMESTAMP_NTZ"), "w")
 
 
-def _spread(rows: DataFrame, source: DataFrame) -> DataFrame:
-    """Use all cores if the source is too small to be read by as many tasks; large ones stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if source.rdd.getNumPartitions() < cores else rows
-
-
 def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     size = documents.agg(F.count("*").alias("documents"))
@@ -208,7 +226,7 @@ def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     exprs = CARELOG_PLAIN | visit_time_exprs(spark_add_minutes)
     length = F.expr(NOTE_LENGTH).cast("int").alias("generalCommentCharCount")
     rows = _columns(noted, exprs, "franchisorId", "agencyId", "documentation", length, "k")
-    return _spread(rows.select(*schemas.CARELOG.fieldNames(), "k"), source)
+    return rows.select(*schemas.CARELOG.fieldNames(), "k")
 
 
 # Derived tables written by this process: (application, source folder, table) -> folder.
@@ -269,7 +287,7 @@ def _mark_second(rows: DataFrame, field: str) -> DataFrame:
 
 def _with_origin(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
-        {"block_start": F.lit(0).cast("bigint"), schemas.CORRUPT: F.lit(None).cast("string")}
+        {"modified": F.lit(None).cast("timestamp"), "block_start": F.lit(0).cast("bigint"), schemas.CORRUPT: F.lit(None).cast("string")}
     )
 
 
@@ -307,21 +325,54 @@ def stored_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 SHORT_ROW, LONG_ROW = "row_id % 50 = 20", "row_id % 60 = 40"
 
 
-def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
-    """Write the raw rows as CSV folders and return them by table name.
+# What the constraint checks are to find: parents left out, and rows without a needed value.
+MISSING_PARENTS = {"franchisor": "franchisorId = 'F1'", "agency": "agencyId = 'A3'", "location": "locationId = 'L7'"}
+NO_VALUE = {"caregiver": ("profileId", "caregiverId LIKE '%77'"), "carelog": ("franchisorId", "carelogId LIKE '%13'")}
+
+
+def spoiled(rows: DataFrame, table: str) -> DataFrame:
+    if table in MISSING_PARENTS:
+        return rows.where(~F.expr(MISSING_PARENTS[table]))
+    column, condition = NO_VALUE[table]
+    return rows.withColumn(column, F.when(~F.expr(condition), F.col(column)))
+
+
+# Files beside the derived ones: without a byte, and with a repeated column. Neither is a caregiver or visit file.
+EMPTY_FILE, TWICE_FILE = "extra_empty.csv", ("extra_twice.csv", "a,b,a\n1,2,3\n")
+
+
+def write_mixed_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write the raw rows as CSV files into one folder, a file per name in ``source_file``, and return it.
 
     Caregiver rows are written as plain lines, some with the wrong number of
     values. Visit rows are quoted where needed and hold line breaks.
     """
-    paths = {kind: f"{folder}/{kind}" for kind in ("caregiver", "carelog")}
     fields = schemas.RAW_CAREGIVER
-    values = [F.coalesce(F.col(c), F.lit("")) for c in fields]
+    values = [F.when(F.contains(c, F.lit(",")), F.concat(F.lit('"'), c, F.lit('"'))).otherwise(F.coalesce(c, F.lit(""))) for c in map(F.col, fields)]
     line = F.when(F.expr(SHORT_ROW), F.concat_ws(",", *values[:-1])).when(
         F.expr(LONG_ROW), F.concat_ws(",", *values, F.lit("surplus"))
     ).otherwise(F.concat_ws(",", *values))
-    lines = raw_caregivers(spark, sf_dir).select(line.alias(",".join(fields)))
+    place = ["source_file", "row_id"]
+    in_order = lambda rows: rows.repartition("source_file").sortWithinPartitions(*place)
+    lines = in_order(raw_caregivers(spark, sf_dir).select(line.alias(",".join(fields)), *place)).drop("row_id")
     plain = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    lines.write.options(**plain).csv(paths["caregiver"])
+    lines.write.options(**plain).partitionBy("source_file").csv(f"{folder}/written/caregiver")
     quoted = plain | {"sep": ",", "quote": '"', "escape": '"'}
-    raw_carelogs(spark, sf_dir).select(*schemas.RAW_CARELOG).write.options(**quoted).csv(paths["carelog"])
-    return paths
+    visits = in_order(raw_carelogs(spark, sf_dir).select(*schemas.RAW_CARELOG, *place)).drop("row_id")
+    visits.write.options(**quoted).partitionBy("source_file").csv(f"{folder}/written/carelog")
+    _gather(spark, folder)
+    return f"{folder}/files"
+
+
+def _gather(spark: SparkSession, folder: str) -> None:
+    """Give the written files the names of the partitions they lie in, all in one folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    store.mkdirs(path(f"{folder}/files"))
+    for status in store.globStatus(path(f"{folder}/written/*/source_file=*/part-*")):
+        name = status.getPath().getParent().getName().split("=", 1)[1]
+        store.rename(status.getPath(), path(f"{folder}/files/{name}"))
+    for name, content in ((EMPTY_FILE, ""), TWICE_FILE):
+        out = store.create(path(f"{folder}/files/{name}"))
+        out.write(bytearray(content.encode()))
+        out.close()

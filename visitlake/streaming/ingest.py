@@ -1,9 +1,10 @@
 """Incremental load: new files of a folder are processed once, in small batches.
 
-The same steps as the batch load run on every micro-batch. Duplicates are found
-against the stored tables, so the stream itself keeps no state beyond the list
-of files already seen. Files are taken in the order of their modification times;
-of two copies of an id the one in the earlier batch wins.
+A stream finds the files; each micro-batch reads its files with the reader of the
+batch load, by their own headers, and takes the same steps. Duplicates are found
+against the stored tables, so the stream itself keeps no state beyond the list of files
+already seen. Files are taken in the order of their modification times, and of two
+copies of an id the one in the older file wins, whatever the size of a batch.
 """
 
 from __future__ import annotations
@@ -11,66 +12,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from visitlake.load import load_caregivers, load_carelogs, retry_orphans
-from visitlake.schemas import CORRUPT, RAW_CAREGIVER, RAW_CARELOG, raw_schema
+from visitlake.load import load_caregivers, load_carelogs, missing_columns, retry_orphans
+from visitlake.operators.clean import CAREGIVER_RULES, CARELOG_RULES, Rule
 from visitlake.session import prepare
-from visitlake.sources.csv_files import CSV_NAMES, OPTIONS, too_long
+from visitlake.sources import csv_files
+from visitlake.sources.csv_files import CSV_NAMES
+from visitlake.sources.tables import append
 
 FILES_PER_BATCH = 64
+REFUSED = "refused_file"
 
 
-def raw_stream(
-    spark: SparkSession, folder: str, fields: list[str], names: str = CSV_NAMES, files_per_batch: int = FILES_PER_BATCH
-) -> DataFrame:
-    """New CSV files as text rows. All files must have exactly these columns in this order."""
-    reader = prepare(spark).readStream.schema(raw_schema(fields)).options(**OPTIONS)
-    rows = (
-        reader.option("header", True)
-        # a file with another header fails instead of shifting values into wrong columns
-        .option("enforceSchema", False)
-        .option("multiLine", True)
-        .option("pathGlobFilter", names)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-    )
-    short = F.when(~too_long(F.col(CORRUPT), len(fields)), F.col(CORRUPT))
-    return rows.withColumns(
-        {
-            CORRUPT: short,
-            "source_file": F.col("_metadata.file_name"),
-            "block_start": F.col("_metadata.file_block_start"),
-        }
-    )
+def new_files(spark: SparkSession, folder: str, names: str = CSV_NAMES, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A stream of new files: path, length and modification time. Their contents are not read."""
+    layout = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = prepare(spark).readStream.format("binaryFile").schema(layout).option("pathGlobFilter", names)
+    return reader.option("maxFilesPerTrigger", files_per_batch).load(folder).select("path", "length", "modificationTime")
 
 
 def process_in_batches(
-    rows: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
+    files: DataFrame, on_batch: Callable[[DataFrame, str], None], checkpoint: str,
+    rules: list[Rule], multi_line: bool = True, refuse: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Hand what has arrived to ``on_batch`` in micro-batches, each with its number, and return when done.
+    """Hand the rows of what has arrived to ``on_batch`` in micro-batches, each with an id, and return when done.
 
-    A batch interrupted by a failure comes again with the same rows and number.
+    A batch interrupted by a failure comes again with the same rows and id; the id names
+    the stream, too, so that another stream's batches have others. Files that lack
+    required columns are handed to ``refuse`` (file and reason), and the others go on.
     """
-    query = (
-        rows.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def one(found: DataFrame, number: int) -> None:
+        spark = found.sparkSession
+        paths = [r["path"] for r in found.select("path").toLocalIterator()]  # a batch's files
+        if not paths:
+            return
+        told = csv_files.described(spark, paths)
+        reasons = {f.name: missing_columns(f, rules) for f in told if f.header}
+        bad = [(n, f"required columns not found: {', '.join(missing)}") for n, missing in reasons.items() if missing]
+        if bad and refuse:
+            refuse(spark.createDataFrame(bad, "source_file string, reason string"))
+        good = [f for f in told if f.header and not reasons[f.name]]
+        if good:
+            stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+            on_batch(csv_files.read_files(spark, good, multi_line=multi_line), f"{stream}-{number}")
+
+    query = files.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
-def _load_batches(rows: DataFrame, load: Callable, warehouse: str, checkpoint: str) -> None:
-    def on_batch(raw: DataFrame, number: int) -> None:
-        # a repeated batch has the same number and replaces its own reports
-        load(raw.withColumn("row_id", F.monotonically_increasing_id()), warehouse, f"batch-{number}")
-
-    process_in_batches(rows, on_batch, checkpoint)
-
-
 def ingest(
     spark: SparkSession,
     caregiver_folder: str,
@@ -80,10 +72,18 @@ def ingest(
     caregiver_names: str = CSV_NAMES,
     carelog_names: str = CSV_NAMES,
     files_per_batch: int = FILES_PER_BATCH,
+    multi_line: bool = True,
 ) -> None:
     """Process what has arrived since the last call: all caregivers, then all visits, then waiting visits."""
-    caregivers = raw_stream(spark, caregiver_folder, RAW_CAREGIVER, caregiver_names, files_per_batch)
-    _load_batches(caregivers, load_caregivers, warehouse, f"{checkpoint}/caregiver")
-    carelogs = raw_stream(spark, carelog_folder, RAW_CARELOG, carelog_names, files_per_batch)
-    _load_batches(carelogs, load_carelogs, warehouse, f"{checkpoint}/carelog")
+
+    def refuse(found: DataFrame) -> None:
+        append(found.coalesce(1), warehouse, REFUSED)
+
+    for kind, folder, names, rules, load in (
+        ("caregiver", caregiver_folder, caregiver_names, CAREGIVER_RULES, load_caregivers),
+        ("carelog", carelog_folder, carelog_names, CARELOG_RULES, load_carelogs),
+    ):
+        files = new_files(spark, folder, names, files_per_batch)
+        run = lambda rows, load_id, load=load: load(rows, warehouse, load_id)
+        process_in_batches(files, run, f"{checkpoint}/{kind}", rules, multi_line, refuse)
     retry_orphans(spark, warehouse)
