@@ -93,7 +93,7 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
     """Fit on (places, counts, label) of documents. Without both labels nothing is learned."""
     labels = np.array([s[2] for s in samples], np.int64)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), 6.0 * (2 * share - 1))
     rng = np.random.default_rng(SEED)
     table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)

@@ -147,7 +147,7 @@ class ArchiveReader(DataSourceReader):
                 planned[-1] = (planned[-1][0] + f.size, [*planned[-1][1], f.path])
             else:
                 planned.append((f.size, [f.path]))
-        return [FilesPartition(paths) for _, paths in planned]
+        return [FilesPartition(paths) for _, paths in planned] or [FilesPartition([])]
 
     def read(self, partition: FilesPartition) -> Iterator[tuple]:
         store, _ = open_store(self.path)
