@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ BATCH = 8
 SEED = 11
 #: Longest word that is looked at piece by piece; a longer one is cut into words of this length.
 WORD_LENGTH = 40
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 END = "</s>"
 MASK = BUCKETS - 1
 
@@ -44,19 +45,35 @@ def hashed(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) & MASK
 
 
-def word_parts(word: str) -> list[int]:
-    """Table places of a word and of its character n-grams."""
-    if word == END:
-        return [hashed(word)]
-    marked = f"<{word}>"
-    grams = [marked[k : k + n] for n in range(SHORTEST, LONGEST + 1) for k in range(len(marked) - n + 1)]
-    return [hashed(word), *map(hashed, grams)]
+def word_parts(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Table places of words and of their character n-grams, the word each belongs to, and the words' own places.
+
+    All words are laid out in one array of characters, and the n-grams of one length are
+    hashed at once. Those that run across two words are left out.
+    """
+    own = np.array([hashed(w) for w in words], np.int64)
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    owner = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters to the word's end
+    places, owners = [own], [np.arange(len(words))]
+    rolled = np.zeros(len(codes), np.uint64)
+    for n in range(1, LONGEST + 1):
+        if len(codes) < n:
+            break
+        rolled = (rolled[: len(codes) - n + 1] + codes[n - 1 :] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+        if n >= SHORTEST:
+            inside = left[: len(rolled)] >= n
+            places.append(((rolled[inside] >> np.uint64(20)) & np.uint64(MASK)).astype(np.int64))
+            owners.append(owner[: len(rolled)][inside])
+    return np.concatenate(places), np.concatenate(owners), own
 
 
 def words_of(text: str | None) -> list[str]:
     """Words of a whole text and an end mark, so that an empty text has one, too."""
     words = (text or "").split()
-    if any(len(w) > WORD_LENGTH for w in words):
+    if words and max(map(len, words)) > WORD_LENGTH:
         words = [w[k : k + WORD_LENGTH] for w in words for k in range(0, len(w), WORD_LENGTH)]
     words.append(END)
     return words
@@ -71,14 +88,14 @@ def pair_places(firsts: np.ndarray) -> np.ndarray:
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Table places of a whole text, and how often each occurs."""
-    words = Counter(words_of(text))
-    known = {w: word_parts(w) for w in words}
-    places = np.concatenate([np.array(known[w], np.int64) for w in words])
-    times = np.concatenate([np.full(len(known[w]), n, np.int64) for w, n in words.items()])
-    firsts = np.array([known[w][0] for w in words_of(text)], np.int64)
-    pairs = pair_places(firsts)
-    together, at = np.unique(np.r_[places, pairs], return_inverse=True)
-    return together.astype(np.int32), np.bincount(at, np.r_[times, np.ones(len(pairs), np.int64)]).astype(np.float32)
+    words = words_of(text)
+    counts = Counter(words)
+    places, owners, own = word_parts(list(counts))
+    times = np.fromiter(counts.values(), np.int64, len(counts))[owners]
+    at = dict(zip(counts, range(len(counts)), strict=True))
+    pairs = pair_places(own[[at[w] for w in words]])
+    together, position = np.unique(np.r_[places, pairs], return_inverse=True)
+    return together.astype(np.int32), np.bincount(position, np.r_[times, np.ones(len(pairs), np.int64)]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -124,32 +141,57 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
 
 
 class Scorer:
-    """Scores of whole texts, with words met before remembered."""
+    """Scores of whole texts, with words met before remembered.
+
+    A word is a number, under which its gain, its number of parts and its own place
+    stand in arrays.
+    """
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[float, int, int]] = {}  # gain, parts, first place
-
-    def look_up(self, word: str) -> tuple[float, int, int]:
-        parts = word_parts(word)
-        return float(self.model.gains[parts].sum(dtype=np.float64)), len(parts), parts[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.gains, self.parts, self.places = np.zeros(1024), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        first, last = len(self.known), len(self.known) + len(words)
+        if last > len(self.gains):
+            size = 2 * last
+            self.gains, self.parts, self.places = (np.r_[x, np.zeros(size - len(x), x.dtype)] for x in (self.gains, self.parts, self.places))
+        places, owners, own = word_parts(words)
+        self.gains[first:last] = np.bincount(owners, self.model.gains[places], len(words))
+        self.parts[first:last] = np.bincount(owners, minlength=len(words))
+        self.places[first:last] = own
+        self.known.update(zip(words, range(first, last), strict=True))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        split = [words_of(t) for t in texts]
+        new = {w for words in split for w in words}.difference(self.known)
+        if new:
+            self.learn(sorted(new))
+        out = []
+        for words in split:
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            pairs = pair_places(self.places[at])
+            total = self.gains[at].sum() + self.model.gains[pairs].sum(dtype=np.float64)
+            value = total / (self.parts[at].sum() + len(pairs)) + self.model.offset
+            out.append(1 / (1 + math.exp(-max(-500.0, min(500.0, value)))))
+        return out
 
     def score(self, text: str | None) -> float:
-        words = words_of(text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        try:
-            found = list(map(self.known.__getitem__, words))
-        except KeyError:
-            for word in set(words):
-                if word not in self.known:
-                    self.known[word] = self.look_up(word)
-            found = list(map(self.known.__getitem__, words))
-        told = np.array(found, np.float64)
-        pairs = pair_places(told[:, 2].astype(np.int64))
-        total = told[:, 0].sum() + self.model.gains[pairs].sum(dtype=np.float64)
-        value = total / (told[:, 1].sum() + len(pairs)) + self.model.offset
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, value))))
+        return self.scores([text])[0]
+
+
+def _in_parts(own: Scorer, texts: pa.Array) -> pa.Array:
+    """Scores of a batch, some texts at a time."""
+    found: list[float] = []
+    for start in range(0, len(texts), 100):
+        found.extend(own.scores(texts.slice(start, 100).to_pylist()))
+    return pa.array(found, pa.float64())
 
 
 def held_out(key: str) -> F.Column:
@@ -208,8 +250,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(Model(*sent.value))
         for batch in batches:
-            scores = [own.score(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], [key, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _in_parts(own, batch.column(1))], [key, "score"])
 
     return rows.mapInArrow(run, f"`{key}` {kind}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -222,7 +263,7 @@ def kept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(Model(*sent.value))
         for batch in batches:
-            yield batch.filter(pa.array([own.score(t) >= 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
+            yield batch.filter(pc.greater_equal(_in_parts(own, batch.column(place)), 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
