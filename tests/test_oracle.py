@@ -12,12 +12,16 @@ def duck():
     return connect(SF_DIR)
 
 
+# the training text operators are tested by themselves
+OWN = sorted(name for name in entry.queries() if not name.startswith("op") and name != "pipeline")
+
+
 def test_every_query_has_a_statement():
-    assert set(entry.oracle_sql()) == set(entry.queries())
-    assert len(entry.queries()) == 32
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(OWN) == 43
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, duck, name):
     line = compare(spark, duck, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name])
     assert ": ok" in line, line

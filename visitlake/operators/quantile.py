@@ -24,66 +24,85 @@ def _ranks(p: Fraction, total: Column) -> tuple[Column, Column, Column]:
     return lower, lower + (rest > 0).cast("bigint"), rest
 
 
-def _bucket(value: Column, width: int) -> Column:
+def bucket_of(value: Column, width: int) -> Column:
     return div(value - F.pmod(value, F.lit(width)), width)
 
 
-def exact_quantiles(
-    rows: DataFrame,
-    keys: list[str],
-    value: str,
-    probabilities: dict[str, Fraction],
-    width: int,
-    small: bool = False,
-) -> DataFrame:
-    """One row per group of ``keys`` with ``<name>_low``, ``<name>_high`` and ``<name>``.
+def targets(counts: DataFrame, keys: list[str], probabilities: dict[str, Fraction], count: str = "rows") -> DataFrame:
+    """``counts`` (keys, bucket, number of values in it) with ``before``, ``total`` and whether a bucket is ``wanted``.
 
-    ``<name>`` interpolates linearly between the two neighbouring order statistics
-    (as PERCENTILE_CONT does); ``_low`` and ``_high`` are those, for callers that
-    go on in whole numbers. NULL values are left out. ``small`` states that the
-    number of groups is bounded, so that the wanted buckets (at most two per group
-    and probability) may be broadcast.
+    Windows over counts: bounded by the number of buckets per group. Other columns stay.
     """
-    values = rows.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("value"), _bucket(F.col(value), width).alias("bucket")
-    )
-    counts = values.groupBy(*keys, "bucket").agg(F.count("*").alias("rows"))
-    # Windows over counts: bounded by the number of buckets per group.
     group = Window.partitionBy(*keys)
     running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.select(
-        *keys, "bucket", "rows",
-        F.coalesce(F.sum("rows").over(running), F.lit(0)).alias("before"),
-        F.sum("rows").over(group).alias("total"),
-    )
-    wanted = None
+    placed = counts.withColumns({
+        "before": F.coalesce(F.sum(count).over(running), F.lit(0)), "total": F.sum(count).over(group),
+    })
+    wanted = F.lit(False)
     for p in probabilities.values():
         lower, upper, _ = _ranks(p, F.col("total"))
-        hit = (lower < F.col("before") + F.col("rows")) & (upper >= F.col("before"))
-        wanted = hit if wanted is None else wanted | hit
-    targets = placed.where(wanted).select(*keys, "bucket", "before", "total")
+        wanted = wanted | ((lower < F.col("before") + F.col(count)) & (upper >= F.col("before")))
+    return placed.withColumn("wanted", wanted & (F.col(count) > 0))
 
-    place = [*keys, "bucket"]
-    if small:
-        hits = values.join(F.broadcast(targets), place)
-        per_value = hits.groupBy(*place, "before", "total", "value").agg(F.count("*").alias("rows"))
-    else:
-        # counted before the join, so that one very common value is one row in it
-        per_value = values.groupBy(*place, "value").agg(F.count("*").alias("rows")).join(targets, place)
+
+def picked(per_value: DataFrame, keys: list[str], probabilities: dict[str, Fraction], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The quantiles, from the counts (rows) of the values in the wanted buckets, with their ``before`` and ``total``.
+
+    ``keep`` are columns with one value per group.
+    """
     within = Window.partitionBy(*keys, "bucket").orderBy("value")
     last = F.col("before") + F.sum("rows").over(within.rowsBetween(Window.unboundedPreceding, 0)) - 1
     ranked = per_value.withColumn("last", last).withColumn("first", F.col("last") - F.col("rows") + 1)
-
     picks = []
     for name, p in probabilities.items():
         lower, upper, _ = _ranks(p, F.col("total"))
         for rank, end in ((lower, "low"), (upper, "high")):
             held = (F.col("first") <= rank) & (rank <= F.col("last"))
             picks.append(F.max(F.when(held, F.col("value"))).alias(f"{name}_{end}"))
-    picked = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *picks)
+    chosen = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *picks, *[F.first(c).alias(c) for c in keep])
     result = []
     for name, p in probabilities.items():
         _, _, rest = _ranks(p, F.col("total"))
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         result += [low, high, (low + (high - low) * rest / F.lit(float(p.denominator))).alias(name)]
-    return picked.select(*keys, *result)
+    return chosen.select(*keys, *keep, *result)
+
+
+def bucketed(rows: DataFrame, keys: list[str], value: str, width: int) -> DataFrame:
+    """``keys``, ``value`` and its ``bucket``; NULL values are left out."""
+    return rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("value"), bucket_of(F.col(value), width).alias("bucket"))
+
+
+def spread(mean: str, moment: str, count: str, total_mean: Column) -> Column:
+    """Sum over parts of their squared deviations from a common mean, from each part's own mean and variance."""
+    own = F.coalesce(F.col(moment) * F.col(count), F.lit(0.0))
+    apart = F.coalesce((F.col(mean) - total_mean) * (F.col(mean) - total_mean) * F.col(count), F.lit(0.0))
+    return F.sum(own + apart)
+
+
+def exact_quantiles(
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    probabilities: dict[str, Fraction],
+    width: int,
+    small: bool = False,
+) -> DataFrame:
+    """One row per group of ``keys`` with ``<name>_low``, ``<name>_high`` and ``<name>``.
+
+    ``<name>`` interpolates linearly between the two neighbouring order statistics
+    (as PERCENTILE_CONT does); ``_low`` and ``_high`` are those, for callers that
+    go on in whole numbers. NULL values are left out. ``small`` states that the
+    number of groups is bounded, so that the wanted buckets (at most two per group
+    and probability) may be broadcast.
+    """
+    values = bucketed(rows, keys, value, width)
+    counts = values.groupBy(*keys, "bucket").agg(F.count("*").alias("rows"))
+    hit = targets(counts, keys, probabilities).where("wanted").select(*keys, "bucket", "before", "total")
+    place = [*keys, "bucket"]
+    if small:
+        per_value = values.join(F.broadcast(hit), place).groupBy(*place, "before", "total", "value").agg(F.count("*").alias("rows"))
+    else:
+        # counted before the join, so that one very common value is one row in it
+        per_value = values.groupBy(*place, "value").agg(F.count("*").alias("rows")).join(hit, place)
+    return picked(per_value, keys, probabilities)

@@ -7,30 +7,43 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlake.functions.exact import MINUTE_US, hours, minutes, number, round_double
+from visitlake.functions.exact import MINUTE_US, exact_sum, hours, minutes, number, round_double
 from visitlake.functions.ladders import ladder
 from visitlake.operators.facts import visit
-from visitlake.operators.quantile import exact_quantiles
+from visitlake.operators.quantile import bucketed, picked, targets
 from visitlake.plans.common import VISIT_LIMIT, identity
 
 # Minutes outside this range are abnormal by themselves.
 SHORTEST, LONGEST = 15, 1440
 QUARTILES = {"q1": Fraction(1, 4), "q3": Fraction(3, 4)}
-# Beyond this the per-key top rows are not cut before the shuffle (Spark's own threshold).
-KEY_LIMIT = 1000
 
 
 def duration_stats(visits: DataFrame) -> DataFrame:
-    """One row over all visits of plausible length: mean, deviation and quartiles in microseconds."""
+    """One row over all visits of plausible length: mean, deviation and quartiles in microseconds.
+
+    The visits are read twice: once into counts, means and variances per minute, of
+    which there are at most LONGEST, and once for the values of the few minutes that
+    hold the quartiles.
+    """
     plausible = visits.where(visit.worked & visit.actual_us.between(SHORTEST * MINUTE_US, LONGEST * MINUTE_US)).select(
         visit.actual_us.alias("actual_us")
     )
-    moments = plausible.agg(F.avg("actual_us").alias("mean_us"), F.stddev_samp("actual_us").alias("deviation_us"))
-    quartiles = exact_quantiles(plausible, [], "actual_us", QUARTILES, MINUTE_US, small=True).select(*QUARTILES)
-    # Two one-row results side by side; a global aggregate always has its row.
-    return moments.crossJoin(F.broadcast(quartiles)).select(
-        "mean_us", "deviation_us", F.col("q1").alias("q1_us"), F.col("q3").alias("q3_us")
+    values = bucketed(plausible, [], "actual_us", MINUTE_US)
+    per_minute = values.groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.avg("value").alias("mean"), F.var_pop("value").alias("variance"), exact_sum(F.col("value")).alias("sum_us")
     )
+    placed = targets(per_minute, [], QUARTILES)
+    everywhere = Window.partitionBy()
+    placed = placed.withColumn("mean_us", F.sum("sum_us").over(everywhere) / F.col("total"))
+    own = F.col("variance") * F.col("rows") + (F.col("mean") - F.col("mean_us")) * (F.col("mean") - F.col("mean_us")) * F.col("rows")
+    deviation = F.when(F.col("total") > 1, F.sqrt(F.sum(own).over(everywhere) / F.nullif(F.col("total") - 1, F.lit(0))))
+    hit = placed.withColumn("deviation_us", deviation).where("wanted").select("bucket", "before", "total", "mean_us", "deviation_us")
+    # at most two minutes per quartile, which carry the figures of the whole along
+    kept = ["mean_us", "deviation_us"]
+    near = values.join(F.broadcast(hit), "bucket")
+    per_value = near.groupBy("bucket", "before", "total", "value", *kept).agg(F.count("*").alias("rows"))
+    quartiles = picked(per_value, [], QUARTILES, tuple(kept))
+    return quartiles.select(*kept, F.col("q1").alias("q1_us"), F.col("q3").alias("q3_us"))
 
 
 def abnormal_visits(caregivers: DataFrame, visits: DataFrame, limit: int | None = VISIT_LIMIT) -> DataFrame:
@@ -82,16 +95,14 @@ def abnormal_visits(caregivers: DataFrame, visits: DataFrame, limit: int | None
         F.col("actual_duration_minutes_h").desc_nulls_first(),
         F.col("carelogId").asc(),
     ]
-    if limit is not None and limit <= KEY_LIMIT:
-        # No caregiver can fill more than ``limit`` rows of the report. Spark cuts
-        # each caregiver's rows before the shuffle, so the join sees few rows even
-        # of one who holds a large share of all visits.
-        place = F.row_number().over(Window.partitionBy("caregiverId").orderBy(*order))
-        judged = judged.withColumn("place", place).where(F.col("place") <= limit).drop("place")
     people = caregivers.select(*identity()).drop("status")
-    result = judged.join(people, "caregiverId").orderBy(*order)
+    # Visits of unknown caregivers go before the cut. Every task then keeps its own top
+    # rows, so that a caregiver with very many visits needs no group of its own, and the
+    # names are joined to what is left.
+    known = judged.join(caregivers.select("caregiverId"), "caregiverId", "left_semi").orderBy(*order)
     if limit is not None:
-        result = result.limit(limit)
+        known = known.limit(limit)
+    result = known.join(people, "caregiverId").orderBy(*order)
     return result.select(
         "caregiverId", "caregiver_name", "email", "phoneNumber", "carelogId",
         "scheduled_start", "scheduled_end", "actual_start", "actual_end",

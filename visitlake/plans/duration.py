@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.exact import HOUR_US, MINUTE_US, exact_sum, hours, hundredths, number, percent, round_double
 from visitlake.operators.facts import count, duration_flags
-from visitlake.operators.quantile import exact_quantiles
+from visitlake.operators.quantile import bucket_of, bucketed, picked, spread, targets
 from visitlake.plans.common import CAREGIVER_LIMIT, numbers, with_caregiver
-from visitlake.session import ensure_checkpoint_dir
 
-# A report of at most this many rows is small enough to be broadcast.
-BROADCAST_ROWS = 10_000
+MEDIAN = {"median": Fraction(1, 2)}
 
 
 def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """Durations per caregiver.
+
+    The visits are read once into figures per caregiver and minute, which give all
+    measures and the minutes that hold the median, and once, two columns wide, for the
+    values of those minutes of the caregivers shown.
+    """
     rows = duration_flags(visits)
     flag, valid = F.col("data_quality_flag"), F.col("data_quality_flag") == "VALID_DURATION"
     us = F.when(valid, F.col("actual_us"))
@@ -25,23 +29,36 @@ def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None =
         "NO_ACTUAL_TIMES", "MISSING_CLOCK_IN", "MISSING_CLOCK_OUT",
         "INVALID_DURATION", "EXCESSIVE_DURATION", "TOO_SHORT_DURATION",
     ]
-    stats = rows.groupBy("caregiverId").agg(
-        F.count("*").alias("total_visits"),
-        count(valid).alias("valid_duration_visits"),
-        *[count(flag == kind).alias(kind.lower()) for kind in kinds],
-        exact_sum(us).alias("valid_us"),
-        exact_sum(F.col("scheduled_us")).alias("planned_us"),
-        F.count("scheduled_us").alias("planned_visits"),
-        exact_sum(F.col("difference_us")).alias("difference_us"),
-        F.count("difference_us").alias("compared_visits"),
-        F.min(us).alias("min_us"),
-        F.max(us).alias("max_us"),
-        F.stddev_samp(us).alias("deviation_us"),
+    counted = {
+        "total_visits": F.count("*"),
+        "valid_duration_visits": count(valid),
+        **{kind.lower(): count(flag == kind) for kind in kinds},
+        "valid_us": exact_sum(us),
+        "planned_us": exact_sum(F.col("scheduled_us")),
+        "planned_visits": F.count("scheduled_us"),
+        "difference_us": exact_sum(F.col("difference_us")),
+        "compared_visits": F.count("difference_us"),
         # a visit of exactly 4 hours counts in both middle classes
-        count(us < HOUR_US).alias("visits_under_1_hour"),
-        count(us.between(HOUR_US, 4 * HOUR_US)).alias("visits_1_to_4_hours"),
-        count(us.between(4 * HOUR_US, 8 * HOUR_US)).alias("visits_4_to_8_hours"),
-        count(us > 8 * HOUR_US).alias("visits_over_8_hours"),
+        "visits_under_1_hour": count(us < HOUR_US),
+        "visits_1_to_4_hours": count(us.between(HOUR_US, 4 * HOUR_US)),
+        "visits_4_to_8_hours": count(us.between(4 * HOUR_US, 8 * HOUR_US)),
+        "visits_over_8_hours": count(us > 8 * HOUR_US),
+    }
+    minute = bucket_of(us, MINUTE_US).alias("bucket")
+    per_minute = rows.select("*", minute).groupBy("caregiverId", "bucket").agg(
+        *[measure.alias(name) for name, measure in counted.items()],
+        F.min(us).alias("min_us"), F.max(us).alias("max_us"), F.avg(us).alias("mean"), F.var_pop(us).alias("variance"),
+    )
+    own = Window.partitionBy("caregiverId")
+    placed = targets(per_minute, ["caregiverId"], MEDIAN, "valid_duration_visits")
+    placed = placed.withColumn("whole", F.sum("valid_us").over(own) / F.nullif(F.col("total"), F.lit(0)))
+    many = F.sum("valid_duration_visits")
+    stats = placed.groupBy("caregiverId").agg(
+        *[F.sum(name).alias(name) for name in counted],
+        F.min("min_us").alias("min_us"), F.max("max_us").alias("max_us"),
+        F.when(many > 1, F.sqrt(spread("mean", "variance", "valid_duration_visits", F.col("whole")) / F.nullif(many - 1, F.lit(0)))).alias("deviation_us"),
+        # the one or two minutes that hold the median
+        F.collect_list(F.when(F.col("wanted"), F.struct("bucket", "before", "total"))).alias("median_minutes"),
     )
     n = F.col("total_visits")
     kept = stats.where(n >= 3).withColumns(
@@ -61,18 +78,21 @@ def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None =
         F.col("caregiverId").asc(),
     ]
     named = with_caregiver(kept, caregivers)
-    measured = rows.where(valid).select("caregiverId", "actual_us")
-    small = limit is not None and limit <= BROADCAST_ROWS
-    if small:
-        # Neither the order nor the filter needs the median, so it is computed for
-        # the reported caregivers only. The checkpoint keeps these few rows from
-        # being derived again by each step of the median.
-        ensure_checkpoint_dir(visits.sparkSession)
-        named = named.orderBy(*order).limit(limit).checkpoint()
-        measured = measured.join(F.broadcast(named.select("caregiverId")), "caregiverId", "left_semi")
-    medians = exact_quantiles(measured, ["caregiverId"], "actual_us", {"median": Fraction(1, 2)}, MINUTE_US, small)
+    # neither the order nor the filter needs the median, so it is computed for the rows shown
+    shown = named.orderBy(*order)
+    if limit is not None:
+        shown = shown.limit(limit)
+    values = bucketed(rows.where(valid).select("caregiverId", "actual_us"), ["caregiverId"], "actual_us", MINUTE_US)
+    # The figures travel with the one or two minutes of each caregiver: a second branch
+    # that needs fewer of them would be computed from the visits anew.
+    figures = [c for c in shown.columns if c not in ("caregiverId", "median_minutes")]
+    hit = shown.select("caregiverId", F.struct(*figures).alias("figures"), F.explode_outer("median_minutes").alias("hit"))
+    hit = hit.select("caregiverId", "figures", "hit.*")
+    # counted before the join, so that one very common value is one row in it
+    per_value = values.groupBy("caregiverId", "bucket", "value").agg(F.count("*").alias("rows"))
+    medians = picked(hit.join(per_value, ["caregiverId", "bucket"], "left"), ["caregiverId"], MEDIAN, ("figures",))
     median_h = hundredths(F.col("median_low") + F.col("median_high"), 2 * HOUR_US)
-    result = named.join(medians, "caregiverId", "left").orderBy(*order)
+    result = medians.select("caregiverId", "figures.*", "median_low", "median_high").orderBy(*order)
     if limit is not None:
         result = result.limit(limit)
     return result.select(
