@@ -350,7 +350,9 @@ def _links(docs: DataFrame, filled: DataFrame, classes: DataFrame, words: int, p
     signed = filled.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "set_key"], "left_semi")
     signed = stored(signed.select(F.col("doc_id").alias("class_id"), "n", "excess", "bits", "buckets"), "signatures")
     members = signed.select("class_id", F.explode("buckets").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("class_id").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    # Written out, so that both sides of the joins on buckets are shuffled for them alone:
+    # then Spark splits the rows of a bucket with very many members over tasks.
+    leaders = stored(members.groupBy("bucket").agg(F.min("class_id").alias("leader"), F.count("*").alias("size")).where("size > 1"), "leaders")
     shared = stored(members.join(leaders, "bucket"), "buckets")
     tokens = stored(_token_sets(docs, shared.select("class_id"), words), "tokens")
 
@@ -370,7 +372,7 @@ def _links(docs: DataFrame, filled: DataFrame, classes: DataFrame, words: int, p
     # all pairs that buckets of several components may still hold
     placed = stored(_with_roots(shared, components(links)), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest <> highest")
-    searched = placed.join(mixed.select("bucket"), "bucket", "left_semi")
+    searched = placed.join(stored(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi")
     dealt = deal(searched.select("bucket", "class_id", "root", "size"), "class_id", BLOCK)
     dealt = dealt.join(signed.select("class_id", "n", "excess", "bits"), "class_id")
     tried = stars.unionByName(more)
