@@ -8,6 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlake.llm import fingerprints, licenses, packing, pieces, pii, quality, shingle_join, token_counts, vectors, warc
+from visitlake.llm.workers import importable
 from visitlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(prepare(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def queries() -> dict[str, Query]:
