@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlake.llm import packing, pii, quality, shingle_join
 from visitlake.llm.components import stored
+from visitlake.llm.workers import importable
 from visitlake.session import prepare
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = importable(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return quality.kept(docs, quality.fit(docs, labels))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
+    importable(spark)
     return shingle_join.first_of_each(docs)
 
 
@@ -33,6 +35,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the windows of token ids."""
+    importable(spark)
     return packing.placed(docs, vocabulary("byte_bpe_50k.json"))
 
 
