@@ -51,8 +51,9 @@ def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None =
     # 0.4 * mean length + 0.3 * detailed share + 10 * weighted classes + 2 * (mean pace - 10 if positive),
     # all over n; the mean pace is a mean of two-decimal values
     professional = hundredths(
-        whole(F.col("chars")) * 40 + whole(long + vl) * 5000 + whole(medium) * 1500 + whole(short) * 1000
-        + whole(vs) * 500 + F.greatest(whole(0), whole(F.coalesce("pace_sum", F.lit(0))) - wn * 1000) * 2,
+        whole(F.col("chars")) * h(0.4) + whole(long + vl) * h(0.3 * 100)
+        + whole(long + vl) * h(10 * 2) + whole(medium) * h(10 * 1.5) + whole(short) * h(10 * 1) + whole(vs) * h(10 * 0.5)
+        + F.greatest(whole(0), whole(F.coalesce("pace_sum", F.lit(0))) - wn * h(10)) * 2,
         wn * 100,
     )
     # 2 VL + 1.5 L + M, plus half the share (not the number) of short comments
