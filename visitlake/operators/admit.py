@@ -30,13 +30,14 @@ def stored_among(stored: DataFrame, rows: DataFrame, key: list[str]) -> DataFram
     return stored.select(*key).join(wanted, key, "left_semi").distinct()
 
 
-def not_stored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
-    return rows.join(stored_among(stored, rows, key), key, "left_anti")
+def not_stored(rows: DataFrame, stored: DataFrame, key: list[str], brought: DataFrame | None = None) -> DataFrame:
+    """``rows`` whose key is not stored. ``brought`` holds the keys of the load, if they are cheaper to get than through ``rows``."""
+    return rows.join(stored_among(stored, rows if brought is None else brought, key), key, "left_anti")
 
 
 def admit_caregivers(rows: DataFrame, stored: DataFrame) -> DataFrame:
     """New caregivers among readable rows."""
-    return not_stored(first_rows(rows, ["caregiverId"]), stored, ["caregiverId"])
+    return not_stored(first_rows(rows, ["caregiverId"]), stored, ["caregiverId"], rows)
 
 
 def unknown_caregivers(rows: DataFrame, caregivers: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def admit_carelogs(rows: DataFrame, unknown: DataFrame, stored: DataFrame) -> Da
     an unknown caregiver is admitted through its next copy.
     """
     known = rows.join(unknown, "caregiverId", "left_anti")
-    return not_stored(first_rows(known, ["carelogId"]), stored, ["carelogId"])
+    return not_stored(first_rows(known, ["carelogId"]), stored, ["carelogId"], rows)
 
 
 def orphans(rows: DataFrame, unknown: DataFrame) -> DataFrame:
