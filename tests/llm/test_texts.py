@@ -126,6 +126,34 @@ def test_repeats_count(spark):
     assert told[0] != told[1]
 
 
+def test_all_kmers_compete(spark):
+    """Each function's least k-mers by brute force over all of them."""
+    texts = [" ".join(f"w{(k * k) % 700}" for k in range(n)) for n in (2, 3, 5, 40, 65, 300, 1500)] + ["b a " * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    told = {r.doc_id: r.places for r in fingerprints.fingerprints(docs).collect()}
+    kmer = F.shiftright("x", fingerprints.POSITION_BITS)
+    rows = docs.select("doc_id", F.explode(fingerprints.numbered(fingerprints.kmers(F.col("text")))).alias("x")).crossJoin(spark.range(1, 33).select(F.col("id").cast("int").alias("n")))
+    made = rows.select("doc_id", "n", "x", F.xxhash64(kmer, "n").alias("h")).collect()
+    by_place = {}
+    for r in made:
+        by_place.setdefault((r.doc_id, r.n), []).append((fingerprints.RANKS[r.n - 1][r.x >> 57], (r.h % 2**64) >> 33, r.x))
+    picked = [(d, n, [x >> 26 for _, _, x in sorted(sorted(v)[:2], key=lambda t: t[2] % 2**26)]) for (d, n), v in by_place.items()]
+    want = spark.createDataFrame(picked, "doc_id int, n int, h array<bigint>").select("doc_id", "n", F.xxhash64("h", "n").alias("place")).collect()
+    assert len(want) == 32 * len(texts)
+    for r in want:
+        assert told[r.doc_id][r.n - 1] == r.place
+
+
+@pytest.mark.parametrize("more", [200, 1000, 2000])
+def test_likeness_of_a_text_and_a_longer_one(spark, more):
+    """Two of a function's minima are shared with the chance that two k-mers of the longer text are of the shorter one."""
+    pairs = [[" ".join(f"{k}x{j}" for j in range(n)) for n in (2000, 2000 + more)] for k in range(24)]
+    rows = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, one string, two string")
+    alike = rows.select(fingerprints.likeness(fingerprints.signature(F.col("one")), fingerprints.signature(F.col("two"))).alias("s")).collect()
+    assert np.mean([r.s for r in alike]) == pytest.approx((2000 / (2000 + more)) ** 2, abs=0.07)
+    assert np.std([r.s for r in alike]) < 0.11
+
+
 # --- personal data ----------------------------------------------------------
 
 PATTERNS = {

@@ -1,17 +1,23 @@
 """Document fingerprints that feel the order of a text: order MinHash (operator 4).
 
 Words in runs of K are a text's k-mers, each numbered by how often it occurred before,
-so that repeats count. Of all numbered k-mers the POOL smallest under one hash are
-taken; each of the fingerprint's hash functions selects the PICKED smallest of the
-pool, puts them back into the order of the text and hashes that tuple. Two texts agree
-in a place of the fingerprint if they share the selected k-mers in the same order, so
-that the share of equal places falls with the edit distance.
+so that repeats count. Each of the fingerprint's hash functions selects the PICKED
+smallest of all numbered k-mers, puts them back into the order of the text and hashes
+that tuple. Two texts agree in a place of the fingerprint if they share the selected
+k-mers in the same order, so that the share of equal places falls with the edit distance.
+
+The value of a numbered k-mer under a function is a pair: the rank this function gives
+to the k-mer's bucket (one of BUCKETS, by the one stored hash), then a hash of its own.
+So the least values lie in the first occupied buckets of a function's order, and only
+their members need be hashed; no other k-mer can be less. As buckets are dealt by a
+hash, every k-mer of a text is equally likely to be the least of a function.
 
 Everything is expressions over one row: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,12 +26,15 @@ from pyspark.sql import functions as F
 K = 2
 PLACES = 32
 PICKED = 2
-POOL = 64
+#: Buckets of numbered k-mers, the same for all texts; a power of two.
+BUCKETS = 64
 #: Bits of a k-mer's hash kept beside its position while k-mers are numbered.
 HASH_BITS = 37
 POSITION_BITS = 63 - HASH_BITS
 #: Groups of neighbouring ids whose texts are put next to each other, 64 times 64 at most.
 SPLITS = 64
+#: The rank that each function gives to each bucket.
+RANKS = [sorted(range(BUCKETS), key=lambda b, n=n: hashlib.sha256(f"{n} {b}".encode()).digest()) for n in range(1, PLACES + 1)]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,29 +86,49 @@ def signature(text: Column) -> Column:
     """Array of PLACES hashes; an empty array for a text without words."""
     top = F.lit(1 << POSITION_BITS).cast("long")
     kmer = lambda x: F.shiftright(x, POSITION_BITS)
+    bucket_bits = BUCKETS.bit_length() - 1
+    bucket = lambda x: F.shiftright(x, 63 - bucket_bits).cast("int")
+    table = F.array(*[F.array(*map(F.lit, ranks)) for ranks in RANKS])
 
     def ordered_hash(picked: Column, n: Column) -> Column:
-        """Hash of the chosen members of the pool, in the order of the text."""
+        """Hash of the chosen k-mers, in the order of the text."""
         return F.xxhash64(F.transform(F.sort_array(F.transform(picked, lambda p: F.struct((p % top).alias("at"), kmer(p).alias("h")))), lambda p: p["h"]), n)
 
-    def next_after(ranks: Column, last: Column) -> Column:
-        return let(last, lambda known: F.array_min(F.filter(ranks, lambda r: r > known)))
+    def least(values: Column) -> Column:
+        """The PICKED least of different values, or all if there are fewer."""
+
+        def after(known: Column, more: int) -> Column:
+            if more == 0:
+                return F.array(known)
+            return F.concat(F.array(known), let(F.array_min(F.filter(values, lambda v: v > known)), lambda v: after(v, more - 1)))
+
+        return F.filter(let(F.array_min(values), lambda v: after(v, PICKED - 1)), lambda v: v.isNotNull())
+
+    def place(s: Column, starts: Column, occupied: Column, ranks: Column, n: Column) -> Column:
+        """``s`` holds all numbered k-mers in order, ``starts`` where its ``occupied`` buckets begin, ``ranks`` those of function ``n``."""
+        members = lambda k: F.slice(s, F.get(starts, k) + 1, F.coalesce(F.get(starts, k + 1), F.size(s)) - F.get(starts, k))
+
+        def first_buckets(ranked: Column) -> Column:
+            """Members of the first occupied bucket; of PICKED buckets if it holds too few."""
+            part = lambda r: members(r % BUCKETS)
+            return let(part(F.array_min(ranked)), lambda one: F.when(F.size(one) >= PICKED, one).otherwise(F.flatten(F.transform(least(ranked), part))))
+
+        def chosen(few: Column) -> Column:
+            value = lambda p, i: (
+                F.get(ranks, bucket(p)) * F.lit(1 << (63 - bucket_bits)).cast("long")
+                + F.shiftrightunsigned(F.xxhash64(kmer(p), n), 64 - HASH_BITS + bucket_bits) * top + i
+            )
+            return let(F.transform(few, value), lambda values: F.transform(least(values), lambda v: F.get(few, (v % top).cast("int"))))
 
-    def place(pool: Column, n: Column) -> Column:
-        def chosen(ranks: Column) -> Column:
-            picked = [F.array_min(ranks)]
-            for _ in range(PICKED - 1):
-                picked.append(next_after(ranks, picked[-1]))
-            return F.filter(F.array(*picked), lambda r: r.isNotNull())
+        ranked = F.transform(occupied, lambda b, k: F.get(ranks, b) * BUCKETS + k)
+        return ordered_hash(let(let(ranked, first_buckets), chosen), n)
 
-        ranks = F.transform(pool, lambda p, i: packed(F.xxhash64(kmer(p), n), i))
-        members = let(ranks, lambda r: F.transform(chosen(r), lambda x: F.get(pool, (x % top).cast("int"))))
-        return let(members, lambda m: ordered_hash(m, n))
+    def placed(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (bucket(F.get(s, i)) != bucket(F.get(s, i - 1))))
+        return let(starts, lambda a: let(F.transform(a, lambda i: bucket(F.get(s, i))), lambda o: F.transform(table, lambda ranks, k: place(s, a, o, ranks, k + 1))))
 
     def places(hashes: Column) -> Column:
-        pool = F.slice(F.sort_array(numbered(hashes)), 1, POOL)
-        made = let(pool, lambda chosen: F.transform(F.sequence(F.lit(1), F.lit(PLACES)), lambda n: place(chosen, n)))
-        return F.when(F.size(hashes) == 0, F.array().cast("array<bigint>")).otherwise(made)
+        return F.when(F.size(hashes) == 0, F.array().cast("array<bigint>")).otherwise(let(F.sort_array(numbered(hashes)), placed))
 
     return let(kmers(text), places)
 
