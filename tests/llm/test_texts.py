@@ -203,6 +203,30 @@ def test_candidates_are_added_and_clean_texts_left_alone(spark):
     assert found[1000] == "email:9:32" and found[1001] == found[1003] == ""
 
 
+@pytest.mark.parametrize("beside", ["tel", "see"])
+@pytest.mark.parametrize("size", [1, 100_000])
+@pytest.mark.parametrize("rare", [1, 10_000])
+def test_trust_does_not_depend_on_sizes(spark, beside, size, rare):
+    """Labelled national numbers are added, unlabelled and malformed ones are not, whatever the counts."""
+    base = [(f"{beside} +1 (713) 555-1000 now", 1, 5, 23, size * 10), (f"{beside} +44 20 7946 0000, 5", 1, 4, 20, size)]
+    wide = {"tel: 555 123 4567": (5, 17), "room 12 345 678 of 9": (5, 15), "made 212 345 6789 of it": (5, 17), "tel 12 345 678": (4, 14)}
+    for common in wide:
+        rows = base + [(t, 0, *at, rare if t == common else 1) for t, at in wide.items()]
+        frame = spark.createDataFrame(rows, "text string, certain int, at int, end int, n int")
+        span = F.struct(F.lit("phone").alias("kind"), "at", "end", "certain")
+        votes = frame.select("text", "n", "certain", pii.voted(F.col("text"), span).alias("told"))
+        model = pii.fit(votes.select("told.*", F.explode(F.sequence(F.lit(1), "n"))))
+        sure = {r.text: r.sure for r in votes.where("certain = 0").select("text", pii.sure(F.col("told"), model).alias("sure")).collect()}
+        assert [t for t in wide if sure[t] >= pii.ACCEPT] == ["tel: 555 123 4567"], (common, sure, model)
+
+
+def test_labelled_national_numbers_are_added(spark):
+    base = [(k, f"see +1 (713) 555-{1000 + k} or write ann{k}@host.com now") for k in range(300)]
+    hidden = [(1000, "tel: 555 123 4567"), (1002, "room 12 345 678 of 9"), (1003, "made 212 345 6789 of it")]
+    found = {r.doc_id: r.spans for r in pii.digests(spark.createDataFrame(base + hidden, "doc_id long, text string")).collect()}
+    assert found[1000] == "phone:5:17" and found[1002] == found[1003] == ""
+
+
 def test_redaction_keeps_columns(spark, odd):
     rows = odd.withColumn("text", F.when(F.col("doc_id") == 4, "é ann@host.com, 1.2.3.4 é").otherwise(F.col("text")))
     out = pii.redact(rows)

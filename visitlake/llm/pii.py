@@ -1,12 +1,17 @@
 """Personal data in texts: exact patterns, and weak labelers that vote on the doubtful rest (operator 7).
 
 The base spans are those of four fixed patterns and their checks; they always stay.
-Candidates beyond them come from wider patterns of the same four kinds. Labelers vote
+Candidates beyond them come from wider patterns of email and phone. Labelers vote
 on base spans and candidates alike: patterns of form, gazetteers of words beside the
-span, and the context. Expectation-maximisation finds how far each labeler is to be
-trusted from the votes alone, and a span classifier is trained on the outcome, from
-features of form and surroundings that no labeler sees as such. What it accepts is
-added if it overlaps no base span.
+span, and the context; none of them sees whether a span is a base span.
+Expectation-maximisation finds how far each labeler is to be trusted, within fixed
+bounds, and a span classifier is trained on its outcome for the candidates, from
+features of form and surroundings. What it accepts is added if it overlaps no base span.
+
+Base spans and candidates have the same weight in the estimates, however many there
+are, so that the answer depends on shares, not on the size of the input. A labeler that
+abstains says nothing. The share of candidates that are personal data is taken as given
+(EXPECTED), as votes alone cannot tell a class of look-alikes from one of real numbers.
 
 All text work is native expressions. Only numbers per combination of votes and
 features come to the driver, whose count is bounded by the labelers, not the input.
@@ -53,14 +58,21 @@ GAZETTEER = {
     "phone": "phone|tel|call|mobile|cell|fax|teléfono|téléphone|telefon|appelez|anrufen",
 }
 LABELERS = ("form", "gazetteer", "closed", "plain")
+#: Share of a kind's candidates taken to be personal data before any vote.
+EXPECTED = {"email": 0.95, "phone": 0.2}
+#: Least and greatest factor by which a vote against and a vote for may change the odds.
+#: Form and closeness together never carry a number over ACCEPT: a gazetteer word has to.
+BOUNDS = {
+    "form": ((0.001, 0.05), (1.0, 5.0)), "gazetteer": ((1.0, 1.0), (200.0, 2000.0)),
+    "closed": ((0.05, 0.5), (1.0, 5.0)), "plain": ((0.001, 0.05), (1.0, 1.0)),
+}
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """For each class, how likely each labeler votes against, abstains or votes for; and the classifier's weights."""
+    """By what factor a vote against and a vote for of each labeler change the odds; and the classifier's weights."""
 
-    prior: float
-    votes: dict[str, tuple[tuple[float, float, float], tuple[float, float, float]]]
+    trust: dict[str, tuple[float, float]]
     weights: dict[str, float]
 
 
@@ -173,7 +185,7 @@ def voted(text: Column, span: Column) -> Column:
             F.when(kind == "email", F.when(shown.rlike(r"\.[A-Za-z]{2,24}$|(?i)dot"), 1).otherwise(-1))
             .when(kind == "ip", F.when(~shown.rlike(r"(^|\.)0[0-9]"), 1).otherwise(-1))
             .when(kind == "card", F.when(shown.rlike("^[3-6]"), 1).otherwise(-1))
-            .otherwise(F.when(shown.startswith("+"), 1).when(count.between(9, 15), 0).otherwise(-1))
+            .otherwise(F.when(count.between(9, 15) & F.forall(F.filter(F.split(shown, "[^0-9]+"), lambda g: g != ""), lambda g: F.length(g) <= 5), 1).otherwise(-1))
         )
         near = F.lit(0)
         for name, words in GAZETTEER.items():
@@ -184,7 +196,7 @@ def voted(text: Column, span: Column) -> Column:
         return F.struct(
             kind.alias("kind"), span["at"].alias("at"), span["end"].alias("end"), span["certain"].alias("certain"),
             form.alias("form"), near.alias("gazetteer"), F.when(closed, 1).otherwise(-1).alias("closed"),
-            F.when(numbers & (span["certain"] == 0), -1).otherwise(0).alias("plain"), F.least(count, F.lit(20)).alias("digits"),
+            F.when(numbers & (kind != "email"), -1).otherwise(0).alias("plain"), F.least(count, F.lit(20)).alias("digits"),
             F.when(shown.rlike("[()]"), "brackets").when(shown.rlike(r"[\x20-]"), "gaps").otherwise("solid").alias("look"),
         )
 
@@ -211,40 +223,46 @@ def fit(voted: DataFrame) -> LabelModel:
     """
     rows = voted.groupBy(*LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect()
     rows = sorted(rows, key=lambda r: tuple(map(str, r)))
-    truth = [0.95 if r["certain"] else 0.2 for r in rows]
-    prior, votes = 0.5, {}
+    unsure = [r for r in rows if not r["certain"]]
+    total = [max(sum(r["n"] for r in rows if r["certain"] == side), 1) for side in (0, 1)]
+    trust = {name: tuple(low for low, _ in BOUNDS[name]) for name in LABELERS}
+    truth: list[float] = []
     for _ in range(ROUNDS):
-        total = sum(r["n"] for r in rows)
-        yes = sum(r["n"] * t for r, t in zip(rows, truth, strict=True))
-        prior = (yes + 1) / (total + 2)
-        for name in LABELERS:
-            both = []
-            for side in (0, 1):
-                mass = [1.0, 1.0, 1.0]
-                for r, t in zip(rows, truth, strict=True):
-                    mass[r[name] + 1] += r["n"] * (t if side else 1 - t)
-                both.append(tuple(m / sum(mass) for m in mass))
-            votes[name] = tuple(both)
-        before, truth = truth, []
-        for r in rows:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(votes[x][1][r[x] + 1] / votes[x][0][r[x] + 1]) for x in LABELERS)
-            # a base span is one by definition: it anchors which class is which
-            truth.append(0.999 if r["certain"] else 1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
-        if max((abs(a - b) for a, b in zip(before, truth, strict=True)), default=0) < 1e-9:
+        before, truth = truth, [_believed(r, trust) for r in rows]
+        if before and max((abs(a - b) for a, b in zip(before, truth, strict=True)), default=0) < 1e-9:
             break
+        for name in LABELERS:
+            # votes against and for, of spans that are none and that are; abstentions count for neither
+            mass = [[0.01, 0.01], [0.01, 0.01]]
+            for r, t in zip(rows, truth, strict=True):
+                if r[name]:
+                    n = r["n"] / total[r["certain"]]
+                    mass[0][r[name] > 0] += n * (1 - t)
+                    mass[1][r[name] > 0] += n * t
+            share = [[m / sum(side) for m in side] for side in mass]
+            trust[name] = tuple(min(max(share[1][v] / share[0][v], low), high) for v, (low, high) in enumerate(BOUNDS[name]))
     weights: dict[str, float] = {}
     for _ in range(200):
         slope: dict[str, float] = {}
         mass: dict[str, float] = {}
-        for r, t in zip(rows, truth, strict=True):
-            names = _names(r)
+        for r in unsure:
+            t, names = _believed(r, trust), _names(r)
             guess = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weights.get(x, 0.0) for x in names)))))
             for x in names:
                 slope[x] = slope.get(x, 0.0) + r["n"] * (t - guess)
                 mass[x] = mass.get(x, 0.0) + r["n"]
         for x in slope:
             weights[x] = weights.get(x, 0.0) + slope[x] / (mass[x] + 1.0) - 0.002 * weights.get(x, 0.0)
-    return LabelModel(prior, votes, weights)
+    return LabelModel(trust, weights)
+
+
+def _believed(row, trust: dict[str, tuple[float, float]]) -> float:
+    """How likely a span is personal data by its votes; a base span is one by definition."""
+    if row["certain"]:
+        return 0.999
+    prior = EXPECTED[row["kind"]]
+    odds = math.log(prior / (1 - prior)) + sum(math.log(trust[x][row[x] > 0]) for x in LABELERS if row[x])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
 def _names(row) -> list[str]:
