@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from visitlake.llm import fingerprints, licenses, pii, quality, shingle_join
 from visitlake.llm.components import components
+from visitlake.llm.license_bodies import PUBLISHED
 from visitlake.llm.license_texts import TEMPLATES
 
 
@@ -50,6 +51,18 @@ def test_licences_by_brute_force(spark, documents, none, odd):
     assert licenses.scan(none).count() == 0 and licenses.scan(odd).count() == odd.count()
 
 
+def test_published_texts_are_found(spark):
+    """Whole texts under a copyright line; the BSD ones end with the liability part."""
+    whole = {name: text for name, text in TEMPLATES if len(text) > 600}
+    wanted = {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"}
+    assert wanted <= set(whole)
+    liability = "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT"
+    assert all(liability in whole[n] and whole[n].endswith("OF SUCH DAMAGE.") for n in ("BSD-2-Clause", "BSD-3-Clause"))
+    rows = [(name, f"Copyright (c) 2001, Ann Author\n\n{PUBLISHED.get(name, whole[name])}") for name in sorted(wanted)]
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect():
+        assert r.license == r.doc_id and r.score > 0.95, r
+
+
 # --- quality ----------------------------------------------------------------
 
 

@@ -1,7 +1,26 @@
-"""Licence templates: notices and short licence texts, as published."""
+"""Licence templates: notices and whole licence texts, as published."""
+
+from visitlake.llm.license_bodies import PUBLISHED
 
 # Wording of the licences and of the notices they ask for.
 TEMPLATES = [
+    *((name, text) for name, text in PUBLISHED.items() if name != "Unlicense"),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission. THIS "
+        "SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+        "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY "
+        "OF SUCH DAMAGE.",
+    ),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
@@ -66,12 +85,12 @@ TEMPLATES = [
         "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
         "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS "
         "SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
-        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
-    ),
-    (
-        "Unlicense",
-        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
-        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
-        "commercial or non-commercial, and by any means.",
+        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+        "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY "
+        "OF SUCH DAMAGE.",
     ),
+    ("Unlicense", PUBLISHED["Unlicense"]),
 ]

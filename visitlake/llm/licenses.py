@@ -35,14 +35,15 @@ def template_words(text: str) -> list[str]:
 
 
 def templates(rows: list[tuple[str, str]], percent: int) -> list[dict]:
-    """Per template: name, number of bigrams, sizes a unit must have, distinct bigrams and their counts."""
+    """Per template: name, number of bigrams, sizes a unit must have, distinct bigrams, and those that repeat with their counts."""
     told = []
     for name, text in rows:
         words = template_words(text)
         pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
         size, counts = len(pairs), {p: pairs.count(p) for p in sorted(pairs)}
         least, most = -(-percent * size // (200 - percent)), (200 - percent) * size // percent
-        told.append({"name": name, "size": size, "least": least, "most": most, "keys": [*counts], "times": [*counts.values()]})
+        often = {p: n for p, n in counts.items() if n > 1}
+        told.append({"name": name, "size": size, "least": least, "most": most, "keys": [*counts], "often": [*often], "times": [*often.values()]})
     return told
 
 
@@ -67,16 +68,21 @@ def _between(size: Column, told: list[dict]) -> Column:
 
 def matches(words: Column, told: list[dict], percent: int) -> Column:
     """Structs of score and licence for the templates that a unit's words reach."""
-    kind = "array<struct<name:string,size:int,least:int,most:int,keys:array<string>,times:array<int>>>"
+    kind = "array<struct<name:string,size:int,least:int,most:int,keys:array<string>,often:array<string>,times:array<int>>>"
     table = F.from_json(F.lit(json.dumps(told)), kind)
 
-    def common(pairs: Column, t: Column) -> Column:
-        each = F.zip_with(t["keys"], t["times"], lambda k, n: F.least(n, F.size(F.filter(pairs, lambda p: p == k))))
-        return F.aggregate(each, F.lit(0), lambda s, n: s + n)
+    def common(pairs: Column, t: Column, shared: Column) -> Column:
+        """Shared bigrams once each, and those that the template repeats as often again as both do."""
+        again = F.zip_with(t["often"], t["times"], lambda k, n: F.greatest(F.least(n, F.size(F.filter(pairs, lambda p: p == k))) - 1, F.lit(0)))
+        return F.aggregate(again, shared, lambda s, n: s + n)
 
     def reached(pairs: Column) -> Column:
-        near = F.filter(table, lambda t: F.size(pairs).between(t["least"], t["most"]) & F.arrays_overlap(pairs, t["keys"]))
-        scored = F.transform(near, lambda t: F.struct((2 * common(pairs, t) / (F.size(pairs) + t["size"])).alias("score"), t["name"].alias("license")))
+        sized = F.filter(table, lambda t: F.size(pairs).between(t["least"], t["most"]))
+        met = F.transform(sized, lambda t: F.struct(t.alias("t"), F.size(F.array_intersect(t["keys"], pairs)).alias("shared")))
+        # each distinct bigram of the template that is not shared is missing at least once
+        most = lambda m: m["t"]["size"] - F.size(m["t"]["keys"]) + m["shared"]
+        near = F.filter(met, lambda m: (m["shared"] > 0) & (200 * most(m) >= percent * (F.size(pairs) + m["t"]["size"])))
+        scored = F.transform(near, lambda m: F.struct((2 * common(pairs, m["t"], m["shared"]) / (F.size(pairs) + m["t"]["size"])).alias("score"), m["t"]["name"].alias("license")))
         return F.filter(scored, lambda m: m["score"] * 100 >= percent)
 
     size = F.size(words) - 1
