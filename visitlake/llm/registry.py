@@ -7,7 +7,9 @@ from collections.abc import Callable
 from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlake.llm import fingerprints, licenses, packing, pieces, pii, quality, shingle_join, token_counts, vectors, warc
+from visitlake.llm import (
+    best_packing, fingerprints, licenses, middles, packing, pieces, pii, quality, repeats, shingle_join, token_counts, vectors, warc,
+)
 from visitlake.llm.workers import importable
 from visitlake.session import prepare
 
@@ -34,6 +36,9 @@ def queries() -> dict[str, Query]:
         "op8_shingle_join": _over("documents", lambda d: shingle_join.similar_classes(d, words=4, percent=85)),
         "op9_packing": _over("documents", lambda d: packing.placed(d, vocabulary("byte_bpe_50k.json"))),
         "op10_token_counts": _over("documents", lambda d: token_counts.count_tokens(d, vocabulary("word_bpe_49k.json"))),
+        "op11_fill_in_middle": _over("documents", middles.digests),
+        "op12_best_fit_packing": _over("documents", lambda d: best_packing.placed(d, vocabulary("word_bpe_49k.json"))),
+        "op13_periodic_runs": _over("documents", repeats.digests),
     }
 
 
@@ -53,4 +58,4 @@ FROM firsts
 
 
 def statements() -> dict[str, str]:
-    return {"op1_licenses": licenses.statement(), "op2_warc": WARC}
+    return {"op1_licenses": licenses.statement(), "op2_warc": WARC, "op11_fill_in_middle": middles.STATEMENT}
