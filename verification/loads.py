@@ -244,11 +244,13 @@ STATEMENTS = {
     "dim_agency": f"WITH {RAW_CAREGIVER} {AGENCY}",
     "dim_location": f"WITH {RAW_CAREGIVER} {LOCATION}",
     "caregiver_admit": f"{LOAD} SELECT * FROM new_caregiver",
+    "caregiver_admit_indexed": f"{LOAD} SELECT * FROM new_caregiver",
     "caregiver_duplicates": f"""{LOAD} SELECT * FROM (
       SELECT caregiverId, caregiverId IN (SELECT caregiverId FROM stored_caregiver) AS already_stored,
         count(*) - CASE WHEN caregiverId IN (SELECT caregiverId FROM stored_caregiver) THEN 0 ELSE 1 END AS skipped_rows
       FROM cleaned_caregiver WHERE caregiverId <> '' GROUP BY caregiverId) WHERE skipped_rows > 0""",
     "visit_admit": f"{LOAD} SELECT * FROM new_carelog",
+    "visit_admit_indexed": f"{LOAD} SELECT * FROM new_carelog",
     "visit_orphans": f"{LOAD} SELECT carelogId, caregiverId, source_file, row_id FROM orphan",
     "ingest_rejects": f"""{LOAD} SELECT 'caregiver' AS kind, source_file, row_id, 'empty id' AS reason FROM cleaned_caregiver
       WHERE caregiverId = '' UNION ALL

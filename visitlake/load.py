@@ -18,6 +18,7 @@ from visitlake.operators import admit, dims, metrics
 from visitlake.operators.clean import (
     CAREGIVER_RULES, CARELOG_RULES, MissingColumns, Rule, clean_caregivers, clean_carelogs, readable, rejects,
 )
+from visitlake.operators.id_index import IdIndex
 from visitlake.schemas import AGENCY, CAREGIVER, CARELOG, FRANCHISOR, LOCATION
 from visitlake.sources import csv_files
 from visitlake.sources.tables import append, read_table, staged, table_path
@@ -55,6 +56,11 @@ def _append(rows: DataFrame, warehouse: str, name: str) -> None:
         append(rows.coalesce(max(1, -(-count // ROWS_PER_FILE) * 4)), warehouse, name)
 
 
+def _known(spark: SparkSession, warehouse: str, table: str) -> IdIndex:
+    """The ids of a stored table, with those of files that came since."""
+    return IdIndex(spark, warehouse, table, f"{table}Id").sync()
+
+
 def _timed(counts: DataFrame, load_id: str, began: float) -> DataFrame:
     return counts.withColumns({"load_id": F.lit(load_id), "elapsed_ms": F.lit((time.monotonic() - began) * 1000)})
 
@@ -70,7 +76,7 @@ def load_caregivers(raw: DataFrame, warehouse: str, load_id: str | None = None)
     ]:
         _append(staged(extract(raw, read_table(spark, warehouse, name)).select(*table.fieldNames()), f"new-{name}"), warehouse, name)
     cleaned = clean_caregivers(raw)
-    stored = read_table(spark, warehouse, "caregiver")
+    stored = _known(spark, warehouse, "caregiver")
     new = staged(admit.admit_caregivers(readable(cleaned, "caregiverId"), stored), "new-caregiver")
     _set_aside(rejects(cleaned, "caregiverId"), warehouse, "rejected_caregiver", load_id)
     counts = _report(metrics.per_file(cleaned, "caregiverId", stored), warehouse, "caregiver", load_id)
@@ -82,9 +88,9 @@ def load_carelogs(raw: DataFrame, warehouse: str, load_id: str | None = None) ->
     """Store new visits of known caregivers; returns counts per file, with the load's id and time."""
     spark, load_id, began = raw.sparkSession, load_id or uuid.uuid4().hex, time.monotonic()
     cleaned = staged(clean_carelogs(raw), "clean-carelog")
-    rows, stored = readable(cleaned, "carelogId"), read_table(spark, warehouse, "carelog")
+    rows, stored = readable(cleaned, "carelogId"), _known(spark, warehouse, "carelog")
     # written out, its size is known when the joins with the wide rows are planned
-    unknown = staged(admit.unknown_caregivers(rows, read_table(spark, warehouse, "caregiver")), "unknown-caregiver")
+    unknown = staged(admit.unknown_caregivers(rows, _known(spark, warehouse, "caregiver")), "unknown-caregiver")
     new = staged(admit.admit_carelogs(rows, unknown, stored), "new-carelog")
     _keep_orphans(admit.orphans(rows, unknown), warehouse)
     _set_aside(rejects(cleaned, "carelogId"), warehouse, "rejected_carelog", load_id)
@@ -122,8 +128,8 @@ def retry_orphans(spark: SparkSession, warehouse: str) -> int:
     more once it is stored.
     """
     waiting, folder = _waiting(spark, warehouse)
-    unknown = staged(admit.unknown_caregivers(waiting, read_table(spark, warehouse, "caregiver")), "unknown-caregiver")
-    new = staged(admit.admit_carelogs(waiting, unknown, read_table(spark, warehouse, "carelog")), "retried-carelog")
+    unknown = staged(admit.unknown_caregivers(waiting, _known(spark, warehouse, "caregiver")), "unknown-caregiver")
+    new = staged(admit.admit_carelogs(waiting, unknown, _known(spark, warehouse, "carelog")), "retried-carelog")
     count = new.count()
     if count:
         _append(new.select(*CARELOG.fieldNames()), warehouse, "carelog")

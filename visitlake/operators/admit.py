@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlake.operators.id_index import IdIndex
 from visitlake.schemas import ORIGIN
 
+#: What is stored: the table, or the index of its ids.
+Stored = DataFrame | IdIndex
+
 
 def first_rows(rows: DataFrame, key: list[str]) -> DataFrame:
     """The earliest row of each key."""
@@ -19,28 +23,31 @@ def first_rows(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.withColumn("copy", place).where(F.col("copy") == 1).drop("copy")
 
 
-def stored_among(stored: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+def stored_among(stored: Stored, rows: DataFrame, key: list[str]) -> DataFrame:
     """Stored keys that a load brings again.
 
     The stored side is reduced by the keys of the load before it is compared with wide
     rows. A load has few keys beside the table, so that Spark may broadcast them by
-    their measured size and need not shuffle the table's.
+    their measured size and need not shuffle the table's. An index reads only buckets
+    that may hold one of the keys.
     """
     wanted = rows.select(*key).distinct()
+    if isinstance(stored, IdIndex):
+        return stored.among(wanted)
     return stored.select(*key).join(wanted, key, "left_semi").distinct()
 
 
-def not_stored(rows: DataFrame, stored: DataFrame, key: list[str], brought: DataFrame | None = None) -> DataFrame:
+def not_stored(rows: DataFrame, stored: Stored, key: list[str], brought: DataFrame | None = None) -> DataFrame:
     """``rows`` whose key is not stored. ``brought`` holds the keys of the load, if they are cheaper to get than through ``rows``."""
     return rows.join(stored_among(stored, rows if brought is None else brought, key), key, "left_anti")
 
 
-def admit_caregivers(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def admit_caregivers(rows: DataFrame, stored: Stored) -> DataFrame:
     """New caregivers among readable rows."""
     return not_stored(first_rows(rows, ["caregiverId"]), stored, ["caregiverId"], rows)
 
 
-def unknown_caregivers(rows: DataFrame, caregivers: DataFrame) -> DataFrame:
+def unknown_caregivers(rows: DataFrame, caregivers: Stored) -> DataFrame:
     """Caregiver ids that visits name but no caregiver has.
 
     Ids are made distinct before they are compared, so neither a caregiver with
@@ -48,10 +55,12 @@ def unknown_caregivers(rows: DataFrame, caregivers: DataFrame) -> DataFrame:
     result is normally tiny, and removing it costs the visits no shuffle; when it
     is not, the join below is an ordinary one that adaptive execution may split.
     """
-    return rows.select("caregiverId").distinct().join(caregivers.select("caregiverId"), "caregiverId", "left_anti")
+    named = rows.select("caregiverId").distinct()
+    known = caregivers.among(named) if isinstance(caregivers, IdIndex) else caregivers.select("caregiverId")
+    return named.join(known, "caregiverId", "left_anti")
 
 
-def admit_carelogs(rows: DataFrame, unknown: DataFrame, stored: DataFrame) -> DataFrame:
+def admit_carelogs(rows: DataFrame, unknown: DataFrame, stored: Stored) -> DataFrame:
     """New visits of known caregivers among readable rows.
 
     Visits of unknown caregivers are dropped first: a visit whose first copy names

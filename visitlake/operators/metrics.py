@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlake.operators.admit import stored_among
+from visitlake.operators.admit import Stored, stored_among
 from visitlake.operators.clean import UNREADABLE, reject_reason
 from visitlake.schemas import ORIGIN
 
 COUNTS = ["total_rows", "processed_rows", "failed_rows", "orphan_rows", UNREADABLE]
 
 
-def per_file(cleaned: DataFrame, key: str, stored: DataFrame, unknown: DataFrame | None = None) -> DataFrame:
+def per_file(cleaned: DataFrame, key: str, stored: Stored, unknown: DataFrame | None = None) -> DataFrame:
     """Rows read, admitted, rejected, orphaned per file, and times lost; the remainder are duplicates.
 
     The rows are read once. They are reduced to one per file, id and caregiver, of which
