@@ -172,10 +172,20 @@ def test_unreadable_times_are_counted(spark, tmp_path):
     assert (counts.processed_rows, counts.unreadable_times) == (2, 2)
 
 
-def test_missing_required_column_stops_the_load(spark, tmp_path):
-    write(tmp_path / "bad", "caregiver.csv", [c for c in RAW_CAREGIVER if c != "profile_id"], [])
-    with pytest.raises(MissingColumns, match="profile_id"):
-        load.run_load(spark, str(tmp_path / "bad"), str(tmp_path / "warehouse"))
+def test_files_that_cannot_be_loaded_are_told_and_the_others_load(spark, tmp_path):
+    write(tmp_path / "in", "caregiver_1.csv", [c for c in RAW_CAREGIVER if c != "profile_id"], [])
+    write(tmp_path / "in", "caregiver_2.csv", RAW_CAREGIVER, [caregiver_line("C1")])
+    (tmp_path / "in" / "caregiver_3.csv").write_bytes(b"\xff\xfe\x00c\n")
+    (tmp_path / "in" / "carelog_1.csv").write_bytes(b"")
+    counts = load.run_load(spark, str(tmp_path / "in"), str(tmp_path / "w")).collect()
+    assert [r.source_file for r in counts] == ["caregiver_2.csv"] and counts[0].processed_rows == 1
+    told = dict(map(tuple, spark.read.parquet(f"{tmp_path}/w/refused_file").collect()))
+    assert told == {
+        "caregiver_1.csv": "required columns not found: profile_id", "caregiver_3.csv": "not UTF-8 text", "carelog_1.csv": "no header",
+    }
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "in" / "caregiver_2.csv").unlink()
+        load.run_load(spark, str(tmp_path / "in"), str(tmp_path / "w"))
     with pytest.raises(FileNotFoundError):
         (tmp_path / "none").mkdir()
         load.run_load(spark, str(tmp_path / "none"), str(tmp_path / "warehouse"))

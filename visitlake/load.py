@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 
 from visitlake.operators import admit, dims, metrics
 from visitlake.operators.clean import (
-    CAREGIVER_RULES, CARELOG_RULES, MissingColumns, Rule, clean_caregivers, clean_carelogs, readable, rejects,
+    CAREGIVER_RULES, CARELOG_RULES, Rule, clean_caregivers, clean_carelogs, readable, rejects,
 )
 from visitlake.operators.id_index import IdIndex
 from visitlake.schemas import AGENCY, CAREGIVER, CARELOG, FRANCHISOR, LOCATION
 from visitlake.sources import csv_files
+from visitlake.sources.heads import NO_HEADER
 from visitlake.sources.tables import append, read_table, staged, table_path
 
 ORPHANS = "orphan_carelog"
+REFUSED = "refused_file"
+REFUSED_ROWS = "source_file string, reason string"
 #: Rows of a file that the load appends, at most; ids of a batch touch few files anyway.
 ROWS_PER_FILE = 2_000_000
 
@@ -148,18 +151,26 @@ def missing_columns(file: csv_files.CsvFile, rules: list[Rule]) -> list[str]:
     return sorted({rule.field for rule in rules if rule.required} - set(file.header))
 
 
-def check_headers(files: list[csv_files.CsvFile], rules: list[Rule]) -> None:
-    """Stop before any job if a file lacks required columns."""
-    for file in files:
-        missing = missing_columns(file, rules)
-        if missing:
-            raise MissingColumns(f"{file.name}: required columns not found: {', '.join(missing)}")
+def refusal(file: csv_files.CsvFile, rules: list[Rule]) -> str | None:
+    """Why a file cannot be loaded; None if it can."""
+    if file.reason or not file.header:
+        return file.reason or NO_HEADER
+    missing = missing_columns(file, rules)
+    return f"required columns not found: {', '.join(missing)}" if missing else None
+
+
+def refuse(spark: SparkSession, refused: list[tuple[str, str]], warehouse: str) -> None:
+    """Tell refused files, each with its reason, beside the stored tables."""
+    if refused:
+        append(spark.createDataFrame(refused, REFUSED_ROWS).coalesce(1), warehouse, REFUSED)
 
 
 def run_load(spark: SparkSession, folder: str, warehouse: str, multi_line: bool = True) -> DataFrame:
     """Load every CSV file of a folder: caregivers first, then visits, then visits that waited.
 
-    Files are told apart by name; others are left alone. Returns counts per file.
+    Files are told apart by name; others are left alone. A file that cannot be opened or
+    decoded, or lacks a header or required columns, is told in ``refused_file``, and the
+    others are loaded. Returns counts per file.
     """
     files = csv_files.discover(spark, folder)
     results = []
@@ -167,11 +178,12 @@ def run_load(spark: SparkSession, folder: str, warehouse: str, multi_line: bool
         ("caregiver", CAREGIVER_RULES, load_caregivers),
         ("carelog", CARELOG_RULES, load_carelogs),
     ]:
-        mine = [f for f in files if csv_files.kind_of(f.name) == kind and f.header]
-        if mine:
-            check_headers(mine, rules)
-            results.append(load(csv_files.read_files(spark, mine, multi_line=multi_line), warehouse))
+        mine = {f: refusal(f, rules) for f in files if csv_files.kind_of(f.name) == kind}
+        refuse(spark, [(f.name, reason) for f, reason in mine.items() if reason], warehouse)
+        good = [f for f, reason in mine.items() if not reason]
+        if good:
+            results.append(load(csv_files.read_files(spark, good, multi_line=multi_line), warehouse))
     if not results:
-        raise FileNotFoundError(f"no caregiver or carelog CSV files in {folder}")
+        raise FileNotFoundError(f"no caregiver or carelog CSV files to load in {folder}")
     retry_orphans(spark, warehouse)
     return reduce(DataFrame.unionByName, results)

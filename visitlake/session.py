@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +41,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers started from now on import this library.
+
+    On a cluster it is installed on the executors or shipped with the job, and a folder
+    that they do not have is passed over.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and staged tables.
 

@@ -7,7 +7,6 @@ contain line breaks.
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 from collections import defaultdict
 from dataclasses import dataclass
@@ -19,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlake.schemas import CORRUPT, ORIGIN
-from visitlake.session import prepare
+from visitlake.session import importable, prepare
+from visitlake.sources import heads
 
 CSV_NAMES = "*.[cC][sS][vV]"
 OPTIONS = {
@@ -38,6 +38,7 @@ class CsvFile:
     size: int
     header: tuple[str, ...]
     modified: dt.datetime | None = None
+    reason: str | None = None
 
     @property
     def name(self) -> str:
@@ -57,36 +58,43 @@ def kind_of(name: str) -> str | None:
 def discover(spark: SparkSession, folder: str) -> list[CsvFile]:
     """The CSV files directly in a folder, by name, with sizes and headers.
 
-    One job lists names and lengths, and one reads the folder as lines and keeps the
-    first of each file. Spark's reader holds the list of files on the driver anyway.
+    One job lists names and lengths and opens each file for its first record. Spark's
+    reader holds the list of files on the driver anyway.
     """
     return described(prepare(spark), folder)
 
 
 def described(spark: SparkSession, paths: str | list[str]) -> list[CsvFile]:
-    """The CSV files of a folder, or those named one by one."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", CSV_NAMES).load(paths).select("path", "length", "modificationTime")
-    lines = spark.read.option("pathGlobFilter", CSV_NAMES).option("lineSep", "\n").text(paths)
+    """The CSV files of a folder, or those named one by one. What is wrong with a file is its ``reason``."""
+    reader = importable(spark).read.format("binaryFile").option("pathGlobFilter", CSV_NAMES)
+    listing = reader.load(paths).select("path", "length", "modificationTime")
+    known = {_name(r["path"]): r for r in heads.heads(listing).toLocalIterator()}
+    unopened = [r["path"] for r in known.values() if r["head"] is None and r["reason"] is None]
+    first = _first_lines(spark, unopened) if unopened else {}
+    files = {
+        name: CsvFile(r["path"], r["length"], heads.columns_of(r["head"] or first.get(name)), r["modificationTime"], r["reason"])
+        for name, r in known.items()
+    }
+    # a file without a byte is listed, but gives no row to any reader
+    for path in reader.load(paths).inputFiles():
+        files.setdefault(_name(path), CsvFile(unquote(path), 0, (), None, heads.NO_HEADER))
+    return [files[n] for n in sorted(files)]
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First lines of files that only Spark can open; it reads the whole files for that."""
+    lines = spark.read.option("lineSep", "\n").text(paths)
     first = (
         lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
         .where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
     )
-    headers = {_name(r["file"]): r["header"] for r in first.toLocalIterator()}
-    known = {_name(r["path"]): (r["path"], r["length"], r["modificationTime"]) for r in listing.toLocalIterator()}
-    # a file without a byte is listed, but gives no row to any reader
-    for path in lines.inputFiles():
-        known.setdefault(_name(path), (unquote(path), 0, None))
-    return [CsvFile(known[n][0], known[n][1], _header(headers.get(n)), known[n][2]) for n in sorted(known)]
+    return {_name(r["file"]): r["header"] for r in first.toLocalIterator()}
 
 
 def _name(path: str) -> str:
     return unquote(path).rsplit("/", 1)[-1]
 
 
-def _header(line: str | None) -> tuple[str, ...]:
-    return tuple(next(csv.reader([line.rstrip("\r").lstrip("﻿")]), [])) if line else ()
-
-
 def _schema(header: tuple[str, ...]) -> T.StructType:
     names = [f"c{i}" for i in range(len(header))]
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
@@ -122,7 +130,7 @@ def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = Fa
     prepare(spark)
     groups: dict[tuple, list[CsvFile]] = defaultdict(list)
     for f in files:
-        if f.header:
+        if f.header and not f.reason:
             groups[f.header].append(f)
     parts = []
     for header, members in groups.items():

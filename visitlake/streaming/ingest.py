@@ -14,15 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from visitlake.load import load_caregivers, load_carelogs, missing_columns, retry_orphans
+from visitlake.load import load_caregivers, load_carelogs, refusal, retry_orphans
+from visitlake.load import refuse as store_refused
 from visitlake.operators.clean import CAREGIVER_RULES, CARELOG_RULES, Rule
 from visitlake.session import prepare
 from visitlake.sources import csv_files
 from visitlake.sources.csv_files import CSV_NAMES
-from visitlake.sources.tables import append
 
 FILES_PER_BATCH = 64
-REFUSED = "refused_file"
 
 
 def new_files(spark: SparkSession, folder: str, names: str = CSV_NAMES, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -34,13 +33,13 @@ def new_files(spark: SparkSession, folder: str, names: str = CSV_NAMES, files_pe
 
 def process_in_batches(
     files: DataFrame, on_batch: Callable[[DataFrame, str], None], checkpoint: str,
-    rules: list[Rule], multi_line: bool = True, refuse: Callable[[DataFrame], None] | None = None,
+    rules: list[Rule], multi_line: bool = True, refuse: Callable[[list[tuple[str, str]]], None] | None = None,
 ) -> StreamingQuery:
     """Hand the rows of what has arrived to ``on_batch`` in micro-batches, each with an id, and return when done.
 
     A batch interrupted by a failure comes again with the same rows and id; the id names
-    the stream, too, so that another stream's batches have others. Files that lack
-    required columns are handed to ``refuse`` (file and reason), and the others go on.
+    the stream, too, so that another stream's batches have others. Files that cannot be
+    loaded are handed to ``refuse`` (file and reason), and the others go on.
     """
 
     def one(found: DataFrame, number: int) -> None:
@@ -49,11 +48,11 @@ def process_in_batches(
         if not paths:
             return
         told = csv_files.described(spark, paths)
-        reasons = {f.name: missing_columns(f, rules) for f in told if f.header}
-        bad = [(n, f"required columns not found: {', '.join(missing)}") for n, missing in reasons.items() if missing]
+        reasons = {f.name: refusal(f, rules) for f in told}
+        bad = [(name, reason) for name, reason in reasons.items() if reason]
         if bad and refuse:
-            refuse(spark.createDataFrame(bad, "source_file string, reason string"))
-        good = [f for f in told if f.header and not reasons[f.name]]
+            refuse(bad)
+        good = [f for f in told if not reasons[f.name]]
         if good:
             stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
             on_batch(csv_files.read_files(spark, good, multi_line=multi_line), f"{stream}-{number}")
@@ -76,8 +75,8 @@ def ingest(
 ) -> None:
     """Process what has arrived since the last call: all caregivers, then all visits, then waiting visits."""
 
-    def refuse(found: DataFrame) -> None:
-        append(found.coalesce(1), warehouse, REFUSED)
+    def refuse(found: list[tuple[str, str]]) -> None:
+        store_refused(spark, found, warehouse)
 
     for kind, folder, names, rules, load in (
         ("caregiver", caregiver_folder, caregiver_names, CAREGIVER_RULES, load_caregivers),
