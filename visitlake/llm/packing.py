@@ -11,6 +11,7 @@ which need no padding.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -141,6 +142,13 @@ def cut(piece: Piece, size: int) -> tuple[Piece, Piece | None]:
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: White space as the pattern has it. Runs of this length are not left to the pattern, which
+#: would go back over all of them.
+BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_RUN = 10_000
+LONG_BLANKS = re.compile(f"[{BLANK}]{{{LONG_RUN},}}")
+
+
 class Encoder:
     """Ids of a byte-level vocabulary file of the ``tokenizers`` library.
 
@@ -165,7 +173,23 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and its end, 32 bits each."""
-        return [self.coder.encode_to_numpy(t, allowed_special=self.special).astype("<u4").tobytes() + self.end for t in texts]
+        return [self.ids(t) + self.end for t in texts]
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a text. Of a long run of blanks, the last one belongs to what follows, if anything does."""
+        parts, begin = [], 0
+        for run in LONG_BLANKS.finditer(text) if len(text) >= LONG_RUN else ():
+            whole = run.end() == len(text) or any(text.startswith(s, run.end()) for s in self.special)
+            end = run.end() - (not whole)
+            parts.append(self.coder.encode_to_numpy(text[begin : run.start()], allowed_special=self.special))
+            parts.append(np.array(self.piece(text[run.start() : end]), "<u4"))
+            begin = end
+        parts.append(self.coder.encode_to_numpy(text[begin:], allowed_special=self.special))
+        return b"".join([p.astype("<u4").tobytes() for p in parts])
+
+    def piece(self, text: str) -> list[int]:
+        """Ids of a text that is one pre-token."""
+        return self.coder._core_bpe.encode_single_piece(text.encode("utf-8"))
 
 
 @lru_cache(maxsize=2)

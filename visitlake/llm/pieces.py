@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Words a worker remembers; it starts anew beyond. Changes no result.
 REMEMBERED = 250_000
+#: Answers on pairs of tokens that a worker keeps, about 100 bytes each.
+REMEMBERED_PAIRS = 500_000
 LONGEST_REMEMBERED = 64
 NEVER = float("inf")
 
@@ -111,6 +113,8 @@ class PieceModel:
                 one_gone, one = self.rank[one], self.split(one)[1]
             else:
                 two_gone, two = self.rank[two], self.split(two)[0]
+        if len(self.pairs) >= REMEMBERED_PAIRS:
+            self.pairs.clear()
         self.pairs[left * len(self.pieces) + right] = apart
         return apart
 

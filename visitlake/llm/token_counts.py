@@ -12,6 +12,7 @@ lower rank are applied at their first place only, and the others wait a round.
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ from tokenizers import Tokenizer
 REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 BATCH_SYMBOLS = 2_000_000
+#: Longer words are merged alone, as they need many rounds.
+LONG_WORD = 400
 NO_PAIR = np.iinfo(np.int32).max
 #: Lower case of one character may depend on its neighbours only for this one.
 FINAL_SIGMA = "Σ"
@@ -134,6 +137,72 @@ class TokenCounter:
             symbols, owner = symbols[keep], owner[keep]
         return counts
 
+    def merge_long(self, word: bytes) -> int:
+        """Symbols left of one long word: a round touches only the places of its pair.
+
+        Symbols are linked to their neighbours, and places are kept by the rank of the
+        pair that begins there, so that many rounds over a long word do not each look at
+        all of it.
+        """
+        size = len(word)
+        symbols = self.inner[np.frombuffer(word, np.uint8)]
+        symbols[-1] = self.final[word[-1]]
+        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        ranks = np.full(size + 1, NO_PAIR, np.int32)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+        left = size
+
+        def offer(places: np.ndarray) -> None:
+            """Rank the pairs that begin at some places anew."""
+            has = after[places] < size
+            ranks[places[~has]] = NO_PAIR
+            places = places[has]
+            found = self.rank(symbols[places], symbols[after[places]])
+            ranks[places] = found
+            known = found != NO_PAIR
+            places, found = places[known], found[known]
+            order = np.argsort(found, kind="stable")
+            places, found = places[order], found[order]
+            if not len(found):
+                return
+            begins = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]).tolist()
+            for a, b in zip(begins, [*begins[1:], len(found)], strict=True):
+                rank = int(found[a])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(heap, rank)
+                waiting[rank].append(places[a:b])
+
+        offer(np.arange(size))
+        while heap:
+            rank = heapq.heappop(heap)
+            places = np.unique(np.concatenate(waiting.pop(rank)))
+            places = places[ranks[places] == rank]
+            if not len(places):
+                continue
+            if self.one_by_one[rank] and len(places) > 1:
+                waiting[rank] = [places[1:]]
+                heapq.heappush(heap, rank)
+                places = places[:1]
+            # of places that follow one another, as in 'aaaa', the first, third, ...
+            follows = np.r_[False, after[places[:-1]] == places[1:]]
+            if follows.any():
+                number = np.arange(len(places))
+                begin = np.maximum.accumulate(np.where(follows, -1, number))
+                places = places[(number - begin) % 2 == 0]
+            gone = after[places]
+            symbols[places] = self.made[rank]
+            ranks[gone] = NO_PAIR
+            behind = after[gone]
+            after[places] = behind
+            inside = behind < size
+            before[behind[inside]] = places[inside]
+            left -= len(places)
+            front = before[places]
+            offer(np.unique(np.r_[places, front[front >= 0]]))
+        return left
+
     @staticmethod
     def _apart(chosen: np.ndarray) -> np.ndarray:
         """Of neighbouring places in a run (as in 'aaaa'), the first, third, ... only."""
@@ -160,6 +229,9 @@ class TokenCounter:
         batch: list[str] = []
         size = 0
         for word in words:
+            if len(word) > LONG_WORD:
+                found[word] = self.merge_long(word.encode("utf-8"))
+                continue
             batch.append(word)
             size += len(word)
             if size > BATCH_SYMBOLS:
