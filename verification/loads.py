@@ -263,6 +263,7 @@ STATEMENTS = {
     "check_foreign_keys": f"{_CHECKED} " + " UNION ALL ".join(FOREIGN),
     "check_not_null": f"{_CHECKED} " + " UNION ALL ".join(NULLS),
     "source_bad_rows": BAD_ROWS,
+    "source_bad_rows_split": BAD_ROWS,
     "source_preview": PREVIEW,
     "load_batch": BATCH,
     "ingest_stream": BATCH,

@@ -19,9 +19,11 @@ from pyspark.sql import types as T
 
 from visitlake.schemas import CORRUPT, ORIGIN
 from visitlake.session import importable, prepare
-from visitlake.sources import heads
+from visitlake.sources import heads, split_csv
 
 CSV_NAMES = "*.[cC][sS][vV]"
+#: Bytes of a file that one task reads, at most.
+SPLIT_ABOVE = 256 * 1024 * 1024
 OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -112,18 +114,29 @@ def _read_plain(spark: SparkSession, files: list[CsvFile], multi_line: bool) ->
     )
 
 
+def _read_split(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
+    """The same columns as ``_read_plain``, by tasks that each read a block of a file."""
+    layout = ", ".join(f"{f.name} string" for f in _schema(files[0].header))
+    rows = split_csv.records(spark, [f.path for f in files])
+    parsed = F.from_csv("record", layout, {**OPTIONS, "multiLine": "true"})
+    return rows.withColumn("parsed", parsed).select("parsed.*", "modified", "source_file", "block_start", "row_id")
+
+
 def too_long(corrupt: Column, width: int | Column) -> Column:
     """Whether a row of the wrong length has more values than the header."""
     bare = F.regexp_replace(corrupt, '"[^"]*"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","))) >= width
 
 
-def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = False, multi_line: bool = True) -> DataFrame:
+def read_files(
+    spark: SparkSession, files: list[CsvFile], keep_ragged: bool = False, multi_line: bool = True, split_above: int = SPLIT_ABOVE
+) -> DataFrame:
     """Rows of the files as text, with the place each came from.
 
-    Quoted values may hold line breaks, so that each file is read by one task. A
-    caller who knows that none does may say ``multi_line=False``, and large files are
-    split; the rows are the same then. A row with too many values is kept and the
+    Quoted values may hold line breaks, so that a file of up to ``split_above`` bytes is
+    read by one task, and a larger one block by block, see ``split_csv``. A caller who
+    knows that no value does may say ``multi_line=False``, and Spark's reader splits
+    large files itself. The rows are the same in all cases. A row with too many values is kept and the
     surplus ignored; one with too few has ``_corrupt_record`` set. ``keep_ragged``
     marks both, for validation. Columns absent from a file are NULL in its rows.
     """
@@ -131,10 +144,10 @@ def read_files(spark: SparkSession, files: list[CsvFile], keep_ragged: bool = Fa
     groups: dict[tuple, list[CsvFile]] = defaultdict(list)
     for f in files:
         if f.header and not f.reason:
-            groups[f.header].append(f)
+            groups[f.header, multi_line and f.size > split_above].append(f)
     parts = []
-    for header, members in groups.items():
-        rows = _read_plain(spark, members, multi_line)
+    for (header, large), members in groups.items():
+        rows = _read_split(spark, members) if large else _read_plain(spark, members, multi_line)
         # of two columns with one name the last counts
         place = {name: F.col(f"c{i}") for i, name in enumerate(header)}
         bad = F.col(CORRUPT) if keep_ragged else F.when(~too_long(F.col(CORRUPT), len(header)), F.col(CORRUPT))
@@ -170,10 +183,10 @@ def numbered(rows: DataFrame, chosen: Column) -> DataFrame:
     return rows.where(chosen).join(blocks, block).withColumn("row_number", place).drop("first_id", "block_rows", "rows_before")
 
 
-def bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+def bad_rows(spark: SparkSession, folder: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
     """Rows whose length differs from the header: file, place in the file, what is wrong."""
     files = discover(spark, folder)
-    rows = numbered(read_files(spark, files, keep_ragged=True), F.col(CORRUPT).isNotNull())
+    rows = numbered(read_files(spark, files, keep_ragged=True, split_above=split_above), F.col(CORRUPT).isNotNull())
     rows = rows.join(_described(spark, files).select("source_file", "column_count"), "source_file")
     longer = too_long(F.col(CORRUPT), F.col("column_count"))
     return rows.select("source_file", "row_number", F.when(longer, "more values than columns").otherwise("fewer values than columns").alias("problem"))
