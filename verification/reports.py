@@ -405,3 +405,9 @@ STATEMENTS = {
 }
 # the same reports without their limit
 STATEMENTS |= {f"{name}_all": re.sub(r"\s+LIMIT \d+\s*$", "", text) for name, text in STATEMENTS.items() if name.startswith("report_")}
+# and over figures kept per load; abnormal visits are not kept so
+STATEMENTS |= {
+    name.removesuffix("_all") + "_merged": text
+    for name, text in STATEMENTS.items()
+    if name.endswith("_all") and "abnormal" not in name
+}

@@ -1,4 +1,4 @@
-"""Row-level visit features and the aggregation pattern the reports share."""
+"""Row-level visit features and the kinds of measures the reports share."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.exact import HOUR_US, hundredths, whole
 from visitlake.functions.ladders import ladder
-from visitlake.functions.timing import bit, elapsed, is_weekend, month_number, sunday_first
+from visitlake.functions.timing import elapsed, is_weekend, sunday_first
 
 
 class _Visit:
@@ -197,33 +197,6 @@ def count(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def by_caregiver(
-    rows: DataFrame,
-    date: Column,
-    measures: dict[str, tuple[Column, Column]],
-    days: str,
-    months: str | None = None,
-) -> DataFrame:
-    """Aggregate to one row per caregiver, with an exact count of distinct days.
-
-    ``measures`` maps a name to (aggregate over rows, aggregate over the partial
-    column of that name). Rows are first reduced to one per caregiver and calendar
-    month, where the days seen are the set bits of one BIGINT; a caregiver with a
-    very large share of all visits thus reaches the last step as a few hundred
-    rows, and no task ever holds a set of dates.
-    """
-    by_month = rows.groupBy("caregiverId", month_number(date).alias("month")).agg(
-        *[first.alias(name) for name, (first, _) in measures.items()],
-        F.bit_or(bit(F.dayofmonth(date))).alias("day_bits"),
-    )
-    distinct = [F.coalesce(F.sum(F.bit_count("day_bits")), F.lit(0)).cast("bigint").alias(days)]
-    if months:
-        distinct.append(F.count("month").alias(months))
-    return by_month.groupBy("caregiverId").agg(
-        *[then.alias(name) for name, (_, then) in measures.items()], *distinct
-    )
-
-
 def added(**aggregates: Column) -> dict[str, tuple[Column, Column]]:
     """Measures whose partial values are summed."""
     return {name: (agg, F.sum(name)) for name, agg in aggregates.items()}

@@ -9,7 +9,8 @@ from visitlake.functions.exact import (
     above, exact_sum, h, hours, hundredths, percent, text0, text2, thousandths_to_hundredths, weighted, whole,
 )
 from visitlake.functions.ladders import at_least, ladder
-from visitlake.operators.facts import added, by_caregiver, comment_categories, count, doc_anomalies, largest, smallest
+from visitlake.operators.facts import added, comment_categories, count, doc_anomalies, largest, smallest
+from visitlake.operators.figures import Figures, Measures
 from visitlake.plans.common import CAREGIVER_LIMIT, numbers, top, with_caregiver
 
 
@@ -17,12 +18,9 @@ def _text(*parts: object) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
-    rows = comment_categories(visits)
+def _comment_detail_measures() -> Measures:
     kind, length, pace = F.col("comment_category"), F.col("comment_length"), F.col("chars_per_hour_h")
-    stats = by_caregiver(
-        rows,
-        F.col("visit_date"),
+    return (
         added(
             total_commented_visits=F.count("*"),
             chars=exact_sum(length),
@@ -41,9 +39,19 @@ def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None =
         | smallest(min_length=length, min_us=F.col("actual_us"), first_comment_date=F.col("visit_date"))
         | largest(
             max_length=length, max_us=F.col("actual_us"), max_pace_h=pace, last_comment_date=F.col("visit_date")
-        ),
-        days="comment_active_days",
+        )
     )
+
+
+COMMENT_DETAIL = Figures("comment_detail", comment_categories, _comment_detail_measures, lambda: F.col("visit_date"), days="comment_active_days")
+
+
+def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    return comment_detail_of(caregivers, COMMENT_DETAIL.of(visits), limit)
+
+
+def comment_detail_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n = F.col("total_commented_visits")
     vl, long, medium = F.col("very_long_comments"), F.col("long_comments"), F.col("medium_comments")
     short, vs = F.col("short_comments"), F.col("very_short_comments")
@@ -143,12 +151,9 @@ def comment_detail(caregivers: DataFrame, visits: DataFrame, limit: int | None =
     )
 
 
-def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
-    rows = doc_anomalies(visits)
+def _doc_suspicion_measures() -> Measures:
     kind = F.col("anomaly_type")
-    stats = by_caregiver(
-        rows,
-        F.col("visit_date"),
+    return (
         added(
             total_documented_visits=F.count("*"),
             suspicious_records=count(kind != "NORMAL_DOCUMENTATION"),
@@ -164,9 +169,19 @@ def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None =
             score_sum=F.sum("suspicion_score"),
         )
         | smallest(first_doc_date=F.col("visit_date"))
-        | largest(last_doc_date=F.col("visit_date"), max_score=F.col("suspicion_score")),
-        days="doc_active_days",
+        | largest(last_doc_date=F.col("visit_date"), max_score=F.col("suspicion_score"))
     )
+
+
+DOC_SUSPICION = Figures("doc_suspicion", doc_anomalies, _doc_suspicion_measures, lambda: F.col("visit_date"), days="doc_active_days")
+
+
+def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    return doc_suspicion_of(caregivers, DOC_SUSPICION.of(visits), limit)
+
+
+def doc_suspicion_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n, suspicious = F.col("total_documented_visits"), F.col("suspicious_records")
     rated = stats.where(n >= 3).withColumns(
         {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions.exact import HOUR_US, MINUTE_US, exact_sum, hours, hundredths, number, percent, round_double
@@ -15,24 +15,22 @@ from visitlake.plans.common import CAREGIVER_LIMIT, numbers, with_caregiver
 MEDIAN = {"median": Fraction(1, 2)}
 
 
-def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
-    """Durations per caregiver.
+KINDS = [
+    "NO_ACTUAL_TIMES", "MISSING_CLOCK_IN", "MISSING_CLOCK_OUT",
+    "INVALID_DURATION", "EXCESSIVE_DURATION", "TOO_SHORT_DURATION",
+]
 
-    The visits are read once into figures per caregiver and minute, which give all
-    measures and the minutes that hold the median, and once, two columns wide, for the
-    values of those minutes of the caregivers shown.
-    """
-    rows = duration_flags(visits)
-    flag, valid = F.col("data_quality_flag"), F.col("data_quality_flag") == "VALID_DURATION"
-    us = F.when(valid, F.col("actual_us"))
-    kinds = [
-        "NO_ACTUAL_TIMES", "MISSING_CLOCK_IN", "MISSING_CLOCK_OUT",
-        "INVALID_DURATION", "EXCESSIVE_DURATION", "TOO_SHORT_DURATION",
-    ]
-    counted = {
+
+def _valid() -> Column:
+    return F.col("data_quality_flag") == "VALID_DURATION"
+
+
+def _counted() -> dict[str, Column]:
+    flag, us = F.col("data_quality_flag"), F.when(_valid(), F.col("actual_us"))
+    return {
         "total_visits": F.count("*"),
-        "valid_duration_visits": count(valid),
-        **{kind.lower(): count(flag == kind) for kind in kinds},
+        "valid_duration_visits": count(_valid()),
+        **{kind.lower(): count(flag == kind) for kind in KINDS},
         "valid_us": exact_sum(us),
         "planned_us": exact_sum(F.col("scheduled_us")),
         "planned_visits": F.count("scheduled_us"),
@@ -44,11 +42,62 @@ def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None =
         "visits_4_to_8_hours": count(us.between(4 * HOUR_US, 8 * HOUR_US)),
         "visits_over_8_hours": count(us > 8 * HOUR_US),
     }
+
+
+def minute_parts(visits: DataFrame) -> DataFrame:
+    """Figures per caregiver and minute of duration, which add up over shares of the visits."""
+    us = F.when(_valid(), F.col("actual_us"))
     minute = bucket_of(us, MINUTE_US).alias("bucket")
-    per_minute = rows.select("*", minute).groupBy("caregiverId", "bucket").agg(
-        *[measure.alias(name) for name, measure in counted.items()],
+    return duration_flags(visits).select("*", minute).groupBy("caregiverId", "bucket").agg(
+        *[measure.alias(name) for name, measure in _counted().items()],
         F.min(us).alias("min_us"), F.max(us).alias("max_us"), F.avg(us).alias("mean"), F.var_pop(us).alias("variance"),
     )
+
+
+def minutes_added(parts: DataFrame) -> DataFrame:
+    """Parts of several shares of the visits as one.
+
+    Means and variances are put together as moments about the minute, whose size is
+    small enough for a double to hold them exactly to far below the digits reported.
+    """
+    n, start = F.col("valid_duration_visits"), F.col("bucket") * MINUTE_US
+    off = F.col("mean") - start
+    moments = parts.select("*", (off * n).alias("first"), ((F.col("variance") + off * off) * n).alias("second"))
+    mean = F.sum("first") / F.nullif(F.sum("valid_duration_visits"), F.lit(0))
+    square = F.sum("second") / F.nullif(F.sum("valid_duration_visits"), F.lit(0))
+    return moments.groupBy("caregiverId", "bucket").agg(
+        *[F.sum(name).alias(name) for name in _counted()],
+        F.min("min_us").alias("min_us"), F.max("max_us").alias("max_us"),
+        (mean + F.first(start)).alias("mean"), F.greatest(F.lit(0.0), square - mean * mean).alias("variance"),
+    )
+
+
+def value_parts(visits: DataFrame) -> DataFrame:
+    """How often a caregiver's visits last each time, to the microsecond."""
+    valid = duration_flags(visits).where(_valid()).select("caregiverId", "actual_us")
+    values = bucketed(valid, ["caregiverId"], "actual_us", MINUTE_US)
+    return values.groupBy("caregiverId", "bucket", "value").agg(F.count("*").alias("rows"))
+
+
+def values_added(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("caregiverId", "bucket", "value").agg(F.sum("rows").alias("rows"))
+
+
+def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """Durations per caregiver.
+
+    The visits are read once into figures per caregiver and minute, which give all
+    measures and the minutes that hold the median, and once, two columns wide, for the
+    values of those minutes of the caregivers shown.
+    """
+    return visit_duration_of(caregivers, minute_parts(visits), value_parts(visits), limit)
+
+
+def visit_duration_of(
+    caregivers: DataFrame, per_minute: DataFrame, per_value: DataFrame, limit: int | None = CAREGIVER_LIMIT
+) -> DataFrame:
+    """The report on figures per caregiver and minute and counts per value."""
+    counted = _counted()
     own = Window.partitionBy("caregiverId")
     placed = targets(per_minute, ["caregiverId"], MEDIAN, "valid_duration_visits")
     placed = placed.withColumn("whole", F.sum("valid_us").over(own) / F.nullif(F.col("total"), F.lit(0)))
@@ -82,14 +131,12 @@ def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None =
     shown = named.orderBy(*order)
     if limit is not None:
         shown = shown.limit(limit)
-    values = bucketed(rows.where(valid).select("caregiverId", "actual_us"), ["caregiverId"], "actual_us", MINUTE_US)
     # The figures travel with the one or two minutes of each caregiver: a second branch
     # that needs fewer of them would be computed from the visits anew.
     figures = [c for c in shown.columns if c not in ("caregiverId", "median_minutes")]
     hit = shown.select("caregiverId", F.struct(*figures).alias("figures"), F.explode_outer("median_minutes").alias("hit"))
     hit = hit.select("caregiverId", "figures", "hit.*")
-    # counted before the join, so that one very common value is one row in it
-    per_value = values.groupBy("caregiverId", "bucket", "value").agg(F.count("*").alias("rows"))
+    # values are counted before the join, so that one very common value is one row in it
     medians = picked(hit.join(per_value, ["caregiverId", "bucket"], "left"), ["caregiverId"], MEDIAN, ("figures",))
     median_h = hundredths(F.col("median_low") + F.col("median_high"), 2 * HOUR_US)
     result = medians.select("caregiverId", "figures.*", "median_low", "median_high").orderBy(*order)
@@ -97,7 +144,7 @@ def visit_duration(caregivers: DataFrame, visits: DataFrame, limit: int | None =
         result = result.limit(limit)
     return result.select(
         "caregiverId", "caregiver_name", "total_visits", "valid_duration_visits", "problematic_visits",
-        *[kind.lower() for kind in kinds],
+        *[kind.lower() for kind in KINDS],
         *numbers(
             "avg_actual_duration_hours", "avg_scheduled_duration_hours", "avg_duration_difference_hours",
             "data_quality_percentage", "min_actual_duration_hours", "max_actual_duration_hours",

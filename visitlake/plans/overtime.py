@@ -10,11 +10,12 @@ from visitlake.functions.exact import (
 )
 from visitlake.functions.ladders import at_least, ladder
 from visitlake.functions.timing import bit
-from visitlake.operators.facts import added, by_caregiver, count, largest, overtime_rows, smallest
+from visitlake.operators.facts import added, count, largest, overtime_rows, smallest
+from visitlake.operators.figures import Figures, Measures
 from visitlake.plans.common import CAREGIVER_LIMIT, VISIT_LIMIT, numbers, top, with_caregiver
 
 
-def _overtime_measures() -> dict[str, tuple[Column, Column]]:
+def _overtime_measures() -> Measures:
     extra, pct = F.col("overtime_us"), F.col("overtime_percentage_h")
     return (
         added(
@@ -45,9 +46,8 @@ def _overtime_rates() -> dict[str, Column]:
     }
 
 
-def overtime(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
-    rows = overtime_rows(visits)
-    measures = (
+def _report_measures() -> Measures:
+    return (
         _overtime_measures()
         | added(scheduled_us=exact_sum(F.col("scheduled_us")), actual_us=exact_sum(F.col("actual_us")))
         | largest(
@@ -55,7 +55,19 @@ def overtime(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREG
             last_overtime_date=F.when(F.col("overtime_us") > 0, F.col("visit_date")),
         )
     )
-    stats = by_caregiver(rows, F.col("visit_date"), measures, days="active_days", months="active_months")
+
+
+OVERTIME = Figures(
+    "overtime", overtime_rows, _report_measures, lambda: F.col("visit_date"), days="active_days", months="active_months"
+)
+
+
+def overtime(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    return overtime_of(caregivers, OVERTIME.of(visits), limit)
+
+
+def overtime_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n = F.col("total_visits")
     rated = stats.where((n >= 5) & (F.col("overtime_visits") > 0)).withColumns(
         _overtime_rates()
@@ -112,11 +124,10 @@ def overtime(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREG
     )
 
 
-def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None = VISIT_LIMIT) -> DataFrame:
-    rows = overtime_rows(visits)
+def _insight_measures() -> Measures:
     extra, shift, period = F.col("overtime_us") > 0, F.col("shift_type"), F.col("time_period")
     weekend = F.col("day_type") == "WEEKEND"
-    measures = (
+    return (
         _overtime_measures()
         | added(
             weekend_visits=count(weekend),
@@ -132,7 +143,17 @@ def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None
         # months of the year seen, years merged
         | {"month_bits": (F.bit_or(bit(F.col("visit_month"))), F.bit_or("month_bits"))}
     )
-    stats = by_caregiver(rows, F.col("visit_date"), measures, days="active_days")
+
+
+INSIGHT = Figures("overtime_insight", overtime_rows, _insight_measures, lambda: F.col("visit_date"), days="active_days")
+
+
+def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None = VISIT_LIMIT) -> DataFrame:
+    return overtime_insight_of(caregivers, INSIGHT.of(visits), limit)
+
+
+def overtime_insight_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = VISIT_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n, over = F.col("total_visits"), F.col("overtime_visits")
     rated = stats.where((n >= 5) & (over > 0)).withColumns(
         _overtime_rates()

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.exact import exact_sum, hours, percent
-from visitlake.operators.facts import added, by_caregiver, count, largest, smallest, visit
+from visitlake.operators.facts import added, count, largest, smallest, visit
+from visitlake.operators.figures import Figures, Measures
 from visitlake.plans.common import CAREGIVER_LIMIT, numbers, top, with_caregiver
 
 
-def top_performance(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+def _measures() -> Measures:
     punctual = (visit.clock_in <= visit.plan_start) & (visit.clock_out >= visit.plan_end)
-    stats = by_caregiver(
-        visits,
-        visit.clock_in,
+    return (
         added(
             total_scheduled_visits=F.count("*"),
             actual_visits=count(visit.any_clock),
@@ -26,9 +25,19 @@ def top_performance(caregivers: DataFrame, visits: DataFrame, limit: int | None
             punctual_visits=count(punctual),
         )
         | smallest(first_actual_visit=visit.clock_in)
-        | largest(last_actual_visit=visit.clock_out),
-        days="actual_active_days",
+        | largest(last_actual_visit=visit.clock_out)
     )
+
+
+FIGURES = Figures("top_performance", lambda visits: visits, _measures, lambda: visit.clock_in, days="actual_active_days")
+
+
+def top_performance(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    return top_performance_of(caregivers, FIGURES.of(visits), limit)
+
+
+def top_performance_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n, total = F.col("total_scheduled_visits"), F.coalesce("worked_us", F.lit(0))
     scored = stats.where(n >= 3).withColumns(
         {

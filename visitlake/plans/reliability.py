@@ -7,23 +7,39 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.exact import hundredths, percent, whole
 from visitlake.functions.ladders import ladder
-from visitlake.operators.facts import count, visit
+from visitlake.operators.facts import added, count, largest, visit
+from visitlake.operators.figures import Figures, Measures
 from visitlake.plans.common import CAREGIVER_LIMIT, numbers, top, with_caregiver
 
 
-def reliability(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
-    stats = visits.groupBy("caregiverId").agg(
-        F.count("*").alias("total_scheduled_visits"),
-        count(visit.any_clock).alias("completed_visits"),
-        count(visit.missed).alias("missed_visits_count"),
-        count(visit.late).alias("late_arrivals_count"),
-        count(visit.plan_start.isNotNull() & visit.clock_in.isNotNull()).alias("arrivals"),
-        count(visit.early).alias("early_departures_count"),
-        count(visit.plan_end.isNotNull() & visit.clock_out.isNotNull()).alias("departures"),
-        F.max(F.when(visit.missed, visit.plan_start)).alias("last_missed_visit"),
-        F.max(F.when(visit.late, visit.clock_in)).alias("last_late_arrival"),
-        F.max(F.when(visit.early, visit.clock_out)).alias("last_early_departure"),
+def _measures() -> Measures:
+    return (
+        added(
+            total_scheduled_visits=F.count("*"),
+            completed_visits=count(visit.any_clock),
+            missed_visits_count=count(visit.missed),
+            late_arrivals_count=count(visit.late),
+            arrivals=count(visit.plan_start.isNotNull() & visit.clock_in.isNotNull()),
+            early_departures_count=count(visit.early),
+            departures=count(visit.plan_end.isNotNull() & visit.clock_out.isNotNull()),
+        )
+        | largest(
+            last_missed_visit=F.when(visit.missed, visit.plan_start),
+            last_late_arrival=F.when(visit.late, visit.clock_in),
+            last_early_departure=F.when(visit.early, visit.clock_out),
+        )
     )
+
+
+FIGURES = Figures("reliability", lambda visits: visits, _measures)
+
+
+def reliability(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    return reliability_of(caregivers, FIGURES.of(visits), limit)
+
+
+def reliability_of(caregivers: DataFrame, stats: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
+    """The report on figures per caregiver."""
     n, done, missed = F.col("total_scheduled_visits"), F.col("completed_visits"), F.col("missed_visits_count")
     late, arrivals = F.col("late_arrivals_count"), F.col("arrivals")
     early, departures = F.col("early_departures_count"), F.col("departures")
