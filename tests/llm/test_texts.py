@@ -240,6 +240,45 @@ def test_labelled_national_numbers_are_added(spark):
     assert found[1000] == "phone:5:17" and found[1002] == found[1003] == ""
 
 
+def fitted(spark, rows):
+    """The model of spans given as (kind, certain, form, gazetteer, closed, plain, how many)."""
+    layout = "kind string, certain int, form int, gazetteer int, closed int, plain int, n int"
+    spans = spark.createDataFrame(rows, layout).select("*", F.lit(10).alias("digits"), F.lit("gaps").alias("look"))
+    return pii.fit(spans.select("*", F.explode(F.sequence(F.lit(1), "n")).alias("k")))
+
+
+def odds_of(model, name, vote, kind="phone"):
+    none, some = model.trust[kind, name]
+    return some[pii.VOTES.index(vote)] / none[pii.VOTES.index(vote)]
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+def test_every_labeler_is_estimated(spark, size):
+    """A labeler's say follows the data, up and down, and does not rest at a limit."""
+    base = [("phone", 1, 1, 1, 1, 0, 8 * size), ("phone", 1, 1, 0, 1, 0, 2 * size)]
+    # beside look-alikes stands a word as often as beside base spans, or nearly never
+    useless = base + [("phone", 0, -1, 1, -1, -1, 8 * size), ("phone", 0, -1, 0, -1, -1, 2 * size)]
+    useful = base + [("phone", 0, -1, 1, -1, -1, 1), ("phone", 0, -1, 0, -1, -1, 10 * size)]
+    without, with_it = fitted(spark, useless), fitted(spark, useful)
+    believed = pii.BELIEF["gazetteer"]
+    assert odds_of(without, "gazetteer", 1) < 2 < 20 < believed[1][2] / believed[0][2]
+    assert odds_of(with_it, "gazetteer", 1) > 4 * odds_of(without, "gazetteer", 1)
+    # numbers beside a span tell the classes apart in one input, and nothing in another
+    mixed = [("phone", 1, 1, 1, 1, 0, size), ("phone", 1, 1, 1, 1, -1, size), ("phone", 0, -1, 0, -1, 0, size), ("phone", 0, -1, 0, -1, -1, size)]
+    before = pii.BELIEF["plain"][1][0] / pii.BELIEF["plain"][0][0]
+    assert 2 * odds_of(with_it, "plain", -1) < before < odds_of(fitted(spark, mixed), "plain", -1) / 2
+    for name in pii.LABELERS:
+        told = {tuple(model.trust["phone", name]) for model in (without, with_it, fitted(spark, mixed))}
+        assert len(told) == 3, name
+
+
+def test_the_share_of_candidates_follows_the_votes(spark):
+    base = [("phone", 1, 1, 1, 1, 0, 10)]
+    many = fitted(spark, base + [("phone", 0, 1, 1, 1, 0, 90), ("phone", 0, -1, 0, -1, -1, 10)])
+    few = fitted(spark, base + [("phone", 0, 1, 1, 1, 0, 10), ("phone", 0, -1, 0, -1, -1, 90)])
+    assert many.share["phone"] > 0.5 > 0.3 > few.share["phone"] and many.share.keys() == {"phone"}
+
+
 def test_redaction_keeps_columns(spark, odd):
     rows = odd.withColumn("text", F.when(F.col("doc_id") == 4, "é ann@host.com, 1.2.3.4 é").otherwise(F.col("text")))
     out = pii.redact(rows)

@@ -4,14 +4,16 @@ The base spans are those of four fixed patterns and their checks; they always st
 Candidates beyond them come from wider patterns of email and phone. Labelers vote
 on base spans and candidates alike: patterns of form, gazetteers of words beside the
 span, and the context; none of them sees whether a span is a base span.
-Expectation-maximisation finds how far each labeler is to be trusted, within fixed
-bounds, and a span classifier is trained on its outcome for the candidates, from
-features of form and surroundings. What it accepts is added if it overlaps no base span.
+Expectation-maximisation finds, for every kind, how often each labeler votes against,
+abstains and votes for on spans that are personal data and on those that are none, and
+what share of the candidates is; a span classifier is trained on its outcome for the
+candidates, from features of form and surroundings. What it accepts is added if it
+overlaps no base span.
 
-Base spans and candidates have the same weight in the estimates, however many there
-are, so that the answer depends on shares, not on the size of the input. A labeler that
-abstains says nothing. The share of candidates that are personal data is taken as given
-(EXPECTED), as votes alone cannot tell a class of look-alikes from one of real numbers.
+Base spans and candidates of a kind have the same weight in the estimates, however many
+there are, so that the answer depends on shares, not on the size of the input. Nothing
+but a belief held beforehand, of a stated weight (BELIEF, EXPECTED, HELD), stands beside
+the data: a labeler whose votes do not tell the two classes apart loses its say.
 
 All text work is native expressions. Only numbers per combination of votes and
 features come to the driver, whose count is bounded by the labelers, not the input.
@@ -58,21 +60,30 @@ GAZETTEER = {
     "phone": "phone|tel|call|mobile|cell|fax|teléfono|téléphone|telefon|appelez|anrufen",
 }
 LABELERS = ("form", "gazetteer", "closed", "plain")
-#: Share of a kind's candidates taken to be personal data before any vote.
+VOTES = (-1, 0, 1)
+#: Share of a kind's candidates believed to be personal data before any vote is seen.
 EXPECTED = {"email": 0.95, "phone": 0.2}
-#: Least and greatest factor by which a vote against and a vote for may change the odds.
-#: Form and closeness together never carry a number over ACCEPT: a gazetteer word has to.
-BOUNDS = {
-    "form": ((0.001, 0.05), (1.0, 5.0)), "gazetteer": ((1.0, 1.0), (200.0, 2000.0)),
-    "closed": ((0.05, 0.5), (1.0, 5.0)), "plain": ((0.001, 0.05), (1.0, 1.0)),
+#: How often a labeler is believed to vote against, abstain and vote for, on spans that are none and that are.
+BELIEF = {
+    "form": ((0.5, 0.0, 0.5), (0.1, 0.0, 0.9)), "gazetteer": ((0.0, 0.995, 0.005), (0.0, 0.6, 0.4)),
+    "closed": ((0.4, 0.0, 0.6), (0.2, 0.0, 0.8)), "plain": ((0.4, 0.6, 0.0), (0.1, 0.9, 0.0)),
 }
+#: What a belief weighs, and all base spans of a kind, where all its candidates weigh 1. Base
+#: spans weigh less, as what stands around them need not stand around candidates.
+HELD, ANCHOR = 1.0, 0.25
+#: Added to every outcome, so that one never seen says nothing.
+FLOOR = 1e-6
+
+Reliability = dict[tuple[str, str], tuple[tuple[float, ...], tuple[float, ...]]]
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """By what factor a vote against and a vote for of each labeler change the odds; and the classifier's weights."""
+    """For a kind and labeler, how often it votes each way on spans that are none and that are; the share of
+    a kind's candidates that are personal data; and the classifier's weights."""
 
-    trust: dict[str, tuple[float, float]]
+    trust: Reliability
+    share: dict[str, float]
     weights: dict[str, float]
 
 
@@ -191,6 +202,8 @@ def voted(text: Column, span: Column) -> Column:
         for name, words in GAZETTEER.items():
             beside = left.rlike(rf"(?iu)(^|[^\p{{L}}])({words})[.:\x20]*[^\p{{L}}]*$")
             near = F.when(kind == name, beside.cast("int")).otherwise(near)
+        # a word beside what is malformed vouches for nothing
+        near = F.when(form > 0, near).otherwise(0)
         numbers = left.rlike(r"[0-9][\x20.,/-]*$") | right.rlike(r"^[\x20.,/-]*[0-9]")
         closed = left.rlike(r"(^|[\s(\[<:;,])$") & right.rlike(r"^($|[\s)\]>:;,.!?])")
         return F.struct(
@@ -224,44 +237,61 @@ def fit(voted: DataFrame) -> LabelModel:
     rows = voted.groupBy(*LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect()
     rows = sorted(rows, key=lambda r: tuple(map(str, r)))
     unsure = [r for r in rows if not r["certain"]]
-    total = [max(sum(r["n"] for r in rows if r["certain"] == side), 1) for side in (0, 1)]
-    trust = {name: tuple(low for low, _ in BOUNDS[name]) for name in LABELERS}
+    total: dict[tuple, int] = {}
+    for r in rows:
+        total[r["kind"], r["certain"]] = total.get((r["kind"], r["certain"]), 0) + r["n"]
+    doubtful = sorted({r["kind"] for r in unsure})
+    seen = [r for r in rows if r["kind"] in doubtful]
+    share = {kind: EXPECTED[kind] for kind in doubtful}
+    trust: Reliability = {(kind, name): _normal(BELIEF[name]) for kind in doubtful for name in LABELERS}
     truth: list[float] = []
     for _ in range(ROUNDS):
-        before, truth = truth, [_believed(r, trust) for r in rows]
+        before, truth = truth, [_believed(r, trust, share) for r in seen]
         if before and max((abs(a - b) for a, b in zip(before, truth, strict=True)), default=0) < 1e-9:
             break
-        for name in LABELERS:
-            # votes against and for, of spans that are none and that are; abstentions count for neither
-            mass = [[0.01, 0.01], [0.01, 0.01]]
-            for r, t in zip(rows, truth, strict=True):
-                if r[name]:
-                    n = r["n"] / total[r["certain"]]
-                    mass[0][r[name] > 0] += n * (1 - t)
-                    mass[1][r[name] > 0] += n * t
-            share = [[m / sum(side) for m in side] for side in mass]
-            trust[name] = tuple(min(max(share[1][v] / share[0][v], low), high) for v, (low, high) in enumerate(BOUNDS[name]))
+        # what the beliefs and then the spans weigh, by labeler, class and vote
+        mass = {key: [[HELD * x for x in side] for side in BELIEF[key[1]]] for key in trust}
+        found = {kind: HELD * EXPECTED[kind] for kind in doubtful}
+        for r, t in zip(seen, truth, strict=True):
+            n = r["n"] / total[r["kind"], r["certain"]] * (ANCHOR if r["certain"] else 1)
+            for name in LABELERS:
+                vote = VOTES.index(r[name])
+                mass[r["kind"], name][0][vote] += n * (1 - t)
+                mass[r["kind"], name][1][vote] += n * t
+            if not r["certain"]:
+                found[r["kind"]] += n * t
+        trust = {key: _normal(sides) for key, sides in mass.items()}
+        share = {kind: value / (1 + HELD) for kind, value in found.items()}
     weights: dict[str, float] = {}
     for _ in range(200):
         slope: dict[str, float] = {}
         mass: dict[str, float] = {}
         for r in unsure:
-            t, names = _believed(r, trust), _names(r)
+            t, names = _believed(r, trust, share), _names(r)
             guess = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weights.get(x, 0.0) for x in names)))))
             for x in names:
                 slope[x] = slope.get(x, 0.0) + r["n"] * (t - guess)
                 mass[x] = mass.get(x, 0.0) + r["n"]
         for x in slope:
             weights[x] = weights.get(x, 0.0) + slope[x] / (mass[x] + 1.0) - 0.002 * weights.get(x, 0.0)
-    return LabelModel(trust, weights)
+    return LabelModel(trust, share, weights)
+
+
+def _normal(sides) -> tuple[tuple[float, ...], ...]:
+    """Weights of outcomes as probabilities, for each class."""
+    return tuple(tuple((x + FLOOR) / (sum(side) + len(side) * FLOOR) for x in side) for side in sides)
 
 
-def _believed(row, trust: dict[str, tuple[float, float]]) -> float:
+def _believed(row, trust: Reliability, share: dict[str, float]) -> float:
     """How likely a span is personal data by its votes; a base span is one by definition."""
     if row["certain"]:
         return 0.999
-    prior = EXPECTED[row["kind"]]
-    odds = math.log(prior / (1 - prior)) + sum(math.log(trust[x][row[x] > 0]) for x in LABELERS if row[x])
+    part = share[row["kind"]]
+    odds = math.log(part / (1 - part))
+    for name in LABELERS:
+        none, some = trust[row["kind"], name]
+        vote = VOTES.index(row[name])
+        odds += math.log(some[vote] / none[vote])
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
