@@ -335,6 +335,30 @@ def test_shingle_join_by_brute_force(spark, documents, odd, none, size, percent)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize(("near_block", "block", "near_bands"), [(8, 8, 1), (40, 1000, 4)])
+def test_shingle_join_in_small_blocks(spark, monkeypatch, near_block, block, near_bands):
+    """Groups that fall into many blocks, of copies of one text and in a chain, are found whole in every round."""
+    monkeypatch.setattr(shingle_join, "NEAR_BLOCK", near_block)
+    monkeypatch.setattr(shingle_join, "BLOCK", block)
+    monkeypatch.setattr(shingle_join, "NEAR_BANDS", near_bands)
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{k}" for k in range(900)]
+    texts, base = [], list(rng.choice(vocabulary, 150))
+    for k in range(80):
+        copy = base.copy()
+        copy[rng.integers(0, 150)] = f"new{k}"
+        texts.append(copy)
+    for k in range(60):
+        base = base.copy()
+        base[rng.integers(0, 150)] = f"next{k}"
+        texts.append(base)
+    texts += [list(rng.choice(vocabulary, rng.integers(1, 90))) for _ in range(60)]
+    rows = [(int(i), " ".join(t)) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+    sets = {i: shingles(t, 5) for i, t in rows}
+    found = shingle_join.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(sets, 80)
+
+
 def test_shingle_join_odd_rows(odd, none):
     rows = {(r.doc_id, r.n_shingles, r.component_id) for r in shingle_join.similar_classes(odd).collect()}
     assert {(0, 0, 0), (1, 0, 1), (11, 2, 10), (10, 2, 10)} <= rows and (None, 1, None) in rows

@@ -33,6 +33,17 @@ def deal(rows: DataFrame, member: str, block: int) -> DataFrame:
     return dealt.select(*[c for c in rows.columns if c != "size"], "met.*")
 
 
+def deal_within(rows: DataFrame, member: str, block: int) -> DataFrame:
+    """``rows`` (bucket, size and others), each in one block: members of one block meet, no others.
+
+    A member's block differs from bucket to bucket.
+    """
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    own = F.pmod(F.xxhash64(member, "bucket"), blocks).cast("int")
+    dealt = rows.withColumn("low", own).withColumn("high", own).withColumn("side", F.lit(0))
+    return dealt.select(*[c for c in rows.columns if c != "size"], "low", "high", "side")
+
+
 def gathered(dealt: DataFrame, columns: list[str], work: Callable[[Iterator[list[tuple]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``work`` to the stream of a task's block pairs, each a list of rows.
 

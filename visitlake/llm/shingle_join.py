@@ -1,17 +1,20 @@
 """Similarity join of documents by the Jaccard coefficient of their word shingles (operator 8).
 
 1. Equal shingle sets are one class, with its smallest document standing for it.
-2. Classes meet in buckets. A bucket is a band of three minima of hashed shingles.
-   There are as many bands as make the chance that two linked sets share none less
-   than ``MISS``; sets that only share a common passage rarely meet.
-3. In each bucket a class is compared with the bucket's smallest one. That alone
-   connects a group of copies, whatever its size, with one pair per member.
-4. Buckets that still hold classes of different components are searched for further
-   pairs by signature trees: nodes hold the OR of their sets' token bitmaps and the
-   range of their sizes, and a pair of nodes is left when even the largest overlap
-   these allow is too small.
-5. Every pair is decided by its whole sets. Links between documents are never
-   guessed, and components are joined from links.
+2. Signature trees find the pairs: nodes hold the OR of their sets' token bitmaps and
+   the range of their sizes, and walking two trees at once, a pair of nodes is left
+   when even the largest overlap these allow is too small.
+3. Which classes share a tree is a matter of buckets, as one task cannot hold all. A
+   bucket is a band of three minima of hashed shingles; there are as many bands as make
+   the chance that two linked sets share none less than ``MISS``.
+4. Trees are walked in three rounds, so that a group of copies of any size costs a pair
+   per member. First every class of a block is paired with the nearest smaller one that
+   a tree leaves it. Then one class of every component that a bucket still holds is
+   paired likewise. Last, buckets that still hold several components are searched whole,
+   in pairs of blocks.
+5. Every pair is decided by its whole sets. The last round does so in the task that
+   finds the pair, and hands out no pair but links between components. Links between
+   documents are never guessed, and components are joined from links.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from visitlake.llm.blocks import deal, gathered
+from visitlake.llm.blocks import PLACE, deal, deal_within, gathered
 from visitlake.llm.components import components, stored
 
 WORDS = 5
@@ -38,7 +41,11 @@ BITS = 2048
 LEAF = 16
 FANOUT = 8
 #: Classes of a bucket that one task compares at a time; larger buckets are dealt out in blocks.
-BLOCK = 2048
+BLOCK = 1024
+#: The same for the first two rounds, in which blocks do not meet each other.
+NEAR_BLOCK = 512
+#: Shared buckets of a class, in the order of bands, in which the first round looks for its nearest class.
+NEAR_BANDS = 4
 REMEMBERED = 400_000
 SEED = 20240607
 
@@ -213,47 +220,137 @@ def tree_pairs(one: SignatureTree, two: SignatureTree | None, percent: int) -> t
     return one.order[i], other.order[j]
 
 
-def _searched(dealt: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of every block pair of a bucket, of classes in different components."""
+def likeness(sizes: np.ndarray, excess: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The largest coefficient that bitmaps and sizes of two sets allow."""
+    told = []
+    for start in range(0, len(i), 50_000):
+        one, two = i[start : start + 50_000], j[start : start + 50_000]
+        common = np.bitwise_count(bits[one] & bits[two]).sum(axis=1, dtype=np.int64) + np.minimum(excess[one], excess[two])
+        common = np.minimum(common, np.minimum(sizes[one], sizes[two]))
+        told.append(common / (sizes[one] + sizes[two] - common))
+    return np.concatenate(told) if told else np.zeros(0)
+
+
+def _signatures(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, surplus and bitmaps of gathered rows of class_id, root, n, excess and bits."""
+    bits = np.frombuffer(b"".join(r[8] for r in rows), np.uint64).reshape(len(rows), BITS // 64)
+    return np.array([r[6] for r in rows], np.int64), np.array([r[7] for r in rows], np.int64), bits
+
+
+def _ranks(keys: list) -> np.ndarray:
+    """Places of keys among the distinct ones in order."""
+    place = {k: n for n, k in enumerate(sorted(set(keys)))}
+    return np.array([place[k] for k in keys], np.int64)
+
+
+def _nearest(dealt: DataFrame, percent: int) -> DataFrame:
+    """Per class ``b`` of a block, the likest smaller class ``a`` of another component that its tree leaves, and ``likeness``."""
     kind = dealt.schema["class_id"].dataType
     id_type = to_arrow_type(kind)
+    schema = f"a {kind.simpleString()}, b {kind.simpleString()}, likeness double"
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple]:
-        if len({r[5] for r in rows}) < 2:
-            return
-        sides = [[r for r in rows if r[3] == side] for side in (0, 1)]
-        trees = [
-            SignatureTree(
-                np.array([r[6] for r in side]), np.array([r[7] for r in side]),
-                np.frombuffer(b"".join(r[8] for r in side), np.uint64).reshape(len(side), BITS // 64),
-            ) if side else None
-            for side in sides
-        ]
-        within = rows[0][1] == rows[0][2]
-        if trees[0] is None or not within and trees[1] is None:
-            return
-        one, two = sides[0], sides[0] if within else sides[1]
-        for i, j in zip(*tree_pairs(trees[0], None if within else trees[1], percent), strict=True):
-            if one[i][5] != two[j][5]:
-                yield min(one[i][4], two[j][4]), max(one[i][4], two[j][4])
-
-    def shown(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, type=id_type) for c in zip(*found, strict=True)], ["a", "b"])
+    def work(groups: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        for rows in groups:
+            ids, root = _ranks([r[4] for r in rows]), _ranks([r[5] for r in rows])
+            if not root.any():
+                continue
+            known = _signatures(rows)
+            i, j = tree_pairs(SignatureTree(*known), None, percent)
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            smaller, larger = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+            near = likeness(*known, smaller, larger)
+            order = np.lexsort((-ids[smaller], near, larger))
+            best = order[np.r_[larger[order][1:] != larger[order][:-1], True]] if len(order) else order
+            one, two = ([rows[k][4] for k in side[best]] for side in (smaller, larger))
+            yield pa.RecordBatch.from_arrays([pa.array(one, id_type), pa.array(two, id_type), pa.array(near[best], pa.float64())], ["a", "b", "likeness"])
+
+    return gathered(dealt, ["class_id", "root", "n", "excess", "bits"], work, schema)
+
+
+def _block_pairs(rows: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in ``rows`` of pairs that the trees of a block, or of two, leave, of different components."""
+    root = _ranks([r[5] for r in rows])
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not root.any():
+        return none
+    if rows[0][1] == rows[0][2]:
+        i, j = tree_pairs(SignatureTree(*_signatures(rows)), None, percent)
+    else:
+        sides = [np.array([k for k, r in enumerate(rows) if r[3] == side], np.int64) for side in (0, 1)]
+        if not all(map(len, sides)):
+            return none
+        i, j = tree_pairs(*(SignatureTree(*_signatures([rows[k] for k in side])) for side in sides), percent)
+        i, j = sides[0][i], sides[1][j]
+    apart = root[i] != root[j]
+    return i[apart], j[apart]
+
+
+def _in_question(dealt: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``dealt`` (bucket, low, high, side, class_id) that are part of any pair the trees leave."""
+    kind = dealt.schema["class_id"].dataType
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), to_arrow_type(kind))
+    names = ["bucket", "low", "high", "side", "class_id"]
 
     def work(groups: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple] = []
         for rows in groups:
-            found.extend(pairs(rows))
-            if len(found) > 5000:
-                yield shown(found)
-                found = []
-        if found:
-            yield shown(found)
-
-    columns = ["class_id", "root", "n", "excess", "bits"]
+            marked = np.unique(np.concatenate(_block_pairs(rows, percent)))
+            if len(marked):
+                columns = zip(*(rows[k][:5] for k in marked), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], names)
+
+    schema = f"bucket bigint, low int, high int, side int, class_id {kind.simpleString()}"
+    return gathered(dealt, ["class_id", "root", "n", "excess", "bits"], work, schema)
+
+
+def _linked(dealt: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) that connect the components of a block pair, each decided by its whole sets.
+
+    A pair whose classes are connected by then is not looked at, so that a block pair
+    gives fewer links than it has rows.
+    """
+    kind = dealt.schema["class_id"].dataType
+    id_type = to_arrow_type(kind)
+
+    def links(rows: list[tuple]) -> list[tuple]:
+        i, j = _block_pairs(rows, percent)
+        if not len(i):
+            return []
+        sets = [np.frombuffer(r[9], np.uint64) for r in rows]
+        near = likeness(*_signatures(rows), i, j)
+        up = list(range(len(rows)))
+
+        def top(k: int) -> int:
+            while up[k] != k:
+                up[k] = up[up[k]]
+                k = up[k]
+            return k
+
+        first: dict = {}
+        for k, row in enumerate(rows):
+            up[k] = first.setdefault(row[5], k)
+        out = []
+        for k in np.argsort(-near, kind="stable"):
+            one, two = int(i[k]), int(j[k])
+            if top(one) != top(two) and _similar(sets[one], sets[two], percent):
+                up[top(one)] = top(two)
+                out.append((rows[one][4], rows[two][4]))
+        return out
+
+    def work(groups: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        for rows in groups:
+            if found := links(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=id_type) for c in zip(*found, strict=True)], ["a", "b"])
+
+    columns = ["class_id", "root", "n", "excess", "bits", "tokens"]
     return gathered(dealt, columns, work, f"a {kind.simpleString()}, b {kind.simpleString()}")
 
 
+def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
 def _token_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Whole sets (``class_id``, ``tokens``) of the classes named in ``wanted``."""
 
@@ -273,8 +370,8 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs (columns ``a`` and ``b``) whose whole sets are similar enough.
 
-    The sets of ``b`` travel to those of ``a``. Where very many pairs share one ``a``
-    (a bucket's first class), Spark's skew join splits them.
+    The sets of ``b`` travel to those of ``a``. Where very many pairs share one ``a``,
+    Spark's skew join splits them.
     """
     kind = pairs.schema["a"].dataType.simpleString()
 
@@ -283,8 +380,7 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
             keep = []
             for one, two in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (one, two))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(_similar(x, y, percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(tokens.toDF("b", "two"), "b").join(tokens.toDF("a", "one"), "a")
@@ -307,7 +403,7 @@ def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     filled = sets.where("set_key is not null and doc_id is not null")
     classes = stored(filled.groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "shingle-classes")
     links = _links(docs, filled, classes, words, percent)
-    roots = components(links.unionByName(_same_key(filled, classes)))
+    roots = components(links.select("a", "b").unionByName(_same_key(filled, classes)))
     known = classes.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "set_key", F.coalesce("root", "class_id").alias("root")
     )
@@ -340,41 +436,54 @@ def _same_key(filled: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    shared = shared.drop("band")
     return shared.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         *shared.columns, F.coalesce("root", "class_id").alias("root")
     )
 
 
 def _links(docs: DataFrame, filled: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Verified links between classes (``a``, ``b``)."""
+    """Verified links between classes (``a``, ``b``), and the ``round`` that found each."""
     signed = filled.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "set_key"], "left_semi")
     signed = stored(signed.select(F.col("doc_id").alias("class_id"), "n", "excess", "bits", "buckets"), "signatures")
-    members = signed.select("class_id", F.explode("buckets").alias("bucket"))
-    # Written out, so that both sides of the joins on buckets are shuffled for them alone:
+    known = signed.select("class_id", "n", "excess", "bits")
+    members = signed.select("class_id", F.posexplode("buckets").alias("band", "bucket"))
+    # Written out, so that both sides of the join on buckets are shuffled for it alone:
     # then Spark splits the rows of a bucket with very many members over tasks.
-    leaders = stored(members.groupBy("bucket").agg(F.min("class_id").alias("leader"), F.count("*").alias("size")).where("size > 1"), "leaders")
-    shared = stored(members.join(leaders, "bucket"), "buckets")
+    sizes = stored(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+    shared = stored(members.join(sizes, "bucket"), "buckets")
     tokens = stored(_token_sets(docs, shared.select("class_id"), words), "tokens")
 
-    # every class with the leader it meets most often
-    stars = shared.where("class_id <> leader").groupBy("leader", "class_id").agg(F.count("*").alias("times"))
-    stars = stars.groupBy("class_id").agg(F.max_by("leader", F.struct("times", "leader")).alias("leader"))
-    stars = stored(stars.select(F.col("leader").alias("a"), F.col("class_id").alias("b")), "stars")
-    links = stored(_verified(stars, tokens, percent), "links")
-
-    # one class of every other component of a bucket with the bucket's leader
-    placed = _with_roots(shared, components(links))
-    mixed = placed.groupBy("bucket", "root").agg(F.min("class_id").alias("class_id"), F.first("leader").alias("leader"))
-    more = mixed.where("class_id <> leader").select(F.col("leader").alias("a"), F.col("class_id").alias("b")).distinct()
-    more = stored(more.join(stars, ["a", "b"], "left_anti"), "stars")
-    links = stored(links.unionByName(_verified(more, tokens, percent)), "links")
-
-    # all pairs that buckets of several components may still hold
-    placed = stored(_with_roots(shared, components(links)), "placed")
+    # a class with its nearest smaller one in a few of its buckets
+    few = shared.groupBy("class_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("band", "bucket", "size"))), 1, NEAR_BANDS).alias("few"))
+    few = few.join(known, "class_id").withColumn("root", F.col("class_id")).select("*", F.inline("few")).drop("few", "band")
+    links = stored(_verified(_best(_nearest(deal_within(few, "class_id", NEAR_BLOCK), percent)), tokens, percent), "links")
+    told = links.withColumn("round", F.lit(1))
+
+    # one class of every component in a bucket of several
+    placed = _mixed_buckets(stored(_with_roots(shared, components(links)), "placed"))
+    ones = placed.groupBy("bucket", "root").agg(F.min("class_id").alias("class_id"))
+    ones = stored(ones.join(ones.groupBy("bucket").agg(F.count("*").alias("size")), "bucket"), "of-components")
+    near = _nearest(deal_within(ones, "class_id", NEAR_BLOCK).join(known, "class_id"), percent)
+    more = stored(_verified(_best(near), tokens, percent), "links")
+    told = told.unionByName(more.withColumn("round", F.lit(2)))
+    links = links.unionByName(more)
+
+    # all of the buckets that still hold several components
+    placed = _mixed_buckets(stored(_with_roots(shared, components(links)), "placed"))
+    dealt = deal(placed.select("bucket", "class_id", "root", "size"), "class_id", BLOCK).join(known, "class_id")
+    dealt = stored(dealt, "dealt")
+    marked = stored(_in_question(dealt, percent), "in-question")
+    asked = dealt.join(marked, [*PLACE, "side", "class_id"], "left_semi").join(tokens, "class_id")
+    return told.unionByName(stored(_linked(asked, percent), "links").withColumn("round", F.lit(3)))
+
+
+def _best(near: DataFrame) -> DataFrame:
+    """The likest of the classes ``a`` that buckets found for ``b``."""
+    return stored(near.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b"), "nearest")
+
+
+def _mixed_buckets(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lowest"), F.max("root").alias("highest")).where("lowest <> highest")
-    searched = placed.join(stored(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi")
-    dealt = deal(searched.select("bucket", "class_id", "root", "size"), "class_id", BLOCK)
-    dealt = dealt.join(signed.select("class_id", "n", "excess", "bits"), "class_id")
-    tried = stars.unionByName(more)
-    found = stored(_searched(dealt, percent).distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
-    return links.unionByName(_verified(found, tokens, percent))
+    return placed.join(stored(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi")
