@@ -33,11 +33,34 @@ def best_of(unit):
     return min(scored, default=None)
 
 
+def best_passages(text):
+    """(-score, name) of each template's part with the largest sum, of overlapping ones the best."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    pairs = list(zip(words, words[1:], strict=False))
+    found = []
+    for number, (name, body) in enumerate(TEMPLATES):
+        theirs = bigrams(body)
+        size = sum(theirs.values())
+        sums = np.cumsum([0, *[120 if p in theirs else -80 for p in pairs]])
+        low = np.minimum.accumulate(sums)[:-1]
+        gain = sums[1:] - low
+        if len(gain) and gain.max() >= 80 * size:
+            last = int(gain.argmax())
+            first = int(np.flatnonzero(sums[: last + 1] == low[last])[-1])
+            part = Counter(pairs[first : last + 1])
+            shared = sum((part & theirs).values())
+            if 200 * shared >= 80 * (last + 1 - first + size):
+                found.append((-2 * shared / (last + 1 - first + size), name, number, first, last))
+    return [f[:2] for f in found if not any(g < f and g[3] <= f[4] and f[3] <= g[4] for g in found)]
+
+
 def test_licences_by_brute_force(spark, documents, none, odd):
     extra = [
         (900, "Intro.\nLicensed under the Apache License, Version 2.0.\nEnd."), (901, TEMPLATES[-3][1].upper()), (902, "MIT"), (903, None),
         (904, "licensed under the mit license, licensed under the mit license"), (905, "x\n\n" + TEMPLATES[-5][1].replace(" ", "\n", 20) + "\n \ny"),
         (906, "This work is licensed under the GNU General Public License, version 2.\nReleased under the MIT License."),
+        (907, "Some prose. Licensed under the MIT License. More prose follows here, and licensed under CC BY 4.0. too"),
+        (908, "## License\n\n" + PUBLISHED.get("MIT", TEMPLATES[-3][1]).replace(": The above", ":\n\nThe above").replace("Software. THE", "Software.\n\nTHE") + "\n\n## Usage\n\nrun it"),
     ]
     rows = documents.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
     texts = {r.doc_id: r.text or "" for r in rows.collect()}
@@ -45,7 +68,9 @@ def test_licences_by_brute_force(spark, documents, none, odd):
         text = texts[r.doc_id]
         units = {text, *re.split(r"\n\s*\n", text), *text.split("\n")}
         found = [b for b in map(best_of, units) if b]
-        assert r.n_units == len(found), r
+        inside = best_passages(text)
+        assert (r.n_units, r.n_passages) == (len(found), len(inside)), r
+        found += inside
         assert r.licenses == ",".join(sorted({name for _, name in found}))
         assert (r.license, r.score) == ((min(found)[1], round(-min(found)[0], 6)) if found else (None, None))
     assert licenses.scan(none).count() == 0 and licenses.scan(odd).count() == odd.count()
@@ -63,6 +88,21 @@ def test_published_texts_are_found(spark):
         assert r.license == r.doc_id and r.score > 0.95, r
 
 
+def test_published_texts_are_found_between_prose(spark):
+    """Paragraphs of a licence in a document of other paragraphs, wrapped anywhere, and the words on every side."""
+    prose = " ".join(f"word{k % 37} and{k % 11}" for k in range(400))
+    whole = {name: text for name, text in TEMPLATES if len(text) > 600}
+    bodies = {name: PUBLISHED.get(name, text) for name, text in whole.items()}
+    rows = [(name, f"{prose}\n\n## License\n\n{body}\n\n{prose}") for name, body in sorted(bodies.items())]
+    rows += [(f"{name} wrapped", f"{prose} " + re.sub(r"(\S+\s+\S+\s+\S+)\s+", r"\1" "\n\n", body) + f" {prose}") for name, body in sorted(bodies.items())]
+    rows += [("none", prose)]
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect():
+        if r.doc_id == "none":
+            assert (r.license, r.n_passages, r.licenses) == (None, 0, "")
+        else:
+            assert r.license == r.doc_id.split()[0] and r.score > 0.95, r
+
+
 # --- quality ----------------------------------------------------------------
 
 

@@ -5,6 +5,13 @@ each such unit is a list of words, whose bigrams count as often as they occur. A
 coefficient of two bags of sizes a and b is at most 2 min(a, b) / (a + b), the size of
 a unit alone rules out all templates much shorter or longer, before a bigram is made.
 
+Licences also stand inside other words, or in several paragraphs of a longer document.
+A passage of a bigrams, h of them the template's, reaches a coefficient of p against b
+bigrams only if (2 / p - 1) h - (a - h) >= b. So in the sequence of a document's bigrams,
+where one of the template's counts 2 / p - 1 and any other -1, the part of the largest
+sum is looked at, wherever it begins and ends. Few documents get that far: a template
+whose longer words are mostly absent has too many bigrams missing.
+
 Everything is expressions over one row: no shuffle, no join, no Python.
 """
 
@@ -47,6 +54,29 @@ def templates(rows: list[tuple[str, str]], percent: int) -> list[dict]:
     return told
 
 
+def rare_words(words: list[str], percent: int) -> tuple[list[str], int]:
+    """Words of a template, and how many of them a text must have to reach the coefficient with any passage.
+
+    As many bigrams of the template may be missing as its size is above the least size
+    of a passage. Each absent word takes the bigrams that touch it along, and a word
+    that is there saves those that touch it at most. Of all lower limits to the length
+    of words that is taken which asks for the largest share of its words.
+    """
+    size = len(words) - 1
+    spare = size - -(-percent * size // (200 - percent))
+    told: tuple[list[str], int] = (sorted(set(words)), 0)
+    for length in range(1, 10):
+        chosen = {w for w in words if len(w) >= length}
+        touched = [(a, b) for a, b in zip(words, words[1:], strict=False) if a in chosen or b in chosen]
+        saves = sorted((sum(w in pair for pair in touched) for w in chosen), reverse=True)
+        need = 0
+        while need < len(saves) and len(touched) - sum(saves[:need]) > spare:
+            need += 1
+        if need * max(1, len(told[0])) > told[1] * max(1, len(chosen)):
+            told = sorted(chosen), need
+    return told
+
+
 def units(text: Column) -> Column:
     """The whole text, its paragraphs and its lines, equal ones once."""
     return F.array_distinct(F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, "\n")))
@@ -90,23 +120,95 @@ def matches(words: Column, told: list[dict], percent: int) -> Column:
     return F.when(_between(size, told) & (size > 0), let(pairs, reached)).otherwise(F.array().cast("array<struct<score:double,license:string>>"))
 
 
+def passages(words: Column, rows: list[tuple[str, str]], percent: int) -> Column:
+    """Structs of less (the negative score) and licence for the templates that the best passage of a text reaches.
+
+    Of passages that overlap only the best counts, as near relations of a licence match too.
+    """
+    told = templates(rows, percent)
+    for n, (t, (_, text)) in enumerate(zip(told, rows, strict=True)):
+        t["number"] = n
+        t["rare"], t["need"] = rare_words(template_words(text), percent)
+    whole = sorted({w for t in told for w in t["rare"]})
+    sketch = F.from_json(F.lit(json.dumps([{k: t[k] for k in ("least", "rare", "need")} for t in told])), "array<struct<least:int,rare:array<string>,need:int>>")
+    kind = "array<struct<number:int,name:string,size:int,keys:array<string>,often:array<string>,times:array<int>>>"
+    table = F.from_json(F.lit(json.dumps([{k: t[k] for k in ("number", "name", "size", "keys", "often", "times")} for t in told])), kind)
+    nothing = F.array().cast("array<struct<less:double,license:string>>")
+
+    def best(pairs: Column, keys: Column) -> Column:
+        """Place of the first bigram and number of bigrams of the part with the largest sum; of equal ones the first to end."""
+
+        def step(state: Column, pair: Column) -> Column:
+            fresh = state["sum"] <= 0
+            sum_ = F.when(fresh, 0).otherwise(state["sum"]) + F.when(F.array_contains(keys, pair), 200 - percent).otherwise(-percent)
+            start = F.when(fresh, state["at"]).otherwise(state["start"])
+            better = sum_ > state["most"]
+            return F.struct(
+                (state["at"] + 1).alias("at"), sum_.cast("long").alias("sum"), start.alias("start"),
+                F.when(better, sum_).otherwise(state["most"]).cast("long").alias("most"),
+                F.when(better, start).otherwise(state["first"]).alias("first"),
+                F.when(better, state["at"] - start + 1).otherwise(state["length"]).alias("length"),
+            )
+
+        zero = F.struct(*[F.lit(0).cast(t).alias(n) for n, t in (("at", "int"), ("sum", "long"), ("start", "int"), ("most", "long"), ("first", "int"), ("length", "int"))])
+        return F.aggregate(pairs, zero, step)
+
+    def scored(part: Column, t: Column, b: Column) -> Column:
+        shared = F.size(F.array_intersect(t["keys"], part))
+        again = F.zip_with(t["often"], t["times"], lambda k, n: F.greatest(F.least(n, F.size(F.filter(part, lambda p: p == k))) - 1, F.lit(0)))
+        less = -2 * F.aggregate(again, shared, lambda s, n: s + n) / (F.size(part) + t["size"])
+        return F.struct(
+            F.struct(less.alias("less"), t["name"].alias("license"), t["number"].alias("number")).alias("rank"),
+            b["first"].alias("first"), (b["first"] + b["length"]).alias("end"),
+        )
+
+    def better(other: Column, m: Column) -> Column:
+        return (other["rank"] < m["rank"]) & (other["first"] < m["end"]) & (m["first"] < other["end"])
+
+    def reached(pairs: Column, asked: Column) -> Column:
+        """Of the templates asked for, those that the text has enough of, each with its best passage."""
+        known = F.transform(asked, lambda n: let(F.element_at(table, n), lambda t: F.struct(t.alias("t"), F.array_intersect(t["keys"], pairs).alias("shared"))))
+        near = F.filter(known, lambda k: (200 - percent) * (k["t"]["size"] - F.size(k["t"]["keys"]) + F.size(k["shared"])) >= percent * k["t"]["size"])
+        found = F.transform(near, lambda k: let(best(pairs, k["shared"]), lambda b: F.when(
+            b["most"] >= percent * k["t"]["size"], let(F.slice(pairs, b["first"] + 1, b["length"]), lambda part: scored(part, k["t"], b)))))
+        good = F.filter(found, lambda m: -m["rank"]["less"] * 100 >= percent)
+        kept = let(good, lambda all_: F.filter(all_, lambda m: ~F.exists(all_, lambda other: better(other, m))))
+        return F.transform(kept, lambda m: F.struct(m["rank"]["less"].alias("less"), m["rank"]["license"].alias("license")))
+
+    def asked(hits: Column) -> Column:
+        return F.filter(
+            F.transform(sketch, lambda t, n: F.when((F.size(words) > t["least"]) & (F.size(F.array_intersect(t["rare"], hits)) >= t["need"]), n + 1)),
+            lambda n: n.isNotNull(),
+        )
+
+    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+    rare = F.array_intersect(words, F.from_json(F.lit(json.dumps(whole)), "array<string>"))
+    return let(rare, lambda hits: let(asked(hits), lambda a: F.when((F.size(a) > 0) & (F.size(words) > 1), let(pairs, lambda p: reached(p, a))).otherwise(nothing)))
+
+
 def scan(docs: DataFrame, rows: list[tuple[str, str]] | None = None, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``license`` (the best, null if none), ``score``, ``n_units`` and ``licenses`` of every row.
+    """``key``, ``license`` (the best, null if none), ``score``, ``n_units``, ``n_passages`` and ``licenses`` of every row.
 
     A unit counts for its best template; of equal scores the first name. ``n_units`` is
-    the number of different units that are a licence, ``licenses`` their names, distinct
-    and in order, and ``license`` and ``score`` the best of all. A null or empty text, or
+    the number of different units that are a licence, ``n_passages`` that of passages
+    that are one, be they units or not; of overlapping ones the best. ``licenses`` are the names of both, distinct
+    and in order, and ``license`` and ``score`` the best of all. A template has one passage
+    a text; where copies of it follow each other closely, that may be too long to be one. A null or empty text, or
     one of a single word, matches nothing. Repeated rows are kept. Other columns of
     ``docs`` are not read. An empty table gives no rows.
     """
-    told = templates(TEMPLATES if rows is None else rows, percent)
+    rows = TEMPLATES if rows is None else rows
+    told = templates(rows, percent)
     best = lambda found: F.array_min(F.transform(found, lambda m: F.struct((-m["score"]).alias("less"), m["license"].alias("license"))))
-    found = F.transform(units(F.coalesce(F.col(text), F.lit(""))), lambda u: let(words_of(u), lambda w: best(matches(w, told, percent))))
-    out = docs.select(F.col(key), F.filter(found, lambda b: b.isNotNull()).alias("found"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    found = F.transform(units(whole), lambda u: let(words_of(u), lambda w: best(matches(w, told, percent))))
+    inside = let(words_of(whole), lambda w: passages(w, rows, percent))
+    out = docs.select(F.col(key), F.filter(found, lambda b: b.isNotNull()).alias("found"), inside.alias("inside"))
+    out = out.select(key, F.size("found").alias("n_units"), F.size("inside").alias("n_passages"), F.concat("found", "inside").alias("all"))
     return out.select(
-        key, F.array_min("found")["license"].alias("license"), F.round(-F.array_min("found")["less"], 6).alias("score"),
-        F.size("found").cast("long").alias("n_units"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda b: b["license"]))), ",").alias("licenses"),
+        key, F.array_min("all")["license"].alias("license"), F.round(-F.array_min("all")["less"], 6).alias("score"),
+        F.col("n_units").cast("long"), F.col("n_passages").cast("long"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("all", lambda b: b["license"]))), ",").alias("licenses"),
     )
 
 
@@ -139,11 +241,50 @@ WITH notices(template, license, text) AS (
 ), best AS (
     SELECT doc_id, unit, arg_min(license, (-score, license)) AS license, max(score) AS score
     FROM scores WHERE score * 100 >= {percent} GROUP BY doc_id, unit
+), text_words AS (
+    SELECT DISTINCT doc_id, coalesce(text, '') AS text, [w FOR w IN string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+') IF w <> ''] AS words FROM documents
+), text_pairs AS (
+    SELECT doc_id, text, unnest(range(1, len(words))) AS place, unnest([words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) AS pair
+    FROM text_words WHERE len(words) >= 2
+), hits AS (
+    SELECT doc_id, text, template, license, n.size, place, row_number() OVER (PARTITION BY doc_id, text, template ORDER BY place) AS nth
+    FROM text_pairs JOIN notice_counts n USING (pair)
+), sums AS (
+    SELECT *, 200 * nth - {percent} * place AS upto,
+           min(200 * (nth - 1) - {percent} * (place - 1)) OVER (PARTITION BY doc_id, text, template ORDER BY place) AS before
+    FROM hits
+), ends AS (
+    SELECT *, 200 * (nth - 1) - {percent} * (place - 1) AS start_sum FROM sums
+), tops AS (
+    SELECT doc_id, text, template, any_value(license) AS license, any_value(size) AS size,
+           max(upto - before) AS most, arg_max(place, (upto - before, -place)) AS last, arg_max(before, (upto - before, -place)) AS low
+    FROM ends GROUP BY doc_id, text, template HAVING max(upto - before) >= {percent} * any_value(size)
+), parts AS (
+    SELECT t.doc_id, t.text, t.template, any_value(t.license) AS license, any_value(t.size) AS size, any_value(t.last) AS last, max(e.place) AS first
+    FROM tops t JOIN ends e ON t.doc_id IS NOT DISTINCT FROM e.doc_id AND t.text = e.text AND t.template = e.template AND e.start_sum = t.low AND e.place <= t.last
+    GROUP BY t.doc_id, t.text, t.template
+), part_counts AS (
+    SELECT s.doc_id, s.text, s.template, any_value(s.license) AS license, any_value(s.size) AS size, any_value(s.last - s.first + 1) AS length, any_value(s.first) AS first, p.pair, count(*) AS times
+    FROM parts s JOIN text_pairs p ON s.doc_id IS NOT DISTINCT FROM p.doc_id AND s.text = p.text AND p.place BETWEEN s.first AND s.last
+    GROUP BY s.doc_id, s.text, s.template, p.pair
+), passages AS (
+    SELECT c.doc_id, c.text, c.template, any_value(c.license) AS license, any_value(c.first) AS first, any_value(c.first + c.length) AS "end",
+           2.0 * sum(least(c.times, n.times)) / (any_value(c.length) + any_value(c.size)) AS score
+    FROM part_counts c JOIN notice_counts n ON c.template = n.template AND c.pair = n.pair GROUP BY c.doc_id, c.text, c.template
+), all_found AS (
+    SELECT doc_id, license, score, 1 AS unit, 0 AS passage FROM best
+    UNION ALL
+    SELECT doc_id, license, score, 0, 1 FROM passages m
+    WHERE score * 100 >= {percent} AND NOT EXISTS (
+        SELECT 1 FROM passages o
+        WHERE o.doc_id IS NOT DISTINCT FROM m.doc_id AND o.text = m.text AND o.first < m."end" AND m.first < o."end" AND o.score * 100 >= {percent}
+          AND (o.score > m.score OR o.score = m.score AND (o.license < m.license OR o.license = m.license AND o.template < m.template))
+    )
 ), per_document AS (
-    SELECT doc_id, arg_min(license, (-score, license)) AS license, round(max(score), 6) AS score, count(*) AS n_units,
+    SELECT doc_id, arg_min(license, (-score, license)) AS license, round(max(score), 6) AS score, sum(unit)::BIGINT AS n_units, sum(passage)::BIGINT AS n_passages,
            string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
-    FROM best GROUP BY doc_id
+    FROM all_found GROUP BY doc_id
 )
-SELECT d.doc_id, p.license, p.score, coalesce(p.n_units, 0) AS n_units, coalesce(p.licenses, '') AS licenses
+SELECT d.doc_id, p.license, p.score, coalesce(p.n_units, 0) AS n_units, coalesce(p.n_passages, 0) AS n_passages, coalesce(p.licenses, '') AS licenses
 FROM documents d LEFT JOIN per_document p USING (doc_id)
 """
