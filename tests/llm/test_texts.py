@@ -1,7 +1,9 @@
 """Licences, quality, fingerprints, personal data and the shingle join."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -120,6 +122,21 @@ def test_quality_labels_do_not_leak(spark, documents):
     assert np.array_equal(one.gains, two.gains) and one.offset == two.offset
 
 
+def test_rare_class_is_sampled_up_to_the_bound_and_its_odds_are_put_back(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda samples: seen.append([s[2] for s in samples]) or quality.Model(np.zeros(quality.BUCKETS, np.float32), 0.5))
+    rows = [(k, f"text {k}", int(k % 20 > 0)) for k in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    repeated = frame.union(frame.where("doc_id < 60"))
+    learned = [label for k, _, label in rows if zlib.crc32(str(k).encode()) % 3 != 1]
+    rare = learned.count(0)
+    assert 15 < rare < 25
+    model = quality.fit(repeated, frame, per_class=50)
+    # every row of the rare class, 50 of the other, and one row of an id
+    assert seen[0].count(0) == rare and seen[0].count(1) == 50
+    assert model.offset == pytest.approx(0.5 + math.log((len(learned) - rare) / 50))
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 1), (5, 0), (5, 1), (6, None), (7, 7), (None, 1), (8, 1)], "doc_id long, quality int")
     rows = quality.scored(odd, labels).collect()

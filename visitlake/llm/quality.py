@@ -204,14 +204,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     Of each class the ``per_class`` ids with the smallest hashes are taken: a bounded
     sample that is the same in any order of rows. Its features, not its texts, come to
-    the driver. Classes keep their shares. Null labels and labels other than 0 and 1
-    are not used. If an id has several labels, the smallest counts.
+    the driver. A rare class is thus not thinned out with a frequent one; the odds of the
+    classes among all rows are put back by the model's offset. Null labels and labels
+    other than 0 and 1 are not used. If an id has several labels, the smallest counts,
+    and of several rows of an id the one with the smallest text.
     """
     usable = labels.select(key, F.col(label).cast("int").alias("label")).where(f"label in (0, 1) and {key} is not null")
     usable = usable.where(~held_out(key)).groupBy(key).agg(F.min("label").alias("label"))
     counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
-    share = min([1.0, *(per_class / n for n in counts.values())])
-    takes = {k: math.ceil(share * n) for k, n in counts.items()}
+    takes = {k: min(per_class, n) for k, n in counts.items()}
     order = [F.xxhash64(F.col(key).cast("string")), F.col(key)]
     chosen = None
     for value, take in sorted(takes.items()):
@@ -221,6 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return train([])
     # at most 2 * per_class rows of an id and a label
     rows = docs.select(F.col(key), F.col(text).alias("__text")).join(F.broadcast(chosen), key)
+    rows = rows.groupBy(key, "label").agg(F.min("__text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,7 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     kind = rows.schema[key].dataType.simpleString()
     told = rows.select(key, "__text", "label").mapInArrow(run, f"id {kind}, places binary, times binary, label int")
     samples = sorted(told.collect(), key=lambda r: (r["id"], bytes(r["places"]), bytes(r["times"])))
-    return train([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["times"], np.float32), r["label"]) for r in samples])
+    model = train([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["times"], np.float32), r["label"]) for r in samples])
+    if len(counts) < 2:
+        return model
+    return Model(model.gains, model.offset + math.log(counts[1] / takes[1]) - math.log(counts[0] / takes[0]))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
