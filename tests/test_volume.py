@@ -22,6 +22,14 @@ def folders(spark, name):
     return {f for f in os.listdir(home) if f.startswith(name)}
 
 
+def test_stored_tables_are_compressed_well(spark, tmp_path):
+    rows = spark.range(10).select(F.col("id").cast("string").alias("carelogId"))
+    tables.append(rows, str(tmp_path), "some")
+    written = [*derived.carelogs(spark, SF_DIR).inputFiles(), *tables.staged(rows, "few").inputFiles()]
+    written += [f for f in os.listdir(tmp_path / "some") if f.endswith(".parquet")]
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
 def raw_visits(spark, ids):
     rows = [(k, "CG1") for k in ids]
     frame = spark.createDataFrame(rows, "carelog_id string, caregiver_id string")

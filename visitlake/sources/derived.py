@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from visitlake import schemas
 from visitlake.session import fresh_path, prepare
+from visitlake.sources.tables import COMPRESSION
 
 
 def spark_add_minutes(ts: str, n: str) -> str:
@@ -242,7 +243,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable) -> Da
     key = (prepare(spark).sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = fresh_path(spark, f"derived-{name}")
-        derive(spark, sf_dir).write.parquet(path)
+        derive(spark, sf_dir).write.option("compression", COMPRESSION).parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
