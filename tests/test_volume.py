@@ -30,6 +30,15 @@ def test_stored_tables_are_compressed_well(spark, tmp_path):
     assert written and all(f.endswith(".zstd.parquet") for f in written)
 
 
+def test_mixed_files_are_written_once(spark):
+    first = derived.mixed_files(spark, SF_DIR)
+    before = {f.name: f.stat().st_mtime_ns for f in os.scandir(first) if f.name.endswith(".csv")}
+    entry.queries()["source_validate"](spark, SF_DIR).collect()
+    entry.queries()["load_batch"](spark, SF_DIR).count()
+    assert entry._raw_files(spark, SF_DIR) == first
+    assert before == {f.name: f.stat().st_mtime_ns for f in os.scandir(first) if f.name.endswith(".csv")}
+
+
 def raw_visits(spark, ids):
     rows = [(k, "CG1") for k in ids]
     frame = spark.createDataFrame(rows, "carelog_id string, caregiver_id string")

@@ -230,7 +230,7 @@ def derive_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*schemas.CARELOG.fieldNames(), "k")
 
 
-# Derived tables written by this process: (application, source folder, table) -> folder.
+# Derived tables and files written by this process: (application, source folder, table) -> folder.
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -342,6 +342,14 @@ def spoiled(rows: DataFrame, table: str) -> DataFrame:
 EMPTY_FILE, TWICE_FILE = "extra_empty.csv", ("extra_twice.csv", "a,b,a\n1,2,3\n")
 
 
+def mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of ``write_mixed_files``, written on first use like a derived table: nobody changes a file in it."""
+    key = (prepare(spark).sparkContext.applicationId, sf_dir, "mixed-files")
+    if key not in _written:
+        _written[key] = write_mixed_files(spark, sf_dir, fresh_path(spark, "raw-files"))
+    return _written[key]
+
+
 def write_mixed_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Write the raw rows as CSV files into one folder, a file per name in ``source_file``, and return it.
 
