@@ -39,6 +39,12 @@ def test_mixed_files_are_written_once(spark):
     assert before == {f.name: f.stat().st_mtime_ns for f in os.scandir(first) if f.name.endswith(".csv")}
 
 
+def test_admission_does_not_shuffle_visits_for_a_few_unknown_ids(spark):
+    for name in ("visit_admit", "visit_admit_indexed", "visit_orphans"):
+        text = plan(entry.queries()[name](spark, SF_DIR))
+        assert "SortMergeJoin [caregiverId" not in text and "BroadcastHashJoin [caregiverId" in text
+
+
 def raw_visits(spark, ids):
     rows = [(k, "CG1") for k in ids]
     frame = spark.createDataFrame(rows, "carelog_id string, caregiver_id string")
