@@ -113,3 +113,12 @@ def test_a_rewritten_table_is_taken_in_anew(spark, people):
 
 def test_every_report_that_is_kept_is_tested():
     assert set(FULL) == {*report_state.REPORTS, "visit_duration"}
+
+
+def test_reports_on_the_same_visits_share_a_part(spark, people):
+    """Visits of a load are read and reduced once for each pair of reports, not once a report."""
+    assert len(report_state.KEPT) == 6 < len(FULL)
+    warehouse = fresh_path(spark, "state")
+    append(visits(spark, 5, 300), warehouse, "carelog")
+    state = ReportState(spark, warehouse).sync()
+    assert_equal(state, spark, warehouse, people, ("comment_detail", "doc_suspicion", "overtime", "overtime_insight"))

@@ -114,10 +114,16 @@ def _comment_ladder(values: list[object], none: object) -> Column:
 
 def comment_categories(visits: DataFrame) -> DataFrame:
     """Worked visits with a comment: length class, detail score and writing speed."""
+    return _commented(visits, _category_columns())
+
+
+def _commented(visits: DataFrame, columns: list[Column]) -> DataFrame:
+    return visits.where(visit.worked & visit.documented).select("carelogId", "caregiverId", *columns)
+
+
+def _category_columns() -> list[Column]:
     n = F.col("generalCommentCharCount")
-    return visits.where(visit.worked & visit.documented).select(
-        "carelogId",
-        "caregiverId",
+    return [
         n.alias("comment_length"),
         F.to_date(visit.clock_in).alias("visit_date"),
         visit.actual_us.alias("actual_us"),
@@ -128,7 +134,7 @@ def comment_categories(visits: DataFrame) -> DataFrame:
         F.col("status").alias("visit_status"),
         (F.to_date(visit.clock_in) != F.to_date(visit.clock_out)).alias("overnight_shift"),
         is_weekend(visit.clock_in).alias("weekend_shift"),
-    )
+    ]
 
 
 def _anomaly_rungs() -> list[tuple[Column, str, int]]:
@@ -149,14 +155,20 @@ def _anomaly_rungs() -> list[tuple[Column, str, int]]:
 
 def doc_anomalies(visits: DataFrame) -> DataFrame:
     """Worked visits with a comment: documentation anomaly and suspicion score."""
+    return _commented(visits, [F.to_date(visit.clock_in).alias("visit_date"), *_anomaly_columns()])
+
+
+def _anomaly_columns() -> list[Column]:
     rungs = _anomaly_rungs()
-    return visits.where(visit.worked & visit.documented).select(
-        "carelogId",
-        "caregiverId",
-        F.to_date(visit.clock_in).alias("visit_date"),
+    return [
         ladder([(c, kind) for c, kind, _ in rungs], "NORMAL_DOCUMENTATION").alias("anomaly_type"),
         ladder([(c, score) for c, _, score in rungs], 1).alias("suspicion_score"),
-    )
+    ]
+
+
+def commented_visits(visits: DataFrame) -> DataFrame:
+    """Worked visits with a comment: both the categories and the anomalies of each."""
+    return _commented(visits, [*_category_columns(), *_anomaly_columns()])
 
 
 # A shift longer than this many hours is of this kind.

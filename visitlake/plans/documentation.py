@@ -9,7 +9,7 @@ from visitlake.functions.exact import (
     above, exact_sum, h, hours, hundredths, percent, text0, text2, thousandths_to_hundredths, weighted, whole,
 )
 from visitlake.functions.ladders import at_least, ladder
-from visitlake.operators.facts import added, comment_categories, count, doc_anomalies, largest, smallest
+from visitlake.operators.facts import added, comment_categories, commented_visits, count, doc_anomalies, largest, smallest
 from visitlake.operators.figures import Figures, Measures
 from visitlake.plans.common import CAREGIVER_LIMIT, numbers, top, with_caregiver
 
@@ -175,6 +175,11 @@ def _doc_suspicion_measures() -> Measures:
 
 DOC_SUSPICION = Figures("doc_suspicion", doc_anomalies, _doc_suspicion_measures, lambda: F.col("visit_date"), days="doc_active_days")
 
+#: Both reports' figures, which are made of the same visits.
+DOCUMENTATION = Figures(
+    "documentation", commented_visits, lambda: _comment_detail_measures() | _doc_suspicion_measures(), lambda: F.col("visit_date")
+)
+
 
 def doc_suspicion(caregivers: DataFrame, visits: DataFrame, limit: int | None = CAREGIVER_LIMIT) -> DataFrame:
     return doc_suspicion_of(caregivers, DOC_SUSPICION.of(visits), limit)

@@ -147,6 +147,9 @@ def _insight_measures() -> Measures:
 
 INSIGHT = Figures("overtime_insight", overtime_rows, _insight_measures, lambda: F.col("visit_date"), days="active_days")
 
+#: Both reports' figures, which are made of the same visits.
+ALL_OVERTIME = Figures("all_overtime", overtime_rows, lambda: _report_measures() | _insight_measures(), lambda: F.col("visit_date"))
+
 
 def overtime_insight(caregivers: DataFrame, visits: DataFrame, limit: int | None = VISIT_LIMIT) -> DataFrame:
     return overtime_insight_of(caregivers, INSIGHT.of(visits), limit)

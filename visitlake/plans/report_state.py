@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,13 +28,21 @@ COVERED = "generation int, batch string, file string"
 #: More batches than these are put together into one.
 MOST_BATCHES = 64
 
-FIGURES: dict[str, Figures] = {
-    figures.name: figures
-    for figures in (
-        reliability.FIGURES, performance.FIGURES, documentation.COMMENT_DETAIL, documentation.DOC_SUSPICION,
-        overtime.OVERTIME, overtime.INSIGHT,
+#: Reports on the same visits share a part, so that these are read and reduced once for both.
+SHARED: dict[str, tuple[Figures, Figures]] = {
+    figures.name: (figures, part)
+    for figures, part in (
+        (reliability.FIGURES, reliability.FIGURES), (performance.FIGURES, performance.FIGURES),
+        (documentation.COMMENT_DETAIL, documentation.DOCUMENTATION), (documentation.DOC_SUSPICION, documentation.DOCUMENTATION),
+        (overtime.OVERTIME, overtime.ALL_OVERTIME), (overtime.INSIGHT, overtime.ALL_OVERTIME),
     )
 }
+#: By report; the name is that of the part.
+FIGURES: dict[str, Figures] = {
+    name: replace(part, days=figures.days, months=figures.months) for name, (figures, part) in SHARED.items()
+}
+#: Where parts are kept that have these names and columns; a state of another layout is left alone.
+LAYOUT = "layout-2"
 
 
 @dataclass(frozen=True)
@@ -46,7 +54,7 @@ class Kept:
 
 
 KEPT: dict[str, Kept] = {
-    **{name: Kept(figures.parts, figures.added) for name, figures in FIGURES.items()},
+    **{figures.name: Kept(figures.parts, figures.added) for figures in FIGURES.values()},
     "duration_minutes": Kept(duration.minute_parts, duration.minutes_added),
     "duration_values": Kept(duration.value_parts, duration.values_added),
 }
@@ -57,7 +65,7 @@ class ReportState:
 
     def __init__(self, spark: SparkSession, warehouse: str, table: str = "carelog", most_batches: int = MOST_BATCHES):
         self.spark, self.warehouse, self.table, self.most_batches = spark, warehouse, table, most_batches
-        self.home = f"{table_path(warehouse, 'report_state')}/{table}"
+        self.home = f"{table_path(warehouse, 'report_state')}/{LAYOUT}/{table}"
         self._load()
 
     def _load(self) -> None:
@@ -114,7 +122,7 @@ class ReportState:
 
     def figures(self, name: str) -> DataFrame:
         """The figures of a report, one row per caregiver."""
-        return FIGURES[name].of_parts(self.parts(name))
+        return FIGURES[name].of_parts(self.parts(FIGURES[name].name))
 
     def report(self, name: str, caregivers: DataFrame, **limit: int | None) -> DataFrame:
         """A report by name, equal to the one over all visits taken in."""
