@@ -105,6 +105,38 @@ def test_published_texts_are_found_between_prose(spark):
             assert r.license == r.doc_id.split()[0] and r.score > 0.95, r
 
 
+def test_prose_asks_for_no_template(spark):
+    """Words of any text leave no template to be looked for, and each one named is asked for."""
+    prose = "this work was released to the public by people under the general terms of a version that is in use, and the source is subject to them"
+    words = set(licenses.template_words(prose))
+    for name, text in TEMPLATES:
+        chosen, need = licenses.rare_words(licenses.template_words(text), 80)
+        assert len(words & set(chosen)) < need, (name, text[:60])
+    rows = [(0, prose), *((n, f"{prose} {text}") for n, (_, text) in enumerate(TEMPLATES, start=1))]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", licenses.words_of(F.col("text")).alias("words"))
+    asked = {r.doc_id: r.asked for r in licenses.with_asked(texts, TEMPLATES, 80).collect()}
+    assert asked.pop(0) == [] and all(n in numbers for n, numbers in asked.items())
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_a_text_that_reaches_a_template_has_its_rare_words(percent):
+    """Drop words and parts at random: whatever reaches the coefficient has as many rare words as asked for."""
+    rng, reached = np.random.default_rng(11), 0
+    for text in [t for _, t in TEMPLATES if len(t) < 2500] + ["a b a b a b a", "the of the", "x y"]:
+        words = licenses.template_words(text)
+        theirs = Counter(zip(words, words[1:], strict=False))
+        chosen, need = licenses.rare_words(words, percent)
+        for trial in range(60):
+            gone = set(rng.choice(sorted(set(words)), rng.integers(0, len(set(words)) // 3 + 1), replace=False)) if trial % 2 else set()
+            first, last = sorted(rng.integers(0, len(words) + 1, 2)) if trial % 3 == 0 else (0, len(words))
+            kept = [w for w in words[first:last] if w not in gone]
+            mine = Counter(zip(kept, kept[1:], strict=False))
+            if mine and 200 * sum((mine & theirs).values()) >= percent * (sum(mine.values()) + len(words) - 1):
+                reached += 1
+                assert len(set(kept) & set(chosen)) >= need, (text[:60], kept)
+    assert reached > 100
+
+
 # --- quality ----------------------------------------------------------------
 
 

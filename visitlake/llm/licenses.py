@@ -9,8 +9,11 @@ Licences also stand inside other words, or in several paragraphs of a longer doc
 A passage of a bigrams, h of them the template's, reaches a coefficient of p against b
 bigrams only if (2 / p - 1) h - (a - h) >= b. So in the sequence of a document's bigrams,
 where one of the template's counts 2 / p - 1 and any other -1, the part of the largest
-sum is looked at, wherever it begins and ends. Few documents get that far: a template
-whose longer words are mostly absent has too many bigrams missing.
+sum is looked at, wherever it begins and ends.
+
+Few documents get that far: a template whose less common words are mostly absent has too
+many bigrams missing, for the text and so for each part of it. Those words are counted in
+every text, and its units and passages are only held against the templates that are left.
 
 Everything is expressions over one row: no shuffle, no join, no Python.
 """
@@ -19,6 +22,10 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +35,13 @@ from visitlake.llm.license_texts import TEMPLATES
 
 #: Coefficient from which on a unit counts as a licence, in hundredths.
 PERCENT = 80
+#: Words of any English text. They are not counted, as they tell a licence from nothing; this is for speed only.
+COMMON = frozenset(
+    "a about all also an and any are as at be been but by can do for from had has have he her his if in into is it its may more no not of on one or other our "
+    "out she so such than that the their them then there these they this to up was we were what when which who will with work would you your under".split()
+)
+#: Sizes from which on templates are looked for together: longer texts hold more of the longer templates' words.
+LONGER = (40, 400)
 #: What is not a letter or a digit separates words.
 BETWEEN = r"[^\p{L}\p{N}]+"
 
@@ -55,84 +69,96 @@ def templates(rows: list[tuple[str, str]], percent: int) -> list[dict]:
 
 
 def rare_words(words: list[str], percent: int) -> tuple[list[str], int]:
-    """Words of a template, and how many of them a text must have to reach the coefficient with any passage.
+    """Words of a template, and how many of them a text must have to reach the coefficient with any unit or passage.
 
-    As many bigrams of the template may be missing as its size is above the least size
-    of a passage. Each absent word takes the bigrams that touch it along, and a word
-    that is there saves those that touch it at most. Of all lower limits to the length
-    of words that is taken which asks for the largest share of its words.
+    As many bigrams of the template may be missing as its size is above the least number
+    shared. Each absent word takes the bigrams that touch it along, and a word that is there
+    saves those that touch it at most. Absent words also take as many bigrams as they occur,
+    at least. Of all lower limits to the length of words that are not common that which asks
+    for the largest share of its words.
     """
-    size = len(words) - 1
+    size, times = len(words) - 1, Counter(words)
     spare = size - -(-percent * size // (200 - percent))
     told: tuple[list[str], int] = (sorted(set(words)), 0)
     for length in range(1, 10):
-        chosen = {w for w in words if len(w) >= length}
-        touched = [(a, b) for a, b in zip(words, words[1:], strict=False) if a in chosen or b in chosen]
-        saves = sorted((sum(w in pair for pair in touched) for w in chosen), reverse=True)
+        chosen = {w for w in words if len(w) >= length and w not in COMMON}
+        touched = Counter(frozenset(pair) & chosen for pair in zip(words, words[1:], strict=False))
+        missing = sum(n for pair, n in touched.items() if pair)
+        saves = sorted((sum(n for pair, n in touched.items() if w in pair) for w in chosen), reverse=True)
         need = 0
-        while need < len(saves) and len(touched) - sum(saves[:need]) > spare:
+        while need < len(saves) and missing - sum(saves[:need]) > spare:
             need += 1
+        absent = sum(n <= spare for n in accumulate(sorted(times[w] for w in chosen)))
+        need = max(need, len(chosen) - absent) if size > 0 else 0
         if need * max(1, len(told[0])) > told[1] * max(1, len(chosen)):
             told = sorted(chosen), need
     return told
 
 
+def _listed(words: Iterable[str]) -> str:
+    return ", ".join(f"'{w}'" for w in sorted(words)) or "NULL"
+
+
+def with_asked(texts: DataFrame, rows: list[tuple[str, str]], percent: int) -> DataFrame:
+    """``texts``, whose ``words`` are arrays, with ``asked``: the numbers, from 1, of the templates that a text has enough words of."""
+    told = [(t["least"], *rare_words(template_words(text), percent)) for t, (_, text) in zip(templates(rows, percent), rows, strict=True)]
+    groups = [bisect_right(LONGER, t["size"]) for t in templates(rows, percent)]
+    there = sorted(set(groups))
+    hits = []
+    for g in there:
+        least = min(t[0] for t, group in zip(told, groups, strict=True) if group == g)
+        rare = {w for t, group in zip(told, groups, strict=True) if group == g for w in t[1]}
+        hits.append(F.expr(f"if(size(words) > {least}, array_distinct(filter(words, w -> w IN ({_listed(rare)}))), cast(array() AS array<string>))").alias(f"hits{g}"))
+    numbers = ", ".join(
+        f"if(size(words) > {least} AND size(hits{g}) >= {need} AND size(filter(hits{g}, w -> w IN ({_listed(rare)}))) >= {need}, {n}, NULL)"
+        for n, ((least, rare, need), g) in enumerate(zip(told, groups, strict=True), start=1)
+    )
+    asked = F.expr(f"array_compact(cast(array({numbers}) AS array<int>))")
+    return texts.select("*", *hits).select(*texts.columns, asked.alias("asked"))
+
+
 def units(text: Column) -> Column:
     """The whole text, its paragraphs and its lines, equal ones once."""
     return F.array_distinct(F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, "\n")))
 
 
-def _between(size: Column, told: list[dict]) -> Column:
-    """Whether any template allows a unit of this size."""
-    ranges: list[list[int]] = []
-    for low, high in sorted((t["least"], t["most"]) for t in told):
-        if ranges and low <= ranges[-1][1] + 1:
-            ranges[-1][1] = max(high, ranges[-1][1])
-        else:
-            ranges.append([low, high])
-    fits = F.lit(False)
-    for low, high in ranges:
-        fits = fits | size.between(low, high)
-    return fits
+def _table(told: list[dict]) -> Column:
+    kind = "array<struct<name:string,size:int,least:int,most:int,keys:array<string>,often:array<string>,times:array<int>>>"
+    return F.from_json(F.lit(json.dumps(told)), kind)
+
 
+def _pairs(words: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
 
-def matches(words: Column, told: list[dict], percent: int) -> Column:
-    """Structs of score and licence for the templates that a unit's words reach."""
-    kind = "array<struct<name:string,size:int,least:int,most:int,keys:array<string>,often:array<string>,times:array<int>>>"
-    table = F.from_json(F.lit(json.dumps(told)), kind)
+
+def matches(words: Column, asked: Column, told: list[dict], percent: int) -> Column:
+    """Structs of score and licence for the templates asked for that a unit's words reach."""
+    table, size = _table(told), F.size(words) - 1
 
     def common(pairs: Column, t: Column, shared: Column) -> Column:
         """Shared bigrams once each, and those that the template repeats as often again as both do."""
         again = F.zip_with(t["often"], t["times"], lambda k, n: F.greatest(F.least(n, F.size(F.filter(pairs, lambda p: p == k))) - 1, F.lit(0)))
         return F.aggregate(again, shared, lambda s, n: s + n)
 
-    def reached(pairs: Column) -> Column:
-        sized = F.filter(table, lambda t: F.size(pairs).between(t["least"], t["most"]))
-        met = F.transform(sized, lambda t: F.struct(t.alias("t"), F.size(F.array_intersect(t["keys"], pairs)).alias("shared")))
+    def reached(pairs: Column, sized: Column) -> Column:
+        met = F.transform(sized, lambda n: let(F.element_at(table, n), lambda t: F.struct(t.alias("t"), F.size(F.array_intersect(t["keys"], pairs)).alias("shared"))))
         # each distinct bigram of the template that is not shared is missing at least once
         most = lambda m: m["t"]["size"] - F.size(m["t"]["keys"]) + m["shared"]
         near = F.filter(met, lambda m: (m["shared"] > 0) & (200 * most(m) >= percent * (F.size(pairs) + m["t"]["size"])))
         scored = F.transform(near, lambda m: F.struct((2 * common(pairs, m["t"], m["shared"]) / (F.size(pairs) + m["t"]["size"])).alias("score"), m["t"]["name"].alias("license")))
         return F.filter(scored, lambda m: m["score"] * 100 >= percent)
 
-    size = F.size(words) - 1
-    pairs = F.transform(F.sequence(F.lit(1), size), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-    return F.when(_between(size, told) & (size > 0), let(pairs, reached)).otherwise(F.array().cast("array<struct<score:double,license:string>>"))
+    sized = F.filter(asked, lambda n: size.between(F.element_at(table, n)["least"], F.element_at(table, n)["most"]))
+    nothing = F.array().cast("array<struct<score:double,license:string>>")
+    return let(sized, lambda s: F.when((F.size(s) > 0) & (size > 0), let(_pairs(words), lambda p: reached(p, s))).otherwise(nothing))
 
 
-def passages(words: Column, rows: list[tuple[str, str]], percent: int) -> Column:
-    """Structs of less (the negative score) and licence for the templates that the best passage of a text reaches.
+def passages(words: Column, asked: Column, told: list[dict], percent: int) -> Column:
+    """Structs of less (the negative score) and licence for the templates asked for that the best passage of a text reaches.
 
     Of passages that overlap only the best counts, as near relations of a licence match too.
     """
-    told = templates(rows, percent)
-    for n, (t, (_, text)) in enumerate(zip(told, rows, strict=True)):
-        t["number"] = n
-        t["rare"], t["need"] = rare_words(template_words(text), percent)
-    whole = sorted({w for t in told for w in t["rare"]})
-    sketch = F.from_json(F.lit(json.dumps([{k: t[k] for k in ("least", "rare", "need")} for t in told])), "array<struct<least:int,rare:array<string>,need:int>>")
-    kind = "array<struct<number:int,name:string,size:int,keys:array<string>,often:array<string>,times:array<int>>>"
-    table = F.from_json(F.lit(json.dumps([{k: t[k] for k in ("number", "name", "size", "keys", "often", "times")} for t in told])), kind)
+    table = _table(told)
     nothing = F.array().cast("array<struct<less:double,license:string>>")
 
     def best(pairs: Column, keys: Column) -> Column:
@@ -153,37 +179,29 @@ def passages(words: Column, rows: list[tuple[str, str]], percent: int) -> Column
         zero = F.struct(*[F.lit(0).cast(t).alias(n) for n, t in (("at", "int"), ("sum", "long"), ("start", "int"), ("most", "long"), ("first", "int"), ("length", "int"))])
         return F.aggregate(pairs, zero, step)
 
-    def scored(part: Column, t: Column, b: Column) -> Column:
+    def scored(part: Column, n: Column, t: Column, b: Column) -> Column:
         shared = F.size(F.array_intersect(t["keys"], part))
         again = F.zip_with(t["often"], t["times"], lambda k, n: F.greatest(F.least(n, F.size(F.filter(part, lambda p: p == k))) - 1, F.lit(0)))
         less = -2 * F.aggregate(again, shared, lambda s, n: s + n) / (F.size(part) + t["size"])
         return F.struct(
-            F.struct(less.alias("less"), t["name"].alias("license"), t["number"].alias("number")).alias("rank"),
+            F.struct(less.alias("less"), t["name"].alias("license"), n.alias("number")).alias("rank"),
             b["first"].alias("first"), (b["first"] + b["length"]).alias("end"),
         )
 
     def better(other: Column, m: Column) -> Column:
         return (other["rank"] < m["rank"]) & (other["first"] < m["end"]) & (m["first"] < other["end"])
 
-    def reached(pairs: Column, asked: Column) -> Column:
+    def reached(pairs: Column) -> Column:
         """Of the templates asked for, those that the text has enough of, each with its best passage."""
-        known = F.transform(asked, lambda n: let(F.element_at(table, n), lambda t: F.struct(t.alias("t"), F.array_intersect(t["keys"], pairs).alias("shared"))))
+        known = F.transform(asked, lambda n: let(F.element_at(table, n), lambda t: F.struct(n.alias("n"), t.alias("t"), F.array_intersect(t["keys"], pairs).alias("shared"))))
         near = F.filter(known, lambda k: (200 - percent) * (k["t"]["size"] - F.size(k["t"]["keys"]) + F.size(k["shared"])) >= percent * k["t"]["size"])
         found = F.transform(near, lambda k: let(best(pairs, k["shared"]), lambda b: F.when(
-            b["most"] >= percent * k["t"]["size"], let(F.slice(pairs, b["first"] + 1, b["length"]), lambda part: scored(part, k["t"], b)))))
+            b["most"] >= percent * k["t"]["size"], let(F.slice(pairs, b["first"] + 1, b["length"]), lambda part: scored(part, k["n"], k["t"], b)))))
         good = F.filter(found, lambda m: -m["rank"]["less"] * 100 >= percent)
         kept = let(good, lambda all_: F.filter(all_, lambda m: ~F.exists(all_, lambda other: better(other, m))))
         return F.transform(kept, lambda m: F.struct(m["rank"]["less"].alias("less"), m["rank"]["license"].alias("license")))
 
-    def asked(hits: Column) -> Column:
-        return F.filter(
-            F.transform(sketch, lambda t, n: F.when((F.size(words) > t["least"]) & (F.size(F.array_intersect(t["rare"], hits)) >= t["need"]), n + 1)),
-            lambda n: n.isNotNull(),
-        )
-
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-    rare = F.array_intersect(words, F.from_json(F.lit(json.dumps(whole)), "array<string>"))
-    return let(rare, lambda hits: let(asked(hits), lambda a: F.when((F.size(a) > 0) & (F.size(words) > 1), let(pairs, lambda p: reached(p, a))).otherwise(nothing)))
+    return F.when((F.size(asked) > 0) & (F.size(words) > 1), let(_pairs(words), reached)).otherwise(nothing)
 
 
 def scan(docs: DataFrame, rows: list[tuple[str, str]] | None = None, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,9 +219,12 @@ def scan(docs: DataFrame, rows: list[tuple[str, str]] | None = None, percent: in
     told = templates(rows, percent)
     best = lambda found: F.array_min(F.transform(found, lambda m: F.struct((-m["score"]).alias("less"), m["license"].alias("license"))))
     whole = F.coalesce(F.col(text), F.lit(""))
-    found = F.transform(units(whole), lambda u: let(words_of(u), lambda w: best(matches(w, told, percent))))
-    inside = let(words_of(whole), lambda w: passages(w, rows, percent))
-    out = docs.select(F.col(key), F.filter(found, lambda b: b.isNotNull()).alias("found"), inside.alias("inside"))
+    texts = with_asked(docs.select(F.col(key), whole.alias("whole"), words_of(whole).alias("words")), rows, percent)
+    asked = F.col("asked")
+    found = F.transform(units(F.col("whole")), lambda u: let(words_of(u), lambda w: best(matches(w, asked, told, percent))))
+    none = F.array().cast("array<struct<less:double,license:string>>")
+    found = F.when(F.size(asked) > 0, F.filter(found, lambda b: b.isNotNull())).otherwise(none)
+    out = texts.select(key, found.alias("found"), passages(F.col("words"), asked, told, percent).alias("inside"))
     out = out.select(key, F.size("found").alias("n_units"), F.size("inside").alias("n_passages"), F.concat("found", "inside").alias("all"))
     return out.select(
         key, F.array_min("all")["license"].alias("license"), F.round(-F.array_min("all")["less"], 6).alias("score"),
