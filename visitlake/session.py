@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Stored times carry no zone. They are read as UTC, so that a difference of two
 # of them never crosses a daylight-saving jump.
 TIME_ZONE = "UTC"
@@ -41,6 +45,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind.
+
+    Spark else keeps them until the driver collects garbage, so that the disk of a session
+    of many writes holds the shuffles of all. The submitter's setting comes back at the end.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers started from now on import this library.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake import schemas
-from visitlake.session import fresh_path, prepare
+from visitlake.session import fresh_path, prepare, shuffles_removed
 from visitlake.sources.tables import COMPRESSION
 
 
@@ -243,11 +243,18 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, derive: Callable) -> Da
     key = (prepare(spark).sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = fresh_path(spark, f"derived-{name}")
-        derive(spark, sf_dir).write.option("compression", COMPRESSION).parquet(path)
+        with shuffles_removed(spark):
+            derive(spark, sf_dir).write.option("compression", COMPRESSION).parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
 
+def _at_hand(spark: SparkSession, sf_dir: str, name: str, derive: Callable) -> DataFrame:
+    """A derived table for a single reader: as it was written, if it was, and not written for this."""
+    known = _written.get((prepare(spark).sparkContext.applicationId, sf_dir, name))
+    return spark.read.parquet(known) if known else derive(spark, sf_dir)
+
+
 def caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "caregiver", derive_caregivers).drop("w")
 
@@ -256,13 +263,13 @@ def carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "carelog", derive_carelogs).drop("k")
 
 
-def derive_raw_caregivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = _stored(spark, sf_dir, "caregiver", derive_caregivers)
+def derive_raw_caregivers(spark: SparkSession, sf_dir: str, table: Callable = _stored) -> DataFrame:
+    typed = table(spark, sf_dir, "caregiver", derive_caregivers)
     return _with_origin(_mark_second(_columns(typed, RAW_CAREGIVER_EXPRS, _copies("w")), "first_name"))
 
 
-def derive_raw_carelogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = _stored(spark, sf_dir, "carelog", derive_carelogs)
+def derive_raw_carelogs(spark: SparkSession, sf_dir: str, table: Callable = _stored) -> DataFrame:
+    typed = table(spark, sf_dir, "carelog", derive_carelogs)
     return _with_origin(_mark_second(_columns(typed, RAW_CARELOG_EXPRS, _copies("k")), "status"))
 
 
@@ -340,6 +347,8 @@ def spoiled(rows: DataFrame, table: str) -> DataFrame:
 
 # Files beside the derived ones: without a byte, and with a repeated column. Neither is a caregiver or visit file.
 EMPTY_FILE, TWICE_FILE = "extra_empty.csv", ("extra_twice.csv", "a,b,a\n1,2,3\n")
+#: Rows of a source table whose files are written at once, about: what is shuffled for them lies on disk until then.
+ROWS_PER_ROUND = 4_000_000
 
 
 def mixed_files(spark: SparkSession, sf_dir: str) -> str:
@@ -362,17 +371,40 @@ def write_mixed_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
         F.expr(LONG_ROW), F.concat_ws(",", *values, F.lit("surplus"))
     ).otherwise(F.concat_ws(",", *values))
     place = ["source_file", "row_id"]
-    in_order = lambda rows: rows.repartition("source_file").sortWithinPartitions(*place)
-    lines = in_order(raw_caregivers(spark, sf_dir).select(line.alias(",".join(fields)), *place)).drop("row_id")
     plain = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    lines.write.options(**plain).partitionBy("source_file").csv(f"{folder}/written/caregiver")
+    lines = _raw_at_hand(spark, sf_dir, "caregiver", derive_raw_caregivers).select(line.alias(",".join(fields)), *place)
+    _write_files(lines, f"{folder}/written/caregiver", plain, _rounds(spark, sf_dir, "customer"))
     quoted = plain | {"sep": ",", "quote": '"', "escape": '"'}
-    visits = in_order(raw_carelogs(spark, sf_dir).select(*schemas.RAW_CARELOG, *place)).drop("row_id")
-    visits.write.options(**quoted).partitionBy("source_file").csv(f"{folder}/written/carelog")
+    visits = _raw_at_hand(spark, sf_dir, "carelog", derive_raw_carelogs).select(*schemas.RAW_CARELOG, *place)
+    _write_files(visits, f"{folder}/written/carelog", quoted, _rounds(spark, sf_dir, "orders"))
     _gather(spark, folder)
     return f"{folder}/files"
 
 
+def _raw_at_hand(spark: SparkSession, sf_dir: str, name: str, derive: Callable) -> DataFrame:
+    """Raw rows to be read once, by the files: neither they nor the typed rows below are written as tables for that."""
+    return _at_hand(spark, sf_dir, f"raw-{name}", lambda s, d: derive(s, d, _at_hand))
+
+
+def _rounds(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """In how many rounds the files of a source table are written, by its number of rows."""
+    return max(1, -(-read_table(spark, sf_dir, name).count() // ROWS_PER_ROUND))
+
+
+def _write_files(rows: DataFrame, folder: str, options: dict, rounds: int) -> None:
+    """Write a file per ``source_file``, its rows by ``row_id``.
+
+    Files are dealt to rounds by their names. A round's rows are picked before they are
+    joined, and what it shuffles is removed before the next, so that the disk never holds
+    all rows a second time beside their files.
+    """
+    for number in range(rounds):
+        mine = rows.where(F.pmod(F.xxhash64("source_file"), F.lit(rounds)) == number) if rounds > 1 else rows
+        in_order = mine.repartition("source_file").sortWithinPartitions("source_file", "row_id").drop("row_id")
+        with shuffles_removed(rows.sparkSession):
+            in_order.write.mode("append").options(**options).partitionBy("source_file").csv(folder)
+
+
 def _gather(spark: SparkSession, folder: str) -> None:
     """Give the written files the names of the partitions they lie in, all in one folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path

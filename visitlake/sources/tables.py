@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlake.schemas import TABLES
-from visitlake.session import fresh_path, prepare
+from visitlake.session import fresh_path, prepare, shuffles_removed
 
 #: Notes are most of what is stored, and take about half the room that the default codec leaves them.
 COMPRESSION = "zstd"
@@ -28,7 +28,8 @@ def read_table(spark: SparkSession, warehouse: str, name: str, like: DataFrame |
 
 
 def append(rows: DataFrame, warehouse: str, name: str) -> None:
-    rows.write.mode("append").option("compression", COMPRESSION).parquet(table_path(warehouse, name))
+    with shuffles_removed(rows.sparkSession):
+        rows.write.mode("append").option("compression", COMPRESSION).parquet(table_path(warehouse, name))
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:
@@ -39,5 +40,6 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = fresh_path(spark, name)
-    rows.write.option("compression", COMPRESSION).parquet(path)
+    with shuffles_removed(spark):
+        rows.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
