@@ -70,3 +70,22 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
         time.sleep(0.2)
     assert len({f.split("_")[1] for f in written}) <= 1
     assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
+def test_texts_are_not_written_out_to_find_bad_rows(spark, tmp_path):
+    notes = "".join(f'{i},"note {i}\nof {"x" * 200}"\n' for i in range(50))
+    (tmp_path / "x.csv").write_text(f"id,note\n{notes}50\n51,a,b\n")
+    before = folders(spark, "split-records")
+    found = csv_files.bad_rows(spark, str(tmp_path), split_above=0)
+    assert sorted(map(tuple, found.collect())) == [("x.csv", 51, "fewer values than columns"), ("x.csv", 52, "more values than columns")]
+    (mine,) = folders(spark, "split-records") - before
+    rows = spark.read.parquet(f"{shared_dir(spark)}/{mine}").where("__fragment is null").collect()
+    assert len(rows) == 52 and not [r for r in rows if any("xxx" in str(v) for v in r)]
+
+
+def test_any_column_names_in_blocks(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a b,"c;d",(e),__fragment,path,record\n1,"2\n3",4,5,6,7\n')
+    for above in (0, 1000):
+        rows = csv_files.read_files(spark, csv_files.discover(spark, str(tmp_path)), split_above=above)
+        assert rows.columns[:6] == ["a b", "c;d", "(e)", "__fragment", "path", "record"]
+        assert tuple(rows.first())[:6] == ("1", "2\n3", "4", "5", "6", "7")

@@ -15,10 +15,10 @@ driver learns of, one small entry each.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitlake.session import importable
@@ -28,6 +28,8 @@ from visitlake.sources.tables import staged
 WHOLE, END, BEGINNING = 0, 1, 2
 ROWS_PER_BATCH = 5_000
 BLOCK = ["path", "block_start"]
+#: The column that holds a fragment beside what is kept of whole records.
+FRAGMENT = "__fragment"
 
 _OPENS = re.compile('(?:^|,)"')
 _CLOSES = re.compile('(?:[^"]|"")*+"')
@@ -102,10 +104,17 @@ def begun_inside(effects: DataFrame) -> DataFrame:
     return told.where(inside).select(*BLOCK)
 
 
-def records(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _tidy(record: Column) -> Column:
+    """A line break may be written as two characters, which Spark's reader makes one."""
+    return F.regexp_replace(record, r"\r(?=\n)|\r\z", "")
+
+
+def records(spark: SparkSession, paths: list[str], kept: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Records of the files but for their headers, as text, with ``row_id``, their place among those of their block.
 
-    A record belongs to the block in which it begins. Blank lines are no records.
+    A record belongs to the block in which it begins. Blank lines are no records. The
+    records are written out once; ``kept`` makes of their columns, row by row, those that the
+    caller needs, and only these are written. It leaves other columns in place.
     """
     lines = _lines(spark, paths)
     inside_at = {(r["path"], r["block_start"]) for r in begun_inside(block_effects(lines)).toLocalIterator()}
@@ -155,17 +164,20 @@ def records(spark: SparkSession, paths: list[str]) -> DataFrame:
             yield shown()
 
     layout = "path string, block_start bigint, source_file string, modified timestamp, row_id bigint, kind int, record string"
-    found = staged(lines.mapInArrow(run, layout), "split-records")
-    whole = found.where(F.col("kind") == WHOLE).drop("kind")
-    parts = found.where(F.col("kind") != WHOLE)
+    found = lines.mapInArrow(run, layout)
+    header = (F.col("block_start") == 0) & (F.col("row_id") == 0)
+    # a fragment keeps its text; of a whole record the text goes on only if it is kept
+    fragment = F.when(F.col("kind") != WHOLE, F.struct("path", "block_start", "source_file", "modified", "row_id", "kind", "record"))
+    found = found.where((F.col("kind") != WHOLE) | ~header).withColumn(FRAGMENT, fragment).drop("kind")
+    found = staged(kept(found.withColumn("record", _tidy(F.col("record")))), "split-records")
+    whole = found.where(F.col(FRAGMENT).isNull()).drop(FRAGMENT)
+    parts = found.where(F.col(FRAGMENT).isNotNull()).select(f"{FRAGMENT}.*")
     number = F.sum((F.col("kind") == BEGINNING).cast("int")).over(Window.partitionBy("path").orderBy("block_start", "kind"))
     part = F.struct("block_start", "kind", "row_id", "record", "source_file", "modified")
     joined = parts.withColumn("number", number).groupBy("path", "number").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     first = F.col("parts")[0]
     stitched = joined.select(
         "path", first["block_start"].alias("block_start"), first["source_file"].alias("source_file"), first["modified"].alias("modified"),
-        first["row_id"].alias("row_id"), F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"),
+        first["row_id"].alias("row_id"), _tidy(F.array_join(F.transform("parts", lambda p: p["record"]), "\n")).alias("record"),
     )
-    every = whole.unionByName(stitched).where(~((F.col("block_start") == 0) & (F.col("row_id") == 0)))
-    # a line break may be written as two characters, which Spark's reader makes one
-    return every.withColumn("record", F.regexp_replace("record", r"\r(?=\n)|\r\z", ""))
+    return whole.unionByName(kept(stitched.where(~header)))
