@@ -16,6 +16,12 @@ from visitlake.session import SHUFFLE_CLEANUP, shared_dir
 from visitlake.sources import csv_files, derived, tables
 from visitlake.streaming import ingest
 
+STAGED = ("raw-caregiver", "new-", "clean-carelog", "unknown-caregiver", "chosen-carelog", "retried-carelog", "split-records")
+
+
+def left(spark):
+    return {f for name in STAGED for f in folders(spark, name)}
+
 
 def star_tables(spark, folder):
     """A few workers, and visits whose keys fill nine files."""
@@ -89,3 +95,44 @@ def test_any_column_names_in_blocks(spark, tmp_path):
         rows = csv_files.read_files(spark, csv_files.discover(spark, str(tmp_path)), split_above=above)
         assert rows.columns[:6] == ["a b", "c;d", "(e)", "__fragment", "path", "record"]
         assert tuple(rows.first())[:6] == ("1", "2\n3", "4", "5", "6", "7")
+
+
+@pytest.mark.parametrize("partition", [0, 3])
+def test_bitmaps_tell_every_row(spark, partition):
+    start = partition << 33
+    rows = spark.range(start, start + 70_000).withColumnRenamed("id", admit.NUMBER)
+    ends = F.col(admit.NUMBER).isin([start + k for k in (0, 1, 7, 8, 32_766, 32_767, 32_768, 32_769, 65_536, 69_999)])
+    for chosen in (ends, ~ends, F.col(admit.NUMBER) % 7 == 3, F.lit(False)):
+        want = rows.where(chosen)
+        found = admit.marked(rows, admit.bits(want))
+        assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def test_visits_do_not_move_to_be_admitted(spark, tmp_path, monkeypatch):
+    plans, write = [], load._append
+    monkeypatch.setattr(load, "_append", lambda rows, w, name, *more: (plans.append((name, plan(rows))), write(rows, w, name, *more)))
+    warehouse, before = str(tmp_path), left(spark)
+    known_caregiver(spark, warehouse)
+    counts = load.load_carelogs(raw_visits(spark, ["V1", "V2", "V1"]), warehouse).first()
+    assert (counts.processed_rows, counts.duplicate_rows) == (2, 1)
+    (text,) = [p for name, p in plans if name == "carelog"]
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+    assert left(spark) == before
+
+
+def test_one_of_two_rows_of_one_place_is_admitted(spark, tmp_path):
+    warehouse = str(tmp_path)
+    known_caregiver(spark, warehouse)
+    rows = raw_visits(spark, ["V1", "V2"]).withColumn("row_id", F.lit(1).cast("long"))
+    load.load_carelogs(rows.unionByName(rows), warehouse).collect()
+    stored = tables.read_table(spark, warehouse, "carelog")
+    assert sorted(r.carelogId for r in stored.collect()) == ["V1", "V2"]
+    assert admit.NUMBER not in spark.read.parquet(f"{warehouse}/carelog").columns
+
+
+def test_staged_rows_of_a_failed_load_are_removed(spark, tmp_path, monkeypatch):
+    before = left(spark)
+    monkeypatch.setattr(load, "_report", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        load.load_carelogs(raw_visits(spark, ["V1"]), str(tmp_path))
+    assert left(spark) == before
