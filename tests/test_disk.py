@@ -130,6 +130,21 @@ def test_one_of_two_rows_of_one_place_is_admitted(spark, tmp_path):
     assert admit.NUMBER not in spark.read.parquet(f"{warehouse}/carelog").columns
 
 
+def test_batches_leave_nothing_staged(spark, tmp_path):
+    people, visits = ",".join(RAW_CAREGIVER), ",".join(RAW_CARELOG)
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        person = {"caregiver_id": f"C{k}", "franchisor_id": "F", "agency_id": "A", "locations_id": "L"}
+        (tmp_path / f"in/caregiver_{k}.csv").write_text(f"{people}\n{','.join(person.get(c, 'x') for c in RAW_CAREGIVER)}\n")
+        rows = [{"carelog_id": f"{kind}{k}", "caregiver_id": who} for kind, who in (("V", f"C{k}"), ("W", "none"))]
+        (tmp_path / f"in/carelog_{k}.csv").write_text("\n".join([visits, *[",".join(r.get(c, "x") for c in RAW_CARELOG) for r in rows]]))
+    before = left(spark)
+    folder, warehouse = str(tmp_path / "in"), str(tmp_path / "warehouse")
+    ingest.ingest(spark, folder, folder, warehouse, str(tmp_path / "progress"), "caregiver*.csv", "carelog*.csv", files_per_batch=1)
+    assert sorted(r.carelogId for r in tables.read_table(spark, warehouse, "carelog").collect()) == ["V0", "V1", "V2"]
+    assert left(spark) == before
+
+
 def test_staged_rows_of_a_failed_load_are_removed(spark, tmp_path, monkeypatch):
     before = left(spark)
     monkeypatch.setattr(load, "_report", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
